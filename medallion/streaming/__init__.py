@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The jobs this library rebuilds are batch jobs: a run reads one delivery,
+checks it, and publishes it as one partition. Nothing in them reads a stream,
+keeps a watermark or holds state across micro-batches, so no streaming
+operator is provided; a scheduler or ``foreachBatch`` caller can invoke
+``SalesMartETL.run(partition)`` per delivery.
+"""
