@@ -31,9 +31,10 @@ class Dataset:
     publish: Publish = Publish.REPLACE_PARTITION
     keys: tuple[str, ...] = field(default_factory=tuple)
     staged: str | None = None
+    observed: tuple = field(default_factory=tuple)  # check results computed by the staging write
 
-    def with_frame(self, frame: DataFrame, staged: str | None = None) -> "Dataset":
-        return replace(self, frame=frame, staged=staged)
+    def with_frame(self, frame: DataFrame, staged: str | None = None, observed: tuple = ()) -> "Dataset":
+        return replace(self, frame=frame, staged=staged, observed=observed)
 
 
 # Column layouts of the sales ETL tables (fixed; ``partition`` is the run's

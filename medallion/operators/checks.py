@@ -13,7 +13,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -95,6 +97,40 @@ def check_frame(frame: DataFrame, rules: Sequence[Rule], dataset: str) -> DataFr
     return out
 
 
+def observe_not_null(frame: DataFrame, rules: Sequence[Rule], dataset: str):
+    """Attach the not-null rules to ``frame`` as observed metrics.
+
+    Returns (observed frame, results) where ``results()`` gives the result
+    rows once an action (the staging write) has run on the observed frame.
+    The counts are computed by that action itself: no second scan.
+    """
+    nn = [r for r in rules if r.kind == "not_null"]
+    if not nn:
+        return frame, lambda: []
+    obs = Observation(f"checks_{dataset}_{uuid.uuid4().hex[:8]}")
+    observed = frame.observe(
+        obs,
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(F.col(r.column).isNull()).alias(f"_u{i}") for i, r in enumerate(nn)],
+    )
+
+    def results() -> list[dict]:
+        m = obs.get
+        return [
+            {
+                "dataset": dataset,
+                "rule": r.name,
+                "column": r.column,
+                "element_count": int(m["_n"]),
+                "unexpected_count": int(m[f"_u{i}"]),
+                "success": int(m[f"_u{i}"]) == 0,
+            }
+            for i, r in enumerate(nn)
+        ]
+
+    return observed, results
+
+
 def check_datasets(
     frames: Mapping[str, DataFrame], suites: Mapping[str, Sequence[Rule]]
 ) -> DataFrame:
@@ -109,7 +145,7 @@ def check_datasets(
     return out
 
 
-def gate(results: Sequence[Row], order: Sequence[str]) -> bool:
+def gate(results: Sequence, order: Sequence[str]) -> bool:
     """Raise for the first dataset, in ``order``, with a failed rule."""
     failed = {r["dataset"] for r in results if not r["success"]}
     for name in order:
@@ -120,17 +156,27 @@ def gate(results: Sequence[Row], order: Sequence[str]) -> bool:
     return True
 
 
+def result_row(run_id: str | None, r, checked_at: datetime | None = None) -> tuple:
+    return (
+        run_id, r["dataset"], r["rule"], r["column"], r["element_count"],
+        r["unexpected_count"], r["success"], checked_at or datetime.now(timezone.utc),
+    )
+
+
 def append_results(
-    spark: SparkSession, table: str, results: Sequence[Row], run_id: str | None
+    spark: SparkSession, table: str, results: Sequence, run_id: str | None
 ) -> None:
     """Append result rows (already collected, one per rule) to ``table``."""
     if not results:
         return
     checked_at = datetime.now(timezone.utc)
-    rows = [
-        (run_id, r["dataset"], r["rule"], r["column"], r["element_count"],
-         r["unexpected_count"], r["success"], checked_at)
-        for r in results
-    ]
-    schema = "run_id STRING, " + RESULT_SCHEMA + ", checked_at TIMESTAMP"
-    spark.createDataFrame(rows, schema).write.insertInto(table)
+    rows = [result_row(run_id, r, checked_at) for r in results]
+    write_result_rows(spark, table, rows)
+
+
+RESULT_TABLE_SCHEMA = "run_id STRING, " + RESULT_SCHEMA + ", checked_at TIMESTAMP"
+
+
+def write_result_rows(spark: SparkSession, table: str, rows: Sequence[tuple]) -> None:
+    if rows:
+        spark.createDataFrame(list(rows), RESULT_TABLE_SCHEMA).write.insertInto(table)

@@ -36,13 +36,12 @@ class DuplicateKeyError(ValueError):
 # --------------------------------------------------------------------- catalog
 
 
-def _describe(spark: SparkSession, table: str) -> dict[str, str]:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-    return {r["col_name"]: r["data_type"] for r in rows}
+def _describe(spark: SparkSession, table: str) -> list:
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
 
 
 def table_location(spark: SparkSession, table: str) -> str:
-    return _describe(spark, table)["Location"]
+    return {r["col_name"]: r["data_type"] for r in _describe(spark, table)}["Location"]
 
 
 def table_home(spark: SparkSession, table: str) -> str:
@@ -52,7 +51,20 @@ def table_home(spark: SparkSession, table: str) -> str:
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    """Partition columns, from the "# Partition Information" block of DESCRIBE."""
+    cols, inside = [], False
+    for r in _describe(spark, table):
+        name = (r["col_name"] or "").strip()
+        if name == "# Partition Information":
+            inside = True
+        elif inside and name.startswith("#"):
+            if name != "# col_name":
+                break
+        elif inside:
+            if not name:
+                break
+            cols.append(name)
+    return cols
 
 
 def _fields(spark: SparkSession, table: str) -> list[StructField]:
@@ -97,8 +109,13 @@ def stage_partition(
     frame: DataFrame,
     partition: str,
     partition_col: str = "partition",
+    transform=None,
 ) -> tuple[str, DataFrame]:
-    """Write the new content of one partition; return (folder, staged frame)."""
+    """Write the new content of one partition; return (folder, staged frame).
+
+    ``transform`` (frame -> frame) is applied to the rows being written, e.g.
+    to attach observed metrics that are computed by the write itself.
+    """
     if partition is None:
         raise ValueError("partition must be given")
     if partition_columns(spark, table) != [partition_col]:
@@ -106,7 +123,8 @@ def stage_partition(
     fields = _fields(spark, table)
     data = [f for f in fields if f.name != partition_col]
     path = _staging_path(spark, table, "staged")
-    conform(frame, data).write.mode("errorifexists").parquet(path)
+    rows = conform(frame, data)
+    (transform(rows) if transform else rows).write.mode("errorifexists").parquet(path)
     staged = spark.read.schema(StructType(data)).parquet(path).select(
         *[F.col(f.name) for f in data], F.lit(partition).alias(partition_col)
     )
@@ -184,6 +202,7 @@ def stage_snapshot(
     *,
     check_duplicates: bool = True,
     materialize_source: bool = True,
+    transform=None,
 ) -> tuple[str, DataFrame]:
     """Write the table's next version (target upserted with ``source``).
 
@@ -205,7 +224,8 @@ def stage_snapshot(
             f"upsert into {table}: a target row is matched by several source rows on {list(keys)}"
         )
     path = _staging_path(spark, table, "snapshots")
-    merge_rows(target, src, keys).write.mode("errorifexists").parquet(path)
+    snapshot = merge_rows(target, src, keys)
+    (transform(snapshot) if transform else snapshot).write.mode("errorifexists").parquet(path)
     return path, spark.read.schema(StructType(fields)).parquet(path)
 
 

@@ -110,6 +110,17 @@ def create_interface_views(
     )
 
 
+ALL_TABLES = {**BRONZE, **SILVER, **GOLD, **METADATA}
+
+
+def create_tables(spark: SparkSession, path: str, database: str, names) -> None:
+    """Create only the named tables (of any layer) in ``database``."""
+    create_database(spark, database, path)
+    for name in names:
+        columns, partitioned = ALL_TABLES[name]
+        create_table(spark, database, name, columns, partitioned, path)
+
+
 def create_all(
     spark: SparkSession,
     path: str,

@@ -19,14 +19,20 @@ from __future__ import annotations
 
 from abc import ABC, abstractmethod
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from medallion.model import Dataset, Publish
-from medallion.operators.checks import append_results, check_datasets, gate
+from medallion.operators.checks import (
+    check_datasets,
+    gate,
+    observe_not_null,
+    result_row,
+    write_result_rows,
+)
 from medallion.operators.publish import (
     publish_partition,
     publish_snapshot,
@@ -43,6 +49,7 @@ class RunContext:
     pipeline_id: str
     partition: str
     log: RunLog
+    results: list = field(default_factory=list)  # check result rows, appended at run end
 
 
 def check_required_inputs(inputs: Mapping[str, Dataset], required: Sequence[str]) -> None:
@@ -93,20 +100,42 @@ class LayeredETL(ABC):
     # ------------------------------------------------ stage, check, publish
 
     def stage(self, ctx: RunContext, ds: Dataset) -> Dataset:
-        """Write ``ds`` once; return it with a frame over the written files."""
+        """Write ``ds`` once; return it with a frame over the written files.
+
+        The dataset's not-null rules ride on this write as observed metrics;
+        their result rows are kept on the returned dataset.
+        """
         if ds.staged is not None or ds.publish is Publish.SKIP:
             return ds
+        resolved = []
+
+        def observe(frame):
+            observed, results = observe_not_null(frame, self.suites.get(ds.name, ()), ds.name)
+            resolved.append(results)
+            return observed
+
         if ds.publish is Publish.REPLACE_PARTITION:
-            path, frame = stage_partition(self.spark, ds.table, ds.frame, ctx.partition)
+            path, frame = stage_partition(
+                self.spark, ds.table, ds.frame, ctx.partition, transform=observe
+            )
         else:
             source = ds.frame.withColumn("partition", F.lit(ctx.partition))
-            path, frame = stage_snapshot(self.spark, ds.table, source, ds.keys)
-        return ds.with_frame(frame, path)
+            path, frame = stage_snapshot(self.spark, ds.table, source, ds.keys, transform=observe)
+        return ds.with_frame(frame, path, tuple(resolved[0]() if resolved else ()))
 
     @logged
     def validate(self, ctx: RunContext, datasets: Mapping[str, Dataset]) -> bool:
-        results = check_datasets({n: d.frame for n, d in datasets.items()}, self.suites).collect()
-        append_results(self.spark, self.results_table, results, ctx.run_id)
+        """Gate a layer: observed not-null results plus one job for the
+        unique rules (over the staged files)."""
+        results = [r for ds in datasets.values() for r in ds.observed]
+        unique_suites = {
+            name: tuple(r for r in self.suites.get(name, ()) if r.kind != "not_null")
+            for name in datasets
+        }
+        frames = {n: d.frame for n, d in datasets.items() if unique_suites[n]}
+        if frames:
+            results += check_datasets(frames, unique_suites).collect()
+        ctx.results.extend(result_row(ctx.run_id, r) for r in results)
         return gate(results, list(datasets))
 
     def publish(self, ctx: RunContext, datasets: Mapping[str, Dataset]) -> None:
@@ -120,31 +149,35 @@ class LayeredETL(ABC):
         staged = {name: self.stage(ctx, ds) for name, ds in built.items()}
         self.validate(ctx, staged)
         self.publish(ctx, staged)
-        ctx.log.flush()
         return staged
 
     # ------------------------------------------------------------------ run
 
     def run(self, partition: str, run_id: str | None = None) -> dict[str, Dataset]:
-        """Run all layers for one partition; returns the published datasets."""
+        """Run all layers for one partition; returns the published datasets.
+
+        Run-log and check-result rows are appended once, when the run ends
+        or fails.
+        """
         if not partition:
             raise ValueError("a partition is required")
         run_id = run_id or f"{self.pipeline_id}_{partition}_{datetime.now():%Y-%m-%d-%H-%M-%S}"
         ctx = RunContext(run_id, self.pipeline_id, partition, RunLog(self.spark, self.run_log_table))
         published: dict[str, Dataset] = {}
+        status = {"function": "run", "partition": partition}
+        ctx.log.record(run_id, self.pipeline_id, {**status, "status": "started"})
         try:
-            ctx.log.record(run_id, self.pipeline_id, {"function": "run", "partition": partition, "status": "started"})
             bronze = self._layer(ctx, self.bronze(ctx))
             silver = self._layer(ctx, self.silver(ctx, bronze))
             gold = self._layer(ctx, self.gold(ctx, silver))
             published.update(bronze, **silver, **gold)
-            ctx.log.record(run_id, self.pipeline_id, {"function": "run", "partition": partition, "status": "succeeded"})
+            ctx.log.record(run_id, self.pipeline_id, {**status, "status": "succeeded"})
         except Exception as exc:
             ctx.log.record(
-                run_id, self.pipeline_id,
-                {"function": "run", "partition": partition, "status": "failed", "error": type(exc).__name__},
+                run_id, self.pipeline_id, {**status, "status": "failed", "error": type(exc).__name__}
             )
             raise
         finally:
+            write_result_rows(self.spark, self.results_table, ctx.results)
             ctx.log.flush()
         return published

@@ -33,7 +33,7 @@ from medallion.operators.scd2 import (
     scd2_net_new,
     scd2_new_versions,
 )
-from medallion.plans.ddl import create_all
+from medallion.plans.ddl import create_all, create_tables
 from medallion.plans.sales import SalesMartETL
 from medallion.session import shared_dir
 from medallion.sources.testdata import (
@@ -41,25 +41,30 @@ from medallion.sources.testdata import (
     customer_batch,
     orders_batch,
     read_table,
-    testdata_source,
+    batch_source,
 )
 
 # Partition strings of the runs in these queries.
 RUN_PARTITIONS = ("2024-01-01-00-00-00", "2024-01-02-00-00-00", "2024-01-03-00-00-00")
 P1, P2, P3 = RUN_PARTITIONS
 DIM_KEYS = ("customer_sur_id",)
+DIM_ONLY = ("dim_customer",)
 
 
 class Lake:
-    """Fresh databases and storage folder for one query call."""
+    """Fresh databases and storage folder for one query call: the named
+    tables only, or every table and the BI view."""
 
-    def __init__(self, spark: SparkSession, tag: str):
+    def __init__(self, spark: SparkSession, tag: str, tables: Sequence[str] | None = None):
         token = uuid.uuid4().hex[:10]
         self.spark = spark
         self.path = f"{shared_dir(spark)}/queries/{tag}-{token}"
         self.db = f"q_{tag}_{token}"
         self.bi = f"q_{tag}_{token}_bi"
-        create_all(spark, self.path, self.db, self.bi)
+        if tables is None:
+            create_all(spark, self.path, self.db, self.bi)
+        else:
+            create_tables(spark, self.path, self.db, tables)
 
     def t(self, name: str) -> str:
         return f"{self.db}.{name}"
@@ -103,7 +108,7 @@ def q_surrogate_key(spark, sf):
 
 
 def _parts(spark, sf, tag):
-    lake = Lake(spark, tag)
+    lake = Lake(spark, tag, DIM_ONLY)
     return _source(spark, sf, 2), _dim_after(spark, sf, lake, [1])
 
 
@@ -124,28 +129,28 @@ def q_scd2_batch(spark, sf):
 
 
 def q_dim_current(spark, sf):
-    dim = _dim_after(spark, sf, Lake(spark, "dim_current"), [1, 2])
+    dim = _dim_after(spark, sf, Lake(spark, "dim_current", DIM_ONLY), [1, 2])
     return current_rows(dim).select("customer_sur_id", "state_id")
 
 
 def q_upsert_dim(spark, sf):
-    return _dim_after(spark, sf, Lake(spark, "upsert_dim"), [1, 2])
+    return _dim_after(spark, sf, Lake(spark, "upsert_dim", DIM_ONLY), [1, 2])
 
 
 def q_upsert_idempotent(spark, sf):
-    return _dim_after(spark, sf, Lake(spark, "upsert_idem"), [1, 2, 2])
+    return _dim_after(spark, sf, Lake(spark, "upsert_idem", DIM_ONLY), [1, 2, 2])
 
 
 def q_scd2_late_rows(spark, sf):
-    return _dim_after(spark, sf, Lake(spark, "late_rows"), [2, 1])
+    return _dim_after(spark, sf, Lake(spark, "late_rows", DIM_ONLY), [2, 1])
 
 
 def q_scd2_reopen(spark, sf):
-    return _dim_after(spark, sf, Lake(spark, "reopen"), [1, 2, 1])
+    return _dim_after(spark, sf, Lake(spark, "reopen", DIM_ONLY), [1, 2, 1])
 
 
 def q_replace_partition(spark, sf):
-    lake = Lake(spark, "replace")
+    lake = Lake(spark, "replace", ("orders",))
     table = lake.t("orders")
     replace_partition(spark, table, _orders(spark, sf, 1), P1)
     replace_partition(spark, table, _orders(spark, sf, 1), P2)
@@ -154,7 +159,7 @@ def q_replace_partition(spark, sf):
 
 
 def q_replace_partition_empty(spark, sf):
-    lake = Lake(spark, "replace_empty")
+    lake = Lake(spark, "replace_empty", ("orders",))
     table = lake.t("orders")
     replace_partition(spark, table, _orders(spark, sf, 1), P1)
     replace_partition(spark, table, _orders(spark, sf, 2), P2)
@@ -163,25 +168,25 @@ def q_replace_partition_empty(spark, sf):
 
 
 def q_fct_orders(spark, sf):
-    lake = Lake(spark, "fct")
+    lake = Lake(spark, "fct", ("dim_customer", "fct_orders"))
     dim = _dim_after(spark, sf, lake, [1, 2])
     replace_partition(spark, lake.t("fct_orders"), lookup_current(_orders(spark, sf, 2), dim), P2)
     return _without_load_time(spark.table(lake.t("fct_orders")))
 
 
 def q_fct_orders_late(spark, sf):
-    dim = _dim_after(spark, sf, Lake(spark, "fct_late"), [2, 1])
+    dim = _dim_after(spark, sf, Lake(spark, "fct_late", DIM_ONLY), [2, 1])
     return lookup_current(_orders(spark, sf, 2), dim)
 
 
 def q_sales_mart(spark, sf):
-    dim = _dim_after(spark, sf, Lake(spark, "mart"), [1, 2])
+    dim = _dim_after(spark, sf, Lake(spark, "mart", DIM_ONLY), [1, 2])
     return sales_mart_op(lookup_current(_orders(spark, sf, 2), dim), dim)
 
 
 def _two_mart_partitions(spark, sf, tag) -> Lake:
     """Mart table with run 1 (batch 1) and run 2 (batch 2) partitions."""
-    lake = Lake(spark, tag)
+    lake = Lake(spark, tag)  # every table and the BI view
     table = lake.t("dim_customer")
     for i, b in enumerate((1, 2)):
         _dim_after_step(spark, sf, table, b, RUN_PARTITIONS[i])
@@ -207,7 +212,7 @@ def q_latest_partition_view(spark, sf):
 
 
 def _two_order_partitions(spark, sf, tag) -> str:
-    lake = Lake(spark, tag)
+    lake = Lake(spark, tag, ("orders",))
     table = lake.t("orders")
     replace_partition(spark, table, _orders(spark, sf, 1), P1)
     replace_partition(spark, table, _orders(spark, sf, 2), P2)
@@ -225,7 +230,7 @@ def q_distinct_partitions(spark, sf):
 
 
 def q_check_not_null(spark, sf):
-    dim1 = _dim_after(spark, sf, Lake(spark, "check_nn"), [1])
+    dim1 = _dim_after(spark, sf, Lake(spark, "check_nn", DIM_ONLY), [1])
     mart = sales_mart_op(lookup_current(_orders(spark, sf, 2), dim1), dim1)
     frames = {
         "customer": read_table(spark, sf, "customer"),
@@ -243,7 +248,7 @@ def q_check_not_null(spark, sf):
 
 
 def q_check_unique(spark, sf):
-    dim21 = _dim_after(spark, sf, Lake(spark, "check_unique"), [2, 1])
+    dim21 = _dim_after(spark, sf, Lake(spark, "check_unique", DIM_ONLY), [2, 1])
     frames = {
         "orders": read_table(spark, sf, "orders"),
         "events": read_table(spark, sf, "events"),
@@ -262,7 +267,7 @@ def q_check_unique(spark, sf):
 
 
 def q_check_results(spark, sf):
-    lake = Lake(spark, "check_results")
+    lake = Lake(spark, "check_results", ("dim_customer", "dq_results"))
     dim = _dim_after(spark, sf, lake, [1, 2])
     orders = _orders(spark, sf, 2)
     fct = lookup_current(orders, dim)
@@ -280,7 +285,7 @@ def q_check_results(spark, sf):
 
 def q_run_log(spark, sf):
     lake = Lake(spark, "run_log")
-    etl = SalesMartETL(spark, lake.path, lake.db, testdata_source(sf, BATCH_CUTS[1]))
+    etl = SalesMartETL(spark, lake.path, lake.db, batch_source(sf, BATCH_CUTS[1]))
     etl.run(P1, run_id="run_log_1")
     return spark.table(lake.t("run_metadata")).drop("ts_inserted")
 
@@ -288,7 +293,7 @@ def q_run_log(spark, sf):
 def _two_runs(spark, sf, tag) -> Lake:
     lake = Lake(spark, tag)
     for i, b in enumerate((1, 2)):
-        etl = SalesMartETL(spark, lake.path, lake.db, testdata_source(sf, BATCH_CUTS[b]))
+        etl = SalesMartETL(spark, lake.path, lake.db, batch_source(sf, BATCH_CUTS[b]))
         etl.run(RUN_PARTITIONS[i], run_id=f"{tag}_{i + 1}")
     return lake
 

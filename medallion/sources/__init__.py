@@ -6,7 +6,7 @@ from medallion.sources.testdata import (
     customer_batch,
     orders_batch,
     read_table,
-    testdata_source,
+    batch_source,
 )
 
 __all__ = [
@@ -17,5 +17,5 @@ __all__ = [
     "generate_orders",
     "orders_batch",
     "read_table",
-    "testdata_source",
+    "batch_source",
 ]

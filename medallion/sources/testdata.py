@@ -19,13 +19,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Cut of each fixture batch (None = whole table).
 BATCH_CUTS = {1: "1996-01-01", 2: None}
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan one of the given (read-only) tables; its schema is inferred once
+    per process and then passed to the reader, which skips the footer read."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        frame = spark.read.parquet(path)
+        _SCHEMAS[path] = frame.schema
+        return frame
+    return spark.read.schema(schema).parquet(path)
 
 
 def _orders_before(spark: SparkSession, sf_dir: str, cut: str | None) -> DataFrame:
@@ -76,7 +88,7 @@ def orders_batch(spark: SparkSession, sf_dir: str, cut: str | None = None) -> Da
     )
 
 
-def testdata_source(sf_dir: str, cut: str | None = None):
+def batch_source(sf_dir: str, cut: str | None = None):
     """A bronze source for the sales ETL: (spark) -> (customer, orders)."""
 
     def source(spark: SparkSession):
