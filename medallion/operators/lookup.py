@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion.operators.scd2 import current_rows
+from medallion.operators.sizing import small_side
 
 
 def lookup_current(
@@ -17,6 +18,7 @@ def lookup_current(
     fact_key: str = "customer_id",
     dim_key: str = "id",
     take: Sequence[str] = ("customer_sur_id",),
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """Left join of facts to current dim rows; facts without one get NULLs.
 
@@ -26,9 +28,16 @@ def lookup_current(
     meet in one shuffle partition. ``fact`` should be a scan or a staged
     table: the NULL filter reads it a second time, cheaply, because Parquet
     row groups without NULLs are skipped by their statistics.
+
+    The current dim side (key + taken columns) is broadcast when its measured
+    size fits (``broadcast=None``), so the fact is not shuffled; else both
+    sides shuffle on the key.
     """
     dim_types = dict(dim.dtypes)
-    cur = current_rows(dim).select(F.col(dim_key).alias("_lk_key"), *take)
+    cur = small_side(
+        current_rows(dim).where(F.col(dim_key).isNotNull()).select(F.col(dim_key).alias("_lk_key"), *take),
+        broadcast,
+    )
     keyed = fact.where(F.col(fact_key).isNotNull())
     unkeyed = fact.where(F.col(fact_key).isNull()).select(
         *fact.columns, *[F.lit(None).cast(dim_types[c]).alias(c) for c in take]

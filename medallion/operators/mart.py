@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from medallion.functions.columns import deliver_date
 from medallion.operators.scd2 import current_rows
+from medallion.operators.sizing import small_side
 
 
 def sales_mart(
@@ -16,16 +17,22 @@ def sales_mart(
     key: str = "customer_sur_id",
     date_col: str = "delivered_on",
     group_attr: str = "state_id",
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """``num_orders`` per (deliver_date, state_id); NULL keys form groups.
 
     Facts whose key has no current dim row land in the NULL state group. Only
     the key and the date are read from the fact. When the current dim side is
-    measured under the broadcast threshold AQE makes this a broadcast join and
+    measured under the broadcast limit this is a broadcast join and
     the fact is never shuffled before the (partial, map-side) aggregation;
     otherwise a hot key's shuffle partition is split by AQE's skew handling.
+    The broadcast is decided from the measured size of the current dim side
+    (``broadcast=None``) before the plan runs.
     """
-    cur = current_rows(dim).select(F.col(key).alias("_m_key"), F.col(group_attr))
+    cur = small_side(
+        current_rows(dim).where(F.col(key).isNotNull()).select(F.col(key).alias("_m_key"), F.col(group_attr)),
+        broadcast,
+    )
     facts = fct.select(F.col(key), deliver_date(date_col).alias("deliver_date"))
     return (
         facts.join(cur, F.col(key) == F.col("_m_key"), "left")

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from medallion.operators.sizing import small_side
 from medallion.session import sql_str
 
 HOME_PROPERTY = "medallion.home"
@@ -182,10 +183,23 @@ def _duplicate_matches(source: DataFrame, target: DataFrame, keys: Sequence[str]
     return not repeated.join(target.select(*keys), list(keys), "left_semi").isEmpty()
 
 
-def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_rows(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    broadcast: bool | None = None,
+) -> DataFrame:
     """Upsert as a relation: all source rows, plus target rows no source row
-    matches on ``keys`` with ``=`` (NULL keys never match, so they insert)."""
-    key_side = source.select(*[F.col(k).alias(f"_u_{k}") for k in keys])
+    matches on ``keys`` with ``=`` (NULL keys never match, so they insert).
+
+    The source's (non-NULL) keys are broadcast when their measured size fits
+    (``broadcast=None``): the target is then streamed once, map-side, with no
+    shuffle. Larger key sets are joined by shuffle.
+    """
+    not_null = F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+    key_side = small_side(
+        source.where(not_null).select(*[F.col(k).alias(f"_u_{k}") for k in keys]), broadcast
+    )
     cond = None
     for k in keys:
         c = target[k] == key_side[f"_u_{k}"]
