@@ -32,6 +32,7 @@ class Dataset:
     keys: tuple[str, ...] = field(default_factory=tuple)
     staged: str | None = None
     observed: tuple = field(default_factory=tuple)  # check results computed by the staging write
+    profile: object = None  # SizeProfile observed by the staging write, when known
 
     def with_frame(self, frame: DataFrame, staged: str | None = None, observed: tuple = ()) -> "Dataset":
         return replace(self, frame=frame, staged=staged, observed=observed)

@@ -24,7 +24,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from medallion.operators.sizing import small_side
+from collections import namedtuple
+
+from medallion.operators.sizing import observe_profile, small_side
 from medallion.session import sql_str
 
 HOME_PROPERTY = "medallion.home"
@@ -101,6 +103,11 @@ def materialize(frame: DataFrame, path: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+Staged = namedtuple("Staged", "path frame profile")
+Staged.__doc__ = """A written table version: folder, frame over it, and the size
+profile observed while writing it."""
+
+
 # ------------------------------------------------------------ replace partition
 
 
@@ -217,12 +224,14 @@ def stage_snapshot(
     check_duplicates: bool = True,
     materialize_source: bool = True,
     transform=None,
-) -> tuple[str, DataFrame]:
+) -> Staged:
     """Write the table's next version (target upserted with ``source``).
 
     The whole table is rewritten into a new folder. ``source`` is written
     once first (when it is a computed plan), so the duplicate check and the
-    snapshot do not compute it twice.
+    snapshot do not compute it twice; the size of its keys is observed by
+    that write and decides whether they are broadcast. The snapshot's own
+    size profile is observed by its write and returned.
     """
     if not keys:
         raise ValueError("upsert needs key columns")
@@ -231,16 +240,19 @@ def stage_snapshot(
     fields = _fields(spark, table)
     target = spark.table(table)
     src = conform(source, fields)
+    broadcast_keys = None
     if materialize_source:
-        src = materialize(src, _staging_path(spark, table, "batches"))
+        observed, src_profile = observe_profile(src)
+        src = materialize(observed, _staging_path(spark, table, "batches"))
+        broadcast_keys = src_profile().fits(src, keys)
     if check_duplicates and _duplicate_matches(src, target, keys):
         raise DuplicateKeyError(
             f"upsert into {table}: a target row is matched by several source rows on {list(keys)}"
         )
     path = _staging_path(spark, table, "snapshots")
-    snapshot = merge_rows(target, src, keys)
+    snapshot, profile = observe_profile(merge_rows(target, src, keys, broadcast_keys))
     (transform(snapshot) if transform else snapshot).write.mode("errorifexists").parquet(path)
-    return path, spark.read.schema(StructType(fields)).parquet(path)
+    return Staged(path, spark.read.schema(StructType(fields)).parquet(path), profile())
 
 
 def publish_snapshot(spark: SparkSession, table: str, path: str) -> None:
@@ -254,9 +266,9 @@ def upsert(
     source: DataFrame,
     keys: Sequence[str],
     **kw,
-) -> DataFrame:
-    """Update matched rows (all columns), insert the others; return the new
-    table content as a frame over the published files."""
-    path, staged = stage_snapshot(spark, table, source, keys, **kw)
-    publish_snapshot(spark, table, path)
+) -> Staged:
+    """Update matched rows (all columns), insert the others; returns the
+    published version (its ``frame`` reads the published files)."""
+    staged = stage_snapshot(spark, table, source, keys, **kw)
+    publish_snapshot(spark, table, staged.path)
     return staged

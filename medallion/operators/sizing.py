@@ -55,3 +55,52 @@ def small_side(frame: DataFrame, broadcast: bool | None) -> DataFrame:
     if broadcast is None:
         broadcast = fits_broadcast(frame)
     return F.broadcast(frame) if broadcast else frame
+
+
+class SizeProfile:
+    """Exact row count and bytes of each variable-length column of a frame,
+    observed while the frame was written. Bounds the in-memory size of any
+    projection of the frame (or of a subset of its rows)."""
+
+    def __init__(self, rows: int, var_bytes: dict[str, int], columns: list[str]):
+        self.rows = rows
+        self.var_bytes = var_bytes
+        self.columns = columns
+
+    def bound(self, cols) -> int:
+        var = [c for c in cols if c in self.var_bytes]
+        fixed = 8 * len(cols)
+        return self.rows * (_ROW_OVERHEAD + fixed + _VAR_SLACK * len(var)) + sum(
+            self.var_bytes[c] for c in var
+        )
+
+    def fits(self, frame: DataFrame, cols) -> bool:
+        limit = broadcast_limit(frame)
+        return limit >= 0 and 2 * self.bound(cols) <= limit
+
+    def __repr__(self) -> str:
+        return f"SizeProfile(rows={self.rows}, var_bytes={self.var_bytes})"
+
+
+def observe_profile(frame: DataFrame):
+    """(observed frame, profile()) — ``profile()`` is valid once an action
+    (a write) has run on the observed frame. No extra pass over the data."""
+    import uuid
+
+    from pyspark.sql import Observation
+
+    var = [f.name for f in frame.schema.fields if isinstance(f.dataType, (StringType, BinaryType))]
+    obs = Observation(f"size_{uuid.uuid4().hex[:8]}")
+    observed = frame.observe(
+        obs,
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.sum(F.coalesce(F.octet_length(F.col(c)), F.lit(0))).alias(f"_v{i}") for i, c in enumerate(var)],
+    )
+
+    def profile() -> SizeProfile:
+        m = obs.get
+        return SizeProfile(
+            int(m["_rows"]), {c: int(m[f"_v{i}"] or 0) for i, c in enumerate(var)}, list(frame.columns)
+        )
+
+    return observed, profile

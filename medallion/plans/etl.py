@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from abc import ABC, abstractmethod
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark.sql import SparkSession
@@ -120,7 +120,9 @@ class LayeredETL(ABC):
             )
         else:
             source = ds.frame.withColumn("partition", F.lit(ctx.partition))
-            path, frame = stage_snapshot(self.spark, ds.table, source, ds.keys, transform=observe)
+            staged = stage_snapshot(self.spark, ds.table, source, ds.keys, transform=observe)
+            path, frame = staged.path, staged.frame
+            ds = replace(ds, profile=staged.profile)
         return ds.with_frame(frame, path, tuple(resolved[0]() if resolved else ()))
 
     @logged

@@ -78,14 +78,27 @@ def _orders(spark: SparkSession, sf: str, batch: int) -> DataFrame:
     return orders_batch(spark, sf, BATCH_CUTS[batch])
 
 
-def _dim_after(spark: SparkSession, sf: str, lake: Lake, batches: Sequence[int]) -> DataFrame:
-    """Dimension table after upserting the SCD2 changes of each batch in turn
-    (batch i published as run partition i)."""
+def _dim_version(spark: SparkSession, sf: str, lake: Lake, batches: Sequence[int]):
+    """Dimension after upserting the SCD2 changes of each batch in turn
+    (batch i published as run partition i); the last published version."""
     table = lake.t("dim_customer")
     for i, b in enumerate(batches):
         changes = scd2_changes(_source(spark, sf, b), spark.table(table))
-        upsert(spark, table, changes.withColumn("partition", F.lit(RUN_PARTITIONS[i])), DIM_KEYS)
-    return spark.table(table)
+        staged = upsert(spark, table, changes.withColumn("partition", F.lit(RUN_PARTITIONS[i])), DIM_KEYS)
+    return staged
+
+
+def _dim_after(spark: SparkSession, sf: str, lake: Lake, batches: Sequence[int]) -> DataFrame:
+    _dim_version(spark, sf, lake, batches)
+    return spark.table(lake.t("dim_customer"))
+
+
+def _lookup_fits(staged) -> bool:
+    return staged.profile.fits(staged.frame, ["id", "customer_sur_id"])
+
+
+def _mart_fits(staged) -> bool:
+    return staged.profile.fits(staged.frame, ["customer_sur_id", "state_id"])
 
 
 def _without_load_time(frame: DataFrame) -> DataFrame:
@@ -169,19 +182,21 @@ def q_replace_partition_empty(spark, sf):
 
 def q_fct_orders(spark, sf):
     lake = Lake(spark, "fct", ("dim_customer", "fct_orders"))
-    dim = _dim_after(spark, sf, lake, [1, 2])
-    replace_partition(spark, lake.t("fct_orders"), lookup_current(_orders(spark, sf, 2), dim), P2)
+    dim = _dim_version(spark, sf, lake, [1, 2])
+    fct = lookup_current(_orders(spark, sf, 2), dim.frame, broadcast=_lookup_fits(dim))
+    replace_partition(spark, lake.t("fct_orders"), fct, P2)
     return _without_load_time(spark.table(lake.t("fct_orders")))
 
 
 def q_fct_orders_late(spark, sf):
-    dim = _dim_after(spark, sf, Lake(spark, "fct_late", DIM_ONLY), [2, 1])
-    return lookup_current(_orders(spark, sf, 2), dim)
+    dim = _dim_version(spark, sf, Lake(spark, "fct_late", DIM_ONLY), [2, 1])
+    return lookup_current(_orders(spark, sf, 2), dim.frame, broadcast=_lookup_fits(dim))
 
 
 def q_sales_mart(spark, sf):
-    dim = _dim_after(spark, sf, Lake(spark, "mart", DIM_ONLY), [1, 2])
-    return sales_mart_op(lookup_current(_orders(spark, sf, 2), dim), dim)
+    dim = _dim_version(spark, sf, Lake(spark, "mart", DIM_ONLY), [1, 2])
+    fct = lookup_current(_orders(spark, sf, 2), dim.frame, broadcast=_lookup_fits(dim))
+    return sales_mart_op(fct, dim.frame, broadcast=_mart_fits(dim))
 
 
 def _two_mart_partitions(spark, sf, tag) -> Lake:
@@ -189,18 +204,14 @@ def _two_mart_partitions(spark, sf, tag) -> Lake:
     lake = Lake(spark, tag)  # every table and the BI view
     table = lake.t("dim_customer")
     for i, b in enumerate((1, 2)):
-        _dim_after_step(spark, sf, table, b, RUN_PARTITIONS[i])
-        dim = spark.table(table)
-        fct = lookup_current(_orders(spark, sf, b), dim)
-        replace_partition(spark, lake.t("sales_mart"), sales_mart_op(fct, dim), RUN_PARTITIONS[i])
+        changes = scd2_changes(_source(spark, sf, b), spark.table(table))
+        dim = upsert(spark, table, changes.withColumn("partition", F.lit(RUN_PARTITIONS[i])), DIM_KEYS)
+        fct = lookup_current(_orders(spark, sf, b), dim.frame, broadcast=_lookup_fits(dim))
+        mart = sales_mart_op(fct, dim.frame, broadcast=_mart_fits(dim))
+        replace_partition(spark, lake.t("sales_mart"), mart, RUN_PARTITIONS[i])
     return lake
 
 
-def _dim_after_step(spark, sf, table, batch, partition):
-    changes = scd2_changes(_source(spark, sf, batch), spark.table(table))
-    upsert(spark, table, changes.withColumn("partition", F.lit(partition)), DIM_KEYS)
-
-
 def q_latest_partition(spark, sf):
     lake = _two_mart_partitions(spark, sf, "latest")
     return _without_load_time(latest_partition(spark, lake.t("sales_mart")))
@@ -230,8 +241,9 @@ def q_distinct_partitions(spark, sf):
 
 
 def q_check_not_null(spark, sf):
-    dim1 = _dim_after(spark, sf, Lake(spark, "check_nn", DIM_ONLY), [1])
-    mart = sales_mart_op(lookup_current(_orders(spark, sf, 2), dim1), dim1)
+    dim1 = _dim_version(spark, sf, Lake(spark, "check_nn", DIM_ONLY), [1])
+    fct = lookup_current(_orders(spark, sf, 2), dim1.frame, broadcast=_lookup_fits(dim1))
+    mart = sales_mart_op(fct, dim1.frame, broadcast=_mart_fits(dim1))
     frames = {
         "customer": read_table(spark, sf, "customer"),
         "orders": read_table(spark, sf, "orders"),
@@ -248,13 +260,13 @@ def q_check_not_null(spark, sf):
 
 
 def q_check_unique(spark, sf):
-    dim21 = _dim_after(spark, sf, Lake(spark, "check_unique", DIM_ONLY), [2, 1])
+    dim21 = _dim_version(spark, sf, Lake(spark, "check_unique", DIM_ONLY), [2, 1])
     frames = {
         "orders": read_table(spark, sf, "orders"),
         "events": read_table(spark, sf, "events"),
         "conversations": read_table(spark, sf, "conversations"),
         "documents": read_table(spark, sf, "documents"),
-        "fct_orders": lookup_current(_orders(spark, sf, 2), dim21),
+        "fct_orders": lookup_current(_orders(spark, sf, 2), dim21.frame, broadcast=_lookup_fits(dim21)),
     }
     suites = {
         "orders": (unique("o_orderkey"),),
@@ -268,15 +280,15 @@ def q_check_unique(spark, sf):
 
 def q_check_results(spark, sf):
     lake = Lake(spark, "check_results", ("dim_customer", "dq_results"))
-    dim = _dim_after(spark, sf, lake, [1, 2])
+    dim = _dim_version(spark, sf, lake, [1, 2])
     orders = _orders(spark, sf, 2)
-    fct = lookup_current(orders, dim)
+    fct = lookup_current(orders, dim.frame, broadcast=_lookup_fits(dim))
     frames = {
         "customer": customer_batch(spark, sf, BATCH_CUTS[2]),
         "orders": orders,
-        "dim_customer": dim,
+        "dim_customer": dim.frame,
         "fct_orders": fct,
-        "sales_mart": sales_mart_op(fct, dim),
+        "sales_mart": sales_mart_op(fct, dim.frame, broadcast=_mart_fits(dim)),
     }
     results = check_datasets(frames, SALES_SUITES).collect()
     append_results(spark, lake.t("dq_results"), results, "check_results")

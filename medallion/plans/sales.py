@@ -52,7 +52,10 @@ class SalesMartETL(LayeredETL):
 
     @logged
     def fct_orders(self, ctx: RunContext, inputs: Mapping[str, Dataset]) -> DataFrame:
-        return lookup_current(inputs["orders"].frame, inputs["dim_customer"].frame)
+        dim = inputs["dim_customer"]
+        return lookup_current(
+            inputs["orders"].frame, dim.frame, broadcast=_fits(dim, ["id", "customer_sur_id"])
+        )
 
     @logged
     def silver(self, ctx: RunContext, inputs: Mapping[str, Dataset]) -> dict[str, Dataset]:
@@ -78,7 +81,10 @@ class SalesMartETL(LayeredETL):
 
     @logged
     def sales_mart(self, ctx: RunContext, inputs: Mapping[str, Dataset]) -> DataFrame:
-        return sales_mart(inputs["fct_orders"].frame, inputs["dim_customer"].frame)
+        dim = inputs["dim_customer"]
+        return sales_mart(
+            inputs["fct_orders"].frame, dim.frame, broadcast=_fits(dim, ["customer_sur_id", "state_id"])
+        )
 
     @logged
     def gold(self, ctx: RunContext, inputs: Mapping[str, Dataset]) -> dict[str, Dataset]:
@@ -86,6 +92,12 @@ class SalesMartETL(LayeredETL):
         return {"sales_mart": Dataset("sales_mart", self.sales_mart(ctx, inputs), self.table("sales_mart"))}
 
 
+def _fits(ds: Dataset, cols) -> bool | None:
+    """Broadcast decision from the size observed when ``ds`` was staged (all
+    its rows bound the current ones); None (measure) if it was not profiled."""
+    return ds.profile.fits(ds.frame, cols) if ds.profile is not None else None
+
+
 def main(argv: list[str] | None = None) -> None:
     """``spark-submit -m medallion.plans.sales [partition]``; tables must exist
     (``medallion.plans.ddl``)."""

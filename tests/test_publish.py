@@ -90,7 +90,7 @@ def test_frame_resolved_before_publish_reads_old_version(spark, lake):
     t = _kv_table(spark, lake, "up5")
     upsert(spark, t, spark.createDataFrame([("a", 1)], "k STRING, v BIGINT"), ["k"])
     before = spark.table(t)
-    path, _ = stage_snapshot(spark, t, spark.createDataFrame([("a", 5)], "k STRING, v BIGINT"), ["k"])
+    path = stage_snapshot(spark, t, spark.createDataFrame([("a", 5)], "k STRING, v BIGINT"), ["k"]).path
     assert _rows(spark, t) == [("a", 1)]  # staged, not yet published
     publish_snapshot(spark, t, path)
     assert [tuple(r) for r in before.collect()] == [("a", 1)]
