@@ -131,6 +131,29 @@ def observe_not_null(frame: DataFrame, rules: Sequence[Rule], dataset: str):
     return observed, results
 
 
+def profile_and_check(frame: DataFrame, rules: Sequence[Rule], dataset: str, columns: Sequence[str]):
+    """One pass over ``frame``: the size profile of ``columns`` (all rows)
+    and the results of the not-null rules. Returns (profile, results)."""
+    from medallion.operators.sizing import profile_exprs, profile_from
+
+    nn = [r for r in rules if r.kind == "not_null"]
+    exprs, var = profile_exprs(frame.select(*columns))
+    exprs += [F.count_if(F.col(r.column).isNull()).alias(f"_u{i}") for i, r in enumerate(nn)]
+    row = frame.agg(*exprs).first()
+    results = [
+        {
+            "dataset": dataset,
+            "rule": r.name,
+            "column": r.column,
+            "element_count": int(row["_rows"]),
+            "unexpected_count": int(row[f"_u{i}"]),
+            "success": int(row[f"_u{i}"]) == 0,
+        }
+        for i, r in enumerate(nn)
+    ]
+    return profile_from(row, var, list(columns)), results
+
+
 def check_datasets(
     frames: Mapping[str, DataFrame], suites: Mapping[str, Sequence[Rule]]
 ) -> DataFrame:

@@ -9,6 +9,10 @@ plan that reads it. Every publish here is therefore two steps:
 2. **publish**: point the catalog at it, with ``ALTER TABLE .. [PARTITION ..]
    SET LOCATION``. Readers see the old or the new folder, never a mix.
 
+An upsert into a table partitioned by one column rewrites only the
+partitions it touches (those holding a matched row, and those the new rows go
+to); an unpartitioned table gets a whole new version.
+
 Checks run between the two steps, on the staged files, so a failed check
 publishes nothing. Frames resolved before a publish keep reading the folder
 they were resolved against. Old folders are left in place (like the
@@ -74,6 +78,18 @@ def _fields(spark: SparkSession, table: str) -> list[StructField]:
     return list(spark.table(table).schema.fields)
 
 
+class _Meta:
+    """What one operation needs to know about its table, fetched once."""
+
+    def __init__(self, spark: SparkSession, table: str):
+        self.home = table_home(spark, table).rstrip("/")
+        self.partition_cols = partition_columns(spark, table)
+        self.fields = _fields(spark, table)
+
+    def staging_path(self, kind: str) -> str:
+        return f"{self.home}/_{kind}/{uuid.uuid4().hex}"
+
+
 def conform(frame: DataFrame, fields: Sequence[StructField]) -> DataFrame:
     """Project ``frame`` onto a table's columns, in the table's order.
 
@@ -93,19 +109,26 @@ def conform(frame: DataFrame, fields: Sequence[StructField]) -> DataFrame:
     return frame.select(*cols)
 
 
-def _staging_path(spark: SparkSession, table: str, kind: str) -> str:
-    return f"{table_home(spark, table).rstrip('/')}/_{kind}/{uuid.uuid4().hex}"
-
-
 def materialize(frame: DataFrame, path: str) -> DataFrame:
     """Write ``frame`` to ``path`` once and read it back (cuts the lineage)."""
     frame.write.mode("errorifexists").parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-Staged = namedtuple("Staged", "path frame profile")
-Staged.__doc__ = """A written table version: folder, frame over it, and the size
-profile observed while writing it."""
+Staged = namedtuple("Staged", "path frame profile parts", defaults=(None,))
+Staged.__doc__ = """A written table version: folder, frame over the new content,
+the size profile observed while writing (None when it does not bound the whole
+table), and for a partitioned upsert the touched partitions as
+(value, has_rows) pairs (None: the folder is the whole table)."""
+
+# Characters written as %XX in partition folder names
+# (Hive's escaping rule, which Spark follows), plus control characters.
+_PATH_ESCAPES = frozenset('"#%\'*/:=?\\\x7f{[]^') | frozenset(chr(c) for c in range(1, 32))
+
+
+def partition_dir(column: str, value: str) -> str:
+    """Folder name ``column=value`` that ``partitionBy`` writes for a value."""
+    return f"{column}=" + "".join(f"%{ord(ch):02X}" if ch in _PATH_ESCAPES else ch for ch in value)
 
 
 # ------------------------------------------------------------ replace partition
@@ -126,11 +149,11 @@ def stage_partition(
     """
     if partition is None:
         raise ValueError("partition must be given")
-    if partition_columns(spark, table) != [partition_col]:
+    meta = _Meta(spark, table)
+    if meta.partition_cols != [partition_col]:
         raise ValueError(f"{table} is not partitioned by {partition_col!r} alone")
-    fields = _fields(spark, table)
-    data = [f for f in fields if f.name != partition_col]
-    path = _staging_path(spark, table, "staged")
+    data = [f for f in meta.fields if f.name != partition_col]
+    path = meta.staging_path("staged")
     rows = conform(frame, data)
     (transform(rows) if transform else rows).write.mode("errorifexists").parquet(path)
     staged = spark.read.schema(StructType(data)).parquet(path).select(
@@ -150,7 +173,6 @@ def publish_partition(
     spec = f"`{partition_col}` = {sql_str(partition)}"
     spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION {sql_str(path)}")
     spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION {sql_str(path)}")
-    spark.catalog.refreshTable(table)
 
 
 def replace_partition(
@@ -203,16 +225,23 @@ def merge_rows(
     (``broadcast=None``): the target is then streamed once, map-side, with no
     shuffle. Larger key sets are joined by shuffle.
     """
+    key_side = _key_side(source, keys, broadcast)
+    kept = target.join(key_side, _key_match(target, key_side, keys), "left_anti")
+    return source.unionByName(kept)
+
+
+def _key_side(source: DataFrame, keys: Sequence[str], broadcast: bool | None) -> DataFrame:
+    """The source's non-NULL keys (NULL keys never match), maybe broadcast."""
     not_null = F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
-    key_side = small_side(
-        source.where(not_null).select(*[F.col(k).alias(f"_u_{k}") for k in keys]), broadcast
-    )
+    return small_side(source.where(not_null).select(*[F.col(k).alias(f"_u_{k}") for k in keys]), broadcast)
+
+
+def _key_match(target: DataFrame, key_side: DataFrame, keys: Sequence[str]):
     cond = None
     for k in keys:
         c = target[k] == key_side[f"_u_{k}"]
         cond = c if cond is None else cond & c
-    kept = target.join(key_side, cond, "left_anti")
-    return source.unionByName(kept)
+    return cond
 
 
 def stage_snapshot(
@@ -235,29 +264,125 @@ def stage_snapshot(
     """
     if not keys:
         raise ValueError("upsert needs key columns")
-    if partition_columns(spark, table):
-        raise ValueError(f"upsert targets unpartitioned tables; {table} is partitioned")
-    fields = _fields(spark, table)
+    meta = _Meta(spark, table)
+    if meta.partition_cols:
+        raise ValueError(f"{table} is partitioned: use stage_upsert")
+    fields = meta.fields
     target = spark.table(table)
-    src = conform(source, fields)
+    src, broadcast_keys = _prepare_source(spark, table, meta, source, keys, materialize_source, check_duplicates)
+    path = meta.staging_path("snapshots")
+    snapshot, profile = observe_profile(merge_rows(target, src, keys, broadcast_keys))
+    (transform(snapshot) if transform else snapshot).write.mode("errorifexists").parquet(path)
+    return Staged(path, spark.read.schema(StructType(fields)).parquet(path), profile())
+
+
+def _prepare_source(spark, table, meta, source, keys, materialize_source, check_duplicates):
+    """Conform the source, write it once (observing its size), check keys."""
+    src = conform(source, meta.fields)
     broadcast_keys = None
     if materialize_source:
         observed, src_profile = observe_profile(src)
-        src = materialize(observed, _staging_path(spark, table, "batches"))
+        src = materialize(observed, meta.staging_path("batches"))
         broadcast_keys = src_profile().fits(src, keys)
-    if check_duplicates and _duplicate_matches(src, target, keys):
+    if check_duplicates and _duplicate_matches(src, spark.table(table), keys):
         raise DuplicateKeyError(
             f"upsert into {table}: a target row is matched by several source rows on {list(keys)}"
         )
-    path = _staging_path(spark, table, "snapshots")
-    snapshot, profile = observe_profile(merge_rows(target, src, keys, broadcast_keys))
-    (transform(snapshot) if transform else snapshot).write.mode("errorifexists").parquet(path)
-    return Staged(path, spark.read.schema(StructType(fields)).parquet(path), profile())
+    return src, broadcast_keys
+
+
+def stage_partitions(
+    spark: SparkSession,
+    table: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    *,
+    check_duplicates: bool = True,
+    materialize_source: bool = True,
+    transform=None,
+) -> Staged:
+    """Upsert into a table partitioned by one column, rewriting only the
+    partitions it touches.
+
+    Touched partitions are those holding a target row matched on ``keys``
+    (found with a semi join that reads only the key and partition columns)
+    and those the source rows go to. Their new content - unmatched target
+    rows plus the source rows - is written in one job with ``partitionBy``;
+    every other partition stays as it is, files and all. The touched values
+    are partition names (at most one per partition of the table), so they
+    are collected to the driver.
+    """
+    if not keys:
+        raise ValueError("upsert needs key columns")
+    meta = _Meta(spark, table)
+    if len(meta.partition_cols) != 1:
+        raise ValueError(f"{table} must be partitioned by exactly one column")
+    (pcol,) = meta.partition_cols
+    src, broadcast_keys = _prepare_source(spark, table, meta, source, keys, materialize_source, check_duplicates)
+    target = spark.table(table)
+    key_side = _key_side(src, keys, broadcast_keys)
+    matched = target.join(key_side, _key_match(target, key_side, keys), "left_semi").select(pcol)
+    touched = [r[0] for r in matched.unionByName(src.select(pcol)).distinct().collect()]
+    if any(v is None or str(v) == "" for v in touched):
+        raise ValueError(f"source rows need a non-empty {pcol!r}")
+    touched = sorted(touched)
+    if not touched:
+        return Staged(None, spark.table(table), None, ())
+    kept = target.where(F.col(pcol).isin(touched))
+    kept = kept.join(key_side, _key_match(kept, key_side, keys), "left_anti")
+    rows = src.unionByName(kept)
+    written = _ObservedValues(rows, pcol)
+    rows = written.frame
+    if transform:
+        rows = transform(rows)
+    path = meta.staging_path("partitions")
+    rows.write.mode("errorifexists").partitionBy(pcol).parquet(path)
+    filled = written.values()
+    new_rows = spark.read.schema(StructType(meta.fields)).parquet(path)
+    frame = spark.table(table).where(~F.col(pcol).isin(touched)).unionByName(new_rows)
+    parts = tuple((str(p), str(p) in filled) for p in touched)
+    return Staged(path, frame, None, parts)
+
+
+class _ObservedValues:
+    """Observe the distinct values of one column while a frame is written
+    (bounded here: they are partition values)."""
+
+    def __init__(self, frame: DataFrame, column: str):
+        from pyspark.sql import Observation
+
+        self._obs = Observation(f"parts_{uuid.uuid4().hex[:8]}")
+        self.frame = frame.observe(self._obs, F.collect_set(F.col(column).cast("string")).alias("_v"))
+
+    def values(self) -> set[str]:
+        return set(self._obs.get["_v"] or [])
+
+
+def stage_upsert(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str], **kw) -> Staged:
+    """Stage an upsert: partitioned tables rewrite touched partitions,
+    unpartitioned tables get a whole new version."""
+    if partition_columns(spark, table):
+        return stage_partitions(spark, table, source, keys, **kw)
+    return stage_snapshot(spark, table, source, keys, **kw)
+
+
+def publish_upsert(spark: SparkSession, table: str, staged: Staged) -> None:
+    """Publish a staged upsert: one location swap, or one catalog call per
+    touched partition (a partition left without rows is dropped)."""
+    if staged.parts is None:
+        publish_snapshot(spark, table, staged.path)
+        return
+    (pcol,) = partition_columns(spark, table)
+    for value, has_rows in staged.parts:
+        if has_rows:
+            publish_partition(spark, table, value, f"{staged.path}/{partition_dir(pcol, value)}", pcol)
+        else:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{pcol}` = {sql_str(value)})")
 
 
 def publish_snapshot(spark: SparkSession, table: str, path: str) -> None:
+    """Point the table at ``path`` (the command also refreshes cached listings)."""
     spark.sql(f"ALTER TABLE {table} SET LOCATION {sql_str(path)}")
-    spark.catalog.refreshTable(table)
 
 
 def upsert(
@@ -269,6 +394,6 @@ def upsert(
 ) -> Staged:
     """Update matched rows (all columns), insert the others; returns the
     published version (its ``frame`` reads the published files)."""
-    staged = stage_snapshot(spark, table, source, keys, **kw)
-    publish_snapshot(spark, table, staged.path)
+    staged = stage_upsert(spark, table, source, keys, **kw)
+    publish_upsert(spark, table, staged)
     return staged

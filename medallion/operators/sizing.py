@@ -82,6 +82,23 @@ class SizeProfile:
         return f"SizeProfile(rows={self.rows}, var_bytes={self.var_bytes})"
 
 
+def profile_exprs(frame: DataFrame) -> tuple[list, list[str]]:
+    var = [f.name for f in frame.schema.fields if isinstance(f.dataType, (StringType, BinaryType))]
+    exprs = [F.count(F.lit(1)).alias("_rows")]
+    exprs += [F.sum(F.coalesce(F.octet_length(F.col(c)), F.lit(0))).alias(f"_v{i}") for i, c in enumerate(var)]
+    return exprs, var
+
+
+def profile_from(row, var: list[str], columns: list[str]) -> SizeProfile:
+    return SizeProfile(int(row["_rows"]), {c: int(row[f"_v{i}"] or 0) for i, c in enumerate(var)}, columns)
+
+
+def profile_of(frame: DataFrame) -> SizeProfile:
+    """Size profile of ``frame`` from one pass (reads only its columns)."""
+    exprs, var = profile_exprs(frame)
+    return profile_from(frame.agg(*exprs).first(), var, list(frame.columns))
+
+
 def observe_profile(frame: DataFrame):
     """(observed frame, profile()) — ``profile()`` is valid once an action
     (a write) has run on the observed frame. No extra pass over the data."""
@@ -89,18 +106,7 @@ def observe_profile(frame: DataFrame):
 
     from pyspark.sql import Observation
 
-    var = [f.name for f in frame.schema.fields if isinstance(f.dataType, (StringType, BinaryType))]
+    exprs, var = profile_exprs(frame)
     obs = Observation(f"size_{uuid.uuid4().hex[:8]}")
-    observed = frame.observe(
-        obs,
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.sum(F.coalesce(F.octet_length(F.col(c)), F.lit(0))).alias(f"_v{i}") for i, c in enumerate(var)],
-    )
-
-    def profile() -> SizeProfile:
-        m = obs.get
-        return SizeProfile(
-            int(m["_rows"]), {c: int(m[f"_v{i}"] or 0) for i, c in enumerate(var)}, list(frame.columns)
-        )
-
-    return observed, profile
+    observed = frame.observe(obs, *exprs)
+    return observed, lambda: profile_from(obs.get, var, list(frame.columns))

@@ -45,8 +45,10 @@ BRONZE = {
     "orders": (ORDERS_COLUMNS + (ETL_INSERTED, PARTITION), True),
 }
 SILVER = {
-    # the dimension has no etl_inserted and is not partitioned
-    "dim_customer": (DIM_CUSTOMER_COLUMNS + (PARTITION,), False),
+    # The dimension has no etl_inserted. Its files are laid out by
+    # ``partition`` (the run that last wrote a row), so an upsert rewrites
+    # only the partitions holding rows it replaces plus the run's own.
+    "dim_customer": (DIM_CUSTOMER_COLUMNS + (PARTITION,), True),
     "fct_orders": (FCT_ORDERS_COLUMNS + (ETL_INSERTED, PARTITION), True),
 }
 GOLD = {"sales_mart": (SALES_MART_COLUMNS + (ETL_INSERTED, PARTITION), True)}
@@ -139,6 +141,23 @@ def _drop_layer(spark, layer, database) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
 
 
+def drop_bronze_tables(spark: SparkSession, database: str = "adventureworks") -> None:
+    _drop_layer(spark, BRONZE, database)
+
+
+def drop_silver_tables(spark: SparkSession, database: str = "adventureworks") -> None:
+    _drop_layer(spark, SILVER, database)
+
+
+def drop_gold_tables(spark: SparkSession, database: str = "adventureworks") -> None:
+    _drop_layer(spark, GOLD, database)
+
+
+def drop_interface_views(spark: SparkSession, database: str = "businessintelligence") -> None:
+    spark.sql(f"DROP VIEW IF EXISTS {database}.sales_mart")
+    spark.sql(f"DROP DATABASE IF EXISTS {database}")
+
+
 def drop_all(
     spark: SparkSession, database: str = "adventureworks", bi_database: str = "businessintelligence"
 ) -> None:

@@ -30,14 +30,16 @@ from medallion.operators.checks import (
     check_datasets,
     gate,
     observe_not_null,
+    profile_and_check,
     result_row,
     write_result_rows,
 )
 from medallion.operators.publish import (
+    partition_columns,
     publish_partition,
-    publish_snapshot,
+    publish_upsert,
     stage_partition,
-    stage_snapshot,
+    stage_upsert,
 )
 from medallion.operators.runlog import RunLog, logged
 from medallion.session import shared_dir
@@ -60,6 +62,8 @@ def check_required_inputs(inputs: Mapping[str, Dataset], required: Sequence[str]
 
 class LayeredETL(ABC):
     pipeline_id = "etl"
+    # columns whose size bounds later broadcast decisions, per upserted dataset
+    profile_columns: dict[str, list[str]] = {}
 
     def __init__(
         self,
@@ -102,8 +106,12 @@ class LayeredETL(ABC):
     def stage(self, ctx: RunContext, ds: Dataset) -> Dataset:
         """Write ``ds`` once; return it with a frame over the written files.
 
-        The dataset's not-null rules ride on this write as observed metrics;
-        their result rows are kept on the returned dataset.
+        When the written rows are the dataset's whole new content (a
+        partition, or a whole new table version) its not-null rules ride on
+        the write as observed metrics; their result rows are kept on the
+        returned dataset. A partitioned upsert writes only the touched
+        partitions; its not-null rules and the size profile of the new
+        version (over ``profile_columns``) then come from one pass.
         """
         if ds.staged is not None or ds.publish is Publish.SKIP:
             return ds
@@ -120,23 +128,35 @@ class LayeredETL(ABC):
             )
         else:
             source = ds.frame.withColumn("partition", F.lit(ctx.partition))
-            staged = stage_snapshot(self.spark, ds.table, source, ds.keys, transform=observe)
-            path, frame = staged.path, staged.frame
-            ds = replace(ds, profile=staged.profile)
+            whole = not partition_columns(self.spark, ds.table)
+            staged = stage_upsert(
+                self.spark, ds.table, source, ds.keys, transform=observe if whole else None
+            )
+            path, frame = staged.path or "", staged.frame
+            profile = staged.profile
+            if not whole:
+                rules = self.suites.get(ds.name, ())
+                cols = self.profile_columns.get(ds.name) or [r.column for r in rules]
+                profile, results = profile_and_check(frame, rules, ds.name, cols)
+                resolved.append(lambda: results)
+            ds = replace(ds, profile=profile, version=staged)
         return ds.with_frame(frame, path, tuple(resolved[0]() if resolved else ()))
 
     @logged
     def validate(self, ctx: RunContext, datasets: Mapping[str, Dataset]) -> bool:
-        """Gate a layer: observed not-null results plus one job for the
-        unique rules (over the staged files)."""
+        """Gate a layer: results observed by the staging writes, plus one job
+        for the remaining rules (unique rules; not-null rules of partial
+        writes) over the datasets' new content."""
         results = [r for ds in datasets.values() for r in ds.observed]
-        unique_suites = {
-            name: tuple(r for r in self.suites.get(name, ()) if r.kind != "not_null")
-            for name in datasets
-        }
-        frames = {n: d.frame for n, d in datasets.items() if unique_suites[n]}
+        remaining = {}
+        for name, ds in datasets.items():
+            done = {(r["rule"], r["column"]) for r in ds.observed}
+            remaining[name] = tuple(
+                r for r in self.suites.get(name, ()) if (r.name, r.column) not in done
+            )
+        frames = {n: d.frame for n, d in datasets.items() if remaining[n]}
         if frames:
-            results += check_datasets(frames, unique_suites).collect()
+            results += check_datasets(frames, remaining).collect()
         ctx.results.extend(result_row(ctx.run_id, r) for r in results)
         return gate(results, list(datasets))
 
@@ -145,7 +165,7 @@ class LayeredETL(ABC):
             if ds.publish is Publish.REPLACE_PARTITION:
                 publish_partition(self.spark, ds.table, ctx.partition, ds.staged)
             elif ds.publish is Publish.UPSERT:
-                publish_snapshot(self.spark, ds.table, ds.staged)
+                publish_upsert(self.spark, ds.table, ds.version)
 
     def _layer(self, ctx: RunContext, built: Mapping[str, Dataset]) -> dict[str, Dataset]:
         staged = {name: self.stage(ctx, ds) for name, ds in built.items()}

@@ -26,6 +26,7 @@ from medallion.operators.latest import latest_partition
 from medallion.operators.lookup import lookup_current
 from medallion.operators.mart import sales_mart as sales_mart_op
 from medallion.operators.publish import replace_partition, upsert
+from medallion.operators.sizing import profile_of
 from medallion.operators.scd2 import (
     current_rows,
     scd2_changes,
@@ -85,6 +86,9 @@ def _dim_version(spark: SparkSession, sf: str, lake: Lake, batches: Sequence[int
     for i, b in enumerate(batches):
         changes = scd2_changes(_source(spark, sf, b), spark.table(table))
         staged = upsert(spark, table, changes.withColumn("partition", F.lit(RUN_PARTITIONS[i])), DIM_KEYS)
+    if staged.profile is None:  # partial rewrite: profile the new version once
+        profile = profile_of(staged.frame.select("id", "customer_sur_id", "state_id"))
+        staged = staged._replace(profile=profile)
     return staged
 
 
@@ -93,11 +97,17 @@ def _dim_after(spark: SparkSession, sf: str, lake: Lake, batches: Sequence[int])
     return spark.table(lake.t("dim_customer"))
 
 
-def _lookup_fits(staged) -> bool:
+def _lookup_fits(staged) -> bool | None:
+    """Broadcast decision from the observed size of the new version, or
+    None (measure) when the write did not cover the whole table."""
+    if staged.profile is None:
+        return None
     return staged.profile.fits(staged.frame, ["id", "customer_sur_id"])
 
 
-def _mart_fits(staged) -> bool:
+def _mart_fits(staged) -> bool | None:
+    if staged.profile is None:
+        return None
     return staged.profile.fits(staged.frame, ["customer_sur_id", "state_id"])
 
 

@@ -24,6 +24,7 @@ Source = Callable[[SparkSession], tuple[DataFrame, DataFrame]]
 
 class SalesMartETL(LayeredETL):
     pipeline_id = "sales_mart"
+    profile_columns = {"dim_customer": ["id", "customer_sur_id", "state_id"]}
 
     def __init__(
         self,
@@ -93,7 +94,7 @@ class SalesMartETL(LayeredETL):
 
 
 def _fits(ds: Dataset, cols) -> bool | None:
-    """Broadcast decision from the size observed when ``ds`` was staged (all
+    """Broadcast decision from the size profiled when ``ds`` was staged (all
     its rows bound the current ones); None (measure) if it was not profiled."""
     return ds.profile.fits(ds.frame, cols) if ds.profile is not None else None
 

@@ -97,7 +97,47 @@ def test_frame_resolved_before_publish_reads_old_version(spark, lake):
     assert _rows(spark, t) == [("a", 5)]
 
 
-def test_upsert_rejects_partitioned_target(spark, lake):
-    t = _kv_table(spark, lake, "up6", partitioned=True)
+def _part_location(spark, table, value):
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION (partition = '{value}')").collect()
+    return {r["col_name"]: r["data_type"] for r in rows}["Location"]
+
+
+def test_partitioned_upsert_rewrites_touched_partitions_only(spark, lake):
+    t = _kv_table(spark, lake, "pu", partitioned=True)
+    df = lambda rows: spark.createDataFrame(rows, "k STRING, v BIGINT, partition STRING")
+    upsert(spark, t, df([("a", 1, "p1"), ("b", 2, "p1"), ("c", 3, "p1"), (None, 0, "p1")]), ["k"])
+    staged = upsert(spark, t, df([("a", 10, "p2"), (None, 5, "p2")]), ["k"])
+    assert dict(staged.parts) == {"p1": True, "p2": True}
+    assert _rows(spark, t, "k, v, partition") == sorted(
+        [("b", 2, "p1"), ("c", 3, "p1"), (None, 0, "p1"), ("a", 10, "p2"), (None, 5, "p2")], key=repr
+    )
+    p1, p2 = _part_location(spark, t, "p1"), _part_location(spark, t, "p2")
+    staged = upsert(spark, t, df([("d", 4, "p3")]), ["k"])  # matches nothing
+    assert staged.parts == (("p3", True),)
+    assert (_part_location(spark, t, "p1"), _part_location(spark, t, "p2")) == (p1, p2)
+    # the frame of the new version equals the published table
+    assert sorted(map(tuple, staged.frame.collect()), key=repr) == _rows(spark, t, "k, v, partition")
+
+
+def test_partitioned_upsert_drops_emptied_partition(spark, lake):
+    t = _kv_table(spark, lake, "pu2", partitioned=True)
+    df = lambda rows: spark.createDataFrame(rows, "k STRING, v BIGINT, partition STRING")
+    upsert(spark, t, df([("a", 1, "p1"), ("b", 2, "p1")]), ["k"])
+    staged = upsert(spark, t, df([("a", 3, "p2"), ("b", 4, "p2")]), ["k"])
+    assert dict(staged.parts) == {"p1": False, "p2": True}
+    assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {t}").collect()] == ["partition=p2"]
+    assert _rows(spark, t, "k, v, partition") == [("a", 3, "p2"), ("b", 4, "p2")]
+    # rerun of the same run partition replaces it in place
+    upsert(spark, t, df([("a", 3, "p2"), ("b", 4, "p2")]), ["k"])
+    assert _rows(spark, t, "k, v, partition") == [("a", 3, "p2"), ("b", 4, "p2")]
+
+
+def test_partitioned_upsert_duplicates_and_null_partition(spark, lake):
+    t = _kv_table(spark, lake, "pu3", partitioned=True)
+    df = lambda rows: spark.createDataFrame(rows, "k STRING, v BIGINT, partition STRING")
+    upsert(spark, t, df([("a", 1, "p1")]), ["k"])
+    with pytest.raises(DuplicateKeyError):
+        upsert(spark, t, df([("a", 2, "p2"), ("a", 3, "p2")]), ["k"])
     with pytest.raises(ValueError):
-        upsert(spark, t, spark.createDataFrame([("a", 1, "p")], "k STRING, v BIGINT, partition STRING"), ["k"])
+        upsert(spark, t, df([("z", 2, None)]), ["k"])
+    assert _rows(spark, t, "k, v, partition") == [("a", 1, "p1")]
