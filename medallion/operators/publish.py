@@ -305,12 +305,14 @@ def stage_partitions(
     partitions it touches.
 
     Touched partitions are those holding a target row matched on ``keys``
-    (found with a semi join that reads only the key and partition columns)
-    and those the source rows go to. Their new content - unmatched target
-    rows plus the source rows - is written in one job with ``partitionBy``;
-    every other partition stays as it is, files and all. The touched values
-    are partition names (at most one per partition of the table), so they
-    are collected to the driver.
+    and those the source rows go to. One pass finds them: the source keys
+    with their repeat counts are joined to the target's key and partition
+    columns (broadcast when their observed size fits), which also tells
+    whether a target row is matched by several source rows. The new content
+    of the touched partitions - their unmatched target rows plus the source
+    rows - is written in one job with ``partitionBy``; every other partition
+    stays as it is, files and all. Touched values are partition names (at
+    most one per partition of the table), so they are collected.
     """
     if not keys:
         raise ValueError("upsert needs key columns")
@@ -318,30 +320,54 @@ def stage_partitions(
     if len(meta.partition_cols) != 1:
         raise ValueError(f"{table} must be partitioned by exactly one column")
     (pcol,) = meta.partition_cols
-    src, broadcast_keys = _prepare_source(spark, table, meta, source, keys, materialize_source, check_duplicates)
-    target = spark.table(table)
-    key_side = _key_side(src, keys, broadcast_keys)
-    matched = target.join(key_side, _key_match(target, key_side, keys), "left_semi").select(pcol)
-    touched = [r[0] for r in matched.unionByName(src.select(pcol)).distinct().collect()]
-    if any(v is None or str(v) == "" for v in touched):
+    src = conform(source, meta.fields)
+    src_parts = _ObservedValues(src, pcol)
+    src = src_parts.frame
+    fits = None
+    if materialize_source:
+        observed, src_profile = observe_profile(src)
+        src = materialize(observed, meta.staging_path("batches"))
+        fits = src_profile().fits(src, [*keys, "_n"])
+        source_values = src_parts.values() | ({None} if src_parts.has_null() else set())
+    else:
+        source_values = {r[0] for r in src.select(pcol).distinct().collect()}
+    if any(v is None or v == "" for v in source_values):
         raise ValueError(f"source rows need a non-empty {pcol!r}")
-    touched = sorted(touched)
+
+    target = spark.table(table)
+    not_null = F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+    per_key = small_side(
+        src.where(not_null)
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select(*[F.col(k).alias(f"_u_{k}") for k in keys], "_n"),
+        fits,
+    )
+    hits = (
+        target.select(*keys, pcol)
+        .join(per_key, _key_match(target, per_key, keys))
+        .agg(F.collect_set(F.col(pcol).cast("string")).alias("parts"), F.max("_n").alias("max_n"))
+        .first()
+    )
+    if check_duplicates and (hits["max_n"] or 0) > 1:
+        raise DuplicateKeyError(
+            f"upsert into {table}: a target row is matched by several source rows on {list(keys)}"
+        )
+    touched = sorted(set(hits["parts"] or []) | {str(v) for v in source_values})
     if not touched:
         return Staged(None, spark.table(table), None, ())
-    kept = target.where(F.col(pcol).isin(touched))
+
+    key_side = _key_side(src, keys, fits)
+    kept = target.where(F.col(pcol).cast("string").isin(touched))
     kept = kept.join(key_side, _key_match(kept, key_side, keys), "left_anti")
-    rows = src.unionByName(kept)
-    written = _ObservedValues(rows, pcol)
-    rows = written.frame
-    if transform:
-        rows = transform(rows)
+    written = _ObservedValues(src.unionByName(kept), pcol)
+    rows = transform(written.frame) if transform else written.frame
     path = meta.staging_path("partitions")
     rows.write.mode("errorifexists").partitionBy(pcol).parquet(path)
     filled = written.values()
     new_rows = spark.read.schema(StructType(meta.fields)).parquet(path)
-    frame = spark.table(table).where(~F.col(pcol).isin(touched)).unionByName(new_rows)
-    parts = tuple((str(p), str(p) in filled) for p in touched)
-    return Staged(path, frame, None, parts)
+    frame = spark.table(table).where(~F.col(pcol).cast("string").isin(touched)).unionByName(new_rows)
+    return Staged(path, frame, None, tuple((p, p in filled) for p in touched))
 
 
 class _ObservedValues:
@@ -352,9 +378,18 @@ class _ObservedValues:
         from pyspark.sql import Observation
 
         self._obs = Observation(f"parts_{uuid.uuid4().hex[:8]}")
-        self.frame = frame.observe(self._obs, F.collect_set(F.col(column).cast("string")).alias("_v"))
+        # collect_set skips NULLs: count them separately
+        self.frame = frame.observe(
+            self._obs,
+            F.collect_set(F.col(column).cast("string")).alias("_v"),
+            F.count_if(F.col(column).isNull()).alias("_nulls"),
+        )
+        self._column = column
+
+    def has_null(self) -> bool:
+        return bool(self._obs.get["_nulls"])
 
-    def values(self) -> set[str]:
+    def values(self) -> set:
         return set(self._obs.get["_v"] or [])
 
 
