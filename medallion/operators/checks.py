@@ -4,7 +4,10 @@ A rule passes only with zero unexpected rows. ``not_null`` counts NULLs;
 ``unique`` ignores NULLs and counts every row of a repeated value. All
 not-null rules of a dataset share one aggregation; each unique rule is one
 ``groupBy`` whose map-side partial aggregation collapses a hot value before
-the shuffle. Only the result rows (one per rule) reach the driver.
+the shuffle. For variable-length values (texts) that groupBy is on a 64-bit
+hash and the length instead of the value, so whole texts are not shuffled;
+only rows whose (hash, length) repeats are grouped again by the exact value.
+Only the result rows (one per rule) reach the driver.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 
 class InvalidDataError(Exception):
@@ -71,6 +75,36 @@ def _result(dataset: str, rule: Rule, element_count, unexpected_count) -> list:
     ]
 
 
+def _unique_hashed(frame: DataFrame, rule: Rule, dataset: str) -> DataFrame:
+    """Exact unique check for variable-length values, shuffling hashes.
+
+    Equal values have equal (xxhash64, byte length), so a value that repeats
+    lies in a (hash, length) group of two or more rows; rows of singleton
+    groups are unique. Only the rows of repeated groups (duplicates, or hash
+    collisions) are grouped again by their exact value.
+    """
+    v = F.col(rule.column)
+    # Both keys are non-NULL expressions (NULLs get length -1), so Catalyst
+    # infers no filter below the aggregate and the two uses of per_hash
+    # share one shuffle.
+    keyed = frame.select(
+        v.alias("_v"), F.xxhash64(v).alias("_h"), F.coalesce(F.octet_length(v), F.lit(-1)).alias("_l")
+    )
+    per_hash = keyed.groupBy("_h", "_l").agg(F.count(F.lit(1)).alias("_c"))
+    candidates = per_hash.where(F.col("_c") > 1).select("_h", "_l")
+    exact = (
+        keyed.where(F.col("_v").isNotNull())
+        .join(candidates, ["_h", "_l"], "left_semi")
+        .groupBy("_v")
+        .agg(F.count(F.lit(1)).alias("_c"))
+        .where(F.col("_c") > 1)
+    )
+    counts = per_hash.select(F.col("_c").alias("_all"), F.lit(0).cast("bigint").alias("_bad")).unionByName(
+        exact.select(F.lit(0).cast("bigint").alias("_all"), F.col("_c").alias("_bad"))
+    )
+    return counts.agg(*_result(dataset, rule, F.sum("_all"), F.sum("_bad")))
+
+
 def check_frame(frame: DataFrame, rules: Sequence[Rule], dataset: str) -> DataFrame:
     """One result row per rule, computed by Spark."""
     parts: list[DataFrame] = []
@@ -82,8 +116,12 @@ def check_frame(frame: DataFrame, rules: Sequence[Rule], dataset: str) -> DataFr
         )
         rows = F.array(*[F.struct(*_result(dataset, r, F.col("_n"), F.col(f"_u{i}"))) for i, r in enumerate(nn)])
         parts.append(counts.select(F.explode(rows).alias("_r")).select("_r.*"))
+    types = dict((f.name, f.dataType) for f in frame.schema.fields)
     for r in rules:
         if r.kind == "unique":
+            if isinstance(types.get(r.column), (StringType, BinaryType)):
+                parts.append(_unique_hashed(frame, r, dataset))
+                continue
             per_value = frame.groupBy(F.col(r.column).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
             repeated = F.when(F.col("_v").isNotNull() & (F.col("_c") > 1), F.col("_c"))
             parts.append(per_value.agg(*_result(dataset, r, F.sum("_c"), F.sum(repeated))))

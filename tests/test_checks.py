@@ -61,3 +61,17 @@ def test_gate_raises_first_failed_in_order(spark):
     with pytest.raises(InvalidDataError, match="x dataset"):
         gate(results, ["x", "y"])
     assert gate(check_datasets(frames, {"x": [unique("id")]}).collect(), ["x", "y"])
+
+
+def test_unique_hashed_matches_direct(spark):
+    from pyspark.sql import functions as F
+
+    texts = ["alpha", "beta", "alpha", None, "", "", "gamma" * 1000, "gamma" * 1000, "delta"]
+    frame = spark.createDataFrame([(t,) for t in texts], "s STRING")
+    (row,) = check_frame(frame, [unique("s")], "d").collect()
+    # repeated: alpha x2, '' x2, long text x2 -> 6 rows; NULL ignored
+    assert (row["element_count"], row["unexpected_count"], row["success"]) == (9, 6, False)
+    ints = frame.select(F.length("s").alias("n"))  # a fixed-width column takes the direct path
+    (row,) = check_frame(ints, [unique("n")], "d").collect()
+    # lengths: 5, 4, 5, NULL, 0, 0, 5000, 5000, 5 -> 5 x3, 0 x2, 5000 x2 repeat
+    assert row["unexpected_count"] == 7
