@@ -45,7 +45,11 @@ def main() -> None:
         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")},
     )
 
-    # warm-up: JVM, class loading, parquet footers
+    # warm-up on the smallest fixture: JVM, JIT, class loading, writer and
+    # catalog code paths (two full ETL runs); then a scan of the bench data
+    warm = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
+    if os.path.isdir(warm):
+        QUERIES["two_run_view"](spark, warm).write.format("noop").mode("overwrite").save()
     QUERIES["bronze_orders"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     timings = {}

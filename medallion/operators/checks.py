@@ -240,4 +240,5 @@ RESULT_TABLE_SCHEMA = "run_id STRING, " + RESULT_SCHEMA + ", checked_at TIMESTAM
 
 def write_result_rows(spark: SparkSession, table: str, rows: Sequence[tuple]) -> None:
     if rows:
-        spark.createDataFrame(list(rows), RESULT_TABLE_SCHEMA).write.insertInto(table)
+        # one row per rule: one file per append
+        spark.createDataFrame(list(rows), RESULT_TABLE_SCHEMA).coalesce(1).write.insertInto(table)

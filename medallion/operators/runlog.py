@@ -46,7 +46,8 @@ class RunLog:
 
     def flush(self) -> None:
         if self.rows:
-            self.spark.createDataFrame(self.rows, RUN_LOG_SCHEMA).write.insertInto(self.table)
+            # a handful of rows: one file per flush, not one per default slice
+            self.spark.createDataFrame(self.rows, RUN_LOG_SCHEMA).coalesce(1).write.insertInto(self.table)
             self.rows = []
 
 
