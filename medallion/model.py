@@ -8,6 +8,10 @@ from enum import Enum
 from pyspark.sql import DataFrame
 
 
+DEFAULT_DATABASE = "sales"
+DEFAULT_BI_DATABASE = "businessintelligence"
+
+
 class Publish(Enum):
     """How a dataset reaches its table."""
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from medallion.model import (
+    DEFAULT_BI_DATABASE,
+    DEFAULT_DATABASE,
     CUSTOMER_COLUMNS,
     DIM_CUSTOMER_COLUMNS,
     ETL_INSERTED,
@@ -80,27 +82,27 @@ def _create_layer(spark, layer, path, database) -> None:
         create_table(spark, database, name, columns, partitioned, path)
 
 
-def create_bronze_tables(spark: SparkSession, path: str, database: str = "adventureworks") -> None:
+def create_bronze_tables(spark: SparkSession, path: str, database: str = DEFAULT_DATABASE) -> None:
     _create_layer(spark, BRONZE, path, database)
 
 
-def create_silver_tables(spark: SparkSession, path: str, database: str = "adventureworks") -> None:
+def create_silver_tables(spark: SparkSession, path: str, database: str = DEFAULT_DATABASE) -> None:
     _create_layer(spark, SILVER, path, database)
 
 
-def create_gold_tables(spark: SparkSession, path: str, database: str = "adventureworks") -> None:
+def create_gold_tables(spark: SparkSession, path: str, database: str = DEFAULT_DATABASE) -> None:
     _create_layer(spark, GOLD, path, database)
 
 
-def create_metadata_tables(spark: SparkSession, path: str, database: str = "adventureworks") -> None:
+def create_metadata_tables(spark: SparkSession, path: str, database: str = DEFAULT_DATABASE) -> None:
     _create_layer(spark, METADATA, path, database)
 
 
 def create_interface_views(
     spark: SparkSession,
     path: str,
-    database: str = "businessintelligence",
-    src_database: str = "adventureworks",
+    database: str = DEFAULT_BI_DATABASE,
+    src_database: str = DEFAULT_DATABASE,
 ) -> None:
     """The BI view: newest partition of the mart, renamed columns."""
     create_database(spark, database, path)
@@ -126,8 +128,8 @@ def create_tables(spark: SparkSession, path: str, database: str, names) -> None:
 def create_all(
     spark: SparkSession,
     path: str,
-    database: str = "adventureworks",
-    bi_database: str = "businessintelligence",
+    database: str = DEFAULT_DATABASE,
+    bi_database: str = DEFAULT_BI_DATABASE,
 ) -> None:
     create_bronze_tables(spark, path, database)
     create_silver_tables(spark, path, database)
@@ -141,25 +143,25 @@ def _drop_layer(spark, layer, database) -> None:
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
 
 
-def drop_bronze_tables(spark: SparkSession, database: str = "adventureworks") -> None:
+def drop_bronze_tables(spark: SparkSession, database: str = DEFAULT_DATABASE) -> None:
     _drop_layer(spark, BRONZE, database)
 
 
-def drop_silver_tables(spark: SparkSession, database: str = "adventureworks") -> None:
+def drop_silver_tables(spark: SparkSession, database: str = DEFAULT_DATABASE) -> None:
     _drop_layer(spark, SILVER, database)
 
 
-def drop_gold_tables(spark: SparkSession, database: str = "adventureworks") -> None:
+def drop_gold_tables(spark: SparkSession, database: str = DEFAULT_DATABASE) -> None:
     _drop_layer(spark, GOLD, database)
 
 
-def drop_interface_views(spark: SparkSession, database: str = "businessintelligence") -> None:
+def drop_interface_views(spark: SparkSession, database: str = DEFAULT_BI_DATABASE) -> None:
     spark.sql(f"DROP VIEW IF EXISTS {database}.sales_mart")
     spark.sql(f"DROP DATABASE IF EXISTS {database}")
 
 
 def drop_all(
-    spark: SparkSession, database: str = "adventureworks", bi_database: str = "businessintelligence"
+    spark: SparkSession, database: str = DEFAULT_DATABASE, bi_database: str = DEFAULT_BI_DATABASE
 ) -> None:
     """Drop view, tables and databases (files stay: the tables are external)."""
     spark.sql(f"DROP VIEW IF EXISTS {bi_database}.sales_mart")

@@ -25,7 +25,7 @@ from datetime import datetime
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from medallion.model import Dataset, Publish
+from medallion.model import DEFAULT_DATABASE, Dataset, Publish
 from medallion.operators.checks import (
     check_datasets,
     gate,
@@ -69,7 +69,7 @@ class LayeredETL(ABC):
         self,
         spark: SparkSession,
         storage_path: str | None = None,
-        database: str = "adventureworks",
+        database: str = DEFAULT_DATABASE,
         suites: Mapping | None = None,
         metadata_database: str | None = None,
     ):

@@ -10,7 +10,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from medallion.functions.columns import with_surrogate_key
-from medallion.model import Dataset, Publish
+from medallion.model import DEFAULT_DATABASE, Dataset, Publish
 from medallion.operators.checks import SALES_SUITES
 from medallion.operators.lookup import lookup_current
 from medallion.operators.mart import sales_mart
@@ -30,7 +30,7 @@ class SalesMartETL(LayeredETL):
         self,
         spark: SparkSession,
         storage_path: str | None = None,
-        database: str = "adventureworks",
+        database: str = DEFAULT_DATABASE,
         source: Source | None = None,
         metadata_database: str | None = None,
     ):
