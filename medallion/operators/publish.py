@@ -21,6 +21,7 @@ versions of a table log) and can be removed with ``vacuum``.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -43,35 +44,52 @@ class DuplicateKeyError(ValueError):
 # --------------------------------------------------------------------- catalog
 
 
-def _describe(spark: SparkSession, table: str) -> list:
-    return spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+def _describe(spark: SparkSession, table: str) -> dict:
+    """Location, table properties and partition columns, from one
+    ``DESCRIBE TABLE EXTENDED``."""
+    info = {"partition_cols": [], "properties": {}}
+    inside = False
+    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
+        name, value = (r["col_name"] or "").strip(), r["data_type"] or ""
+        if name == "# Partition Information":
+            inside = True
+        elif inside:
+            if not name or (name.startswith("#") and name != "# col_name"):
+                inside = False
+            elif name != "# col_name":
+                info["partition_cols"].append(name)
+        if name == "Location":
+            info["location"] = value
+        elif name == "Table Properties":
+            info["properties"] = _parse_properties(value)
+    return info
+
+
+def _parse_properties(text: str) -> dict[str, str]:
+    """``[k1=v1, k2=v2]`` as printed by DESCRIBE (values may hold ', ')."""
+    body = text.strip()
+    if body.startswith("[") and body.endswith("]"):
+        body = body[1:-1]
+    props, key = {}, None
+    for piece in re.split(r", (?=[\w.\-]+=)", body):
+        if "=" in piece:
+            key, value = piece.split("=", 1)
+            props[key] = value
+    return props
 
 
 def table_location(spark: SparkSession, table: str) -> str:
-    return {r["col_name"]: r["data_type"] for r in _describe(spark, table)}["Location"]
+    return _describe(spark, table)["location"]
 
 
 def table_home(spark: SparkSession, table: str) -> str:
     """The folder new versions of the table are staged in."""
-    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
-    return props.get(HOME_PROPERTY) or table_location(spark, table)
+    info = _describe(spark, table)
+    return info["properties"].get(HOME_PROPERTY) or info["location"]
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    """Partition columns, from the "# Partition Information" block of DESCRIBE."""
-    cols, inside = [], False
-    for r in _describe(spark, table):
-        name = (r["col_name"] or "").strip()
-        if name == "# Partition Information":
-            inside = True
-        elif inside and name.startswith("#"):
-            if name != "# col_name":
-                break
-        elif inside:
-            if not name:
-                break
-            cols.append(name)
-    return cols
+    return _describe(spark, table)["partition_cols"]
 
 
 def _fields(spark: SparkSession, table: str) -> list[StructField]:
@@ -82,8 +100,9 @@ class _Meta:
     """What one operation needs to know about its table, fetched once."""
 
     def __init__(self, spark: SparkSession, table: str):
-        self.home = table_home(spark, table).rstrip("/")
-        self.partition_cols = partition_columns(spark, table)
+        info = _describe(spark, table)
+        self.home = (info["properties"].get(HOME_PROPERTY) or info["location"]).rstrip("/")
+        self.partition_cols = info["partition_cols"]
         self.fields = _fields(spark, table)
 
     def staging_path(self, kind: str) -> str:
