@@ -15,8 +15,9 @@ to); an unpartitioned table gets a whole new version.
 
 Checks run between the two steps, on the staged files, so a failed check
 publishes nothing. Frames resolved before a publish keep reading the folder
-they were resolved against. Old folders are left in place (like the
-versions of a table log) and can be removed with ``vacuum``.
+they were resolved against. Replaced folders are left in place, like the
+old versions of a table log; removing them is left to the storage's
+retention rules.
 """
 
 from __future__ import annotations

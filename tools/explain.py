@@ -14,8 +14,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def main() -> None:
-    from pyspark.sql import functions as F
-
     from medallion.operators.checks import check_frame, unique
     from medallion.operators.latest import latest_partition
     from medallion.operators.lookup import lookup_current
