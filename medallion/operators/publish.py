@@ -380,7 +380,14 @@ def stage_partitions(
     key_side = _key_side(src, keys, fits)
     kept = target.where(F.col(pcol).cast("string").isin(touched))
     kept = kept.join(key_side, _key_match(kept, key_side, keys), "left_anti")
-    written = _ObservedValues(src.unionByName(kept), pcol)
+    rows = src.unionByName(kept)
+    if not fits:
+        # The anti join shuffled by key, so every task would hold rows of
+        # every touched partition (tasks x partitions files). Rebalance by
+        # the partition column first: AQE sizes the write tasks and splits a
+        # hot partition (e.g. the run's own, holding all new rows).
+        rows = rows.hint("rebalance", pcol)
+    written = _ObservedValues(rows, pcol)
     rows = transform(written.frame) if transform else written.frame
     path = meta.staging_path("partitions")
     rows.write.mode("errorifexists").partitionBy(pcol).parquet(path)

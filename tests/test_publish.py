@@ -141,3 +141,17 @@ def test_partitioned_upsert_duplicates_and_null_partition(spark, lake):
     with pytest.raises(ValueError):
         upsert(spark, t, df([("z", 2, None)]), ["k"])
     assert _rows(spark, t, "k, v, partition") == [("a", 1, "p1")]
+
+
+def test_partitioned_upsert_shuffle_path(spark, lake):
+    # keys too large to broadcast (limit 0): the rebalanced shuffle path
+    t = _kv_table(spark, lake, "pu4", partitioned=True)
+    df = lambda rows: spark.createDataFrame(rows, "k STRING, v BIGINT, partition STRING")
+    spark.conf.set("spark.medallion.broadcastMaxBytes", "0")
+    try:
+        upsert(spark, t, df([("a", 1, "p1"), ("b", 2, "p1"), ("c", 3, "p2")]), ["k"])
+        staged = upsert(spark, t, df([("a", 10, "p3"), ("c", 30, "p3")]), ["k"])
+    finally:
+        spark.conf.unset("spark.medallion.broadcastMaxBytes")
+    assert dict(staged.parts) == {"p1": True, "p2": False, "p3": True}
+    assert _rows(spark, t, "k, v, partition") == [("a", 10, "p3"), ("b", 2, "p1"), ("c", 30, "p3")]
