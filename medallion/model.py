@@ -38,6 +38,7 @@ class Dataset:
     observed: tuple = field(default_factory=tuple)  # check results computed by the staging write
     profile: object = None  # SizeProfile observed by the staging write, when known
     version: object = None  # for upserts: the staged version (publish.Staged)
+    sort_within: tuple[str, ...] = field(default_factory=tuple)  # order inside written files
 
     def with_frame(self, frame: DataFrame, staged: str | None = None, observed: tuple = ()) -> "Dataset":
         return replace(self, frame=frame, staged=staged, observed=observed)

@@ -273,6 +273,7 @@ def stage_snapshot(
     check_duplicates: bool = True,
     materialize_source: bool = True,
     transform=None,
+    sort_within: Sequence[str] = (),
 ) -> Staged:
     """Write the table's next version (target upserted with ``source``).
 
@@ -291,7 +292,10 @@ def stage_snapshot(
     target = spark.table(table)
     src, broadcast_keys = _prepare_source(spark, table, meta, source, keys, materialize_source, check_duplicates)
     path = meta.staging_path("snapshots")
-    snapshot, profile = observe_profile(merge_rows(target, src, keys, broadcast_keys))
+    snapshot = merge_rows(target, src, keys, broadcast_keys)
+    if sort_within:
+        snapshot = snapshot.sortWithinPartitions(*sort_within)
+    snapshot, profile = observe_profile(snapshot)
     (transform(snapshot) if transform else snapshot).write.mode("errorifexists").parquet(path)
     return Staged(path, spark.read.schema(StructType(fields)).parquet(path), profile())
 
@@ -320,6 +324,7 @@ def stage_partitions(
     check_duplicates: bool = True,
     materialize_source: bool = True,
     transform=None,
+    sort_within: Sequence[str] = (),
 ) -> Staged:
     """Upsert into a table partitioned by one column, rewriting only the
     partitions it touches.
@@ -387,6 +392,8 @@ def stage_partitions(
         # the partition column first: AQE sizes the write tasks and splits a
         # hot partition (e.g. the run's own, holding all new rows).
         rows = rows.hint("rebalance", pcol)
+    if sort_within:
+        rows = rows.sortWithinPartitions(pcol, *sort_within)
     written = _ObservedValues(rows, pcol)
     rows = transform(written.frame) if transform else written.frame
     path = meta.staging_path("partitions")

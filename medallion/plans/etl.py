@@ -130,7 +130,8 @@ class LayeredETL(ABC):
             source = ds.frame.withColumn("partition", F.lit(ctx.partition))
             whole = not partition_columns(self.spark, ds.table)
             staged = stage_upsert(
-                self.spark, ds.table, source, ds.keys, transform=observe if whole else None
+                self.spark, ds.table, source, ds.keys,
+                transform=observe if whole else None, sort_within=ds.sort_within,
             )
             path, frame = staged.path or "", staged.frame
             profile = staged.profile

@@ -85,7 +85,10 @@ def _dim_version(spark: SparkSession, sf: str, lake: Lake, batches: Sequence[int
     table = lake.t("dim_customer")
     for i, b in enumerate(batches):
         changes = scd2_changes(_source(spark, sf, b), spark.table(table))
-        staged = upsert(spark, table, changes.withColumn("partition", F.lit(RUN_PARTITIONS[i])), DIM_KEYS)
+        staged = upsert(
+            spark, table, changes.withColumn("partition", F.lit(RUN_PARTITIONS[i])), DIM_KEYS,
+            sort_within=("current",),
+        )
     if staged.profile is None:  # partial rewrite: profile the new version once
         profile = profile_of(staged.frame.select("id", "customer_sur_id", "state_id"))
         staged = staged._replace(profile=profile)
@@ -215,7 +218,10 @@ def _two_mart_partitions(spark, sf, tag) -> Lake:
     table = lake.t("dim_customer")
     for i, b in enumerate((1, 2)):
         changes = scd2_changes(_source(spark, sf, b), spark.table(table))
-        dim = upsert(spark, table, changes.withColumn("partition", F.lit(RUN_PARTITIONS[i])), DIM_KEYS)
+        dim = upsert(
+            spark, table, changes.withColumn("partition", F.lit(RUN_PARTITIONS[i])), DIM_KEYS,
+            sort_within=("current",),
+        )
         fct = lookup_current(_orders(spark, sf, b), dim.frame, broadcast=_lookup_fits(dim))
         mart = sales_mart_op(fct, dim.frame, broadcast=_mart_fits(dim))
         replace_partition(spark, lake.t("sales_mart"), mart, RUN_PARTITIONS[i])
