@@ -75,17 +75,29 @@ def scd2_changes(
     key_col: str = "customer_sur_id",
     version_col: str = "datetime_updated",
     attrs: Sequence[str] = CUSTOMER_ATTRS,
+    late_rows: str = "keep",
 ) -> DataFrame:
     """Open and closing versions for one source batch, from one join.
 
     ``source`` must carry ``key_col`` already (see ``with_surrogate_key``).
+    A *late* row is older than the current version of its id. By default it
+    opens a version like any unmatched row (a second current row for the
+    id, as the original job does); ``late_rows="drop"`` leaves it out
+    (one more anti join, on the same key).
     Rows with a NULL id or version can never match; they skip the join (and
     its shuffle) entirely, so a batch full of them cannot pile into the one
     shuffle partition NULL keys hash to. Hot non-NULL ids are split by AQE's
     skew-join handling.
     """
+    if late_rows not in ("keep", "drop"):
+        raise ValueError("late_rows must be 'keep' or 'drop'")
     base = [id_col, key_col, *attrs, version_col]
     src = source.select(*base)
+    if late_rows == "drop":
+        newer = current_rows(dim).select(F.col(id_col).alias("_n_id"), F.col(version_col).alias("_n_version"))
+        src = src.join(
+            newer, (F.col(id_col) == F.col("_n_id")) & (F.col("_n_version") > F.col(version_col)), "left_anti"
+        )
     joinable = src.where(F.col(id_col).isNotNull() & F.col(version_col).isNotNull())
     unmatchable = src.where(F.col(id_col).isNull() | F.col(version_col).isNull())
 

@@ -33,9 +33,11 @@ class SalesMartETL(LayeredETL):
         database: str = DEFAULT_DATABASE,
         source: Source | None = None,
         metadata_database: str | None = None,
+        late_rows: str = "keep",
     ):
         super().__init__(spark, storage_path, database, SALES_SUITES, metadata_database)
         self.source = source or generate_bronze()
+        self.late_rows = late_rows  # "keep" (as the original job) or "drop"
 
     @logged
     def bronze(self, ctx: RunContext) -> dict[str, Dataset]:
@@ -49,7 +51,7 @@ class SalesMartETL(LayeredETL):
     def dim_customer(self, ctx: RunContext, customer: Dataset) -> DataFrame:
         """This run's dimension rows: new versions and closed old ones."""
         dim = self.spark.table(self.table("dim_customer"))
-        return scd2_changes(with_surrogate_key(customer.frame), dim)
+        return scd2_changes(with_surrogate_key(customer.frame), dim, late_rows=self.late_rows)
 
     @logged
     def fct_orders(self, ctx: RunContext, inputs: Mapping[str, Dataset]) -> DataFrame:
