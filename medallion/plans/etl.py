@@ -18,6 +18,7 @@ sees check result rows and run-log rows.
 from __future__ import annotations
 
 from abc import ABC, abstractmethod
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime
@@ -169,7 +170,16 @@ class LayeredETL(ABC):
                 publish_upsert(self.spark, ds.table, ds.version)
 
     def _layer(self, ctx: RunContext, built: Mapping[str, Dataset]) -> dict[str, Dataset]:
-        staged = {name: self.stage(ctx, ds) for name, ds in built.items()}
+        # The datasets of a layer do not depend on each other: their staging
+        # jobs are submitted from separate threads and run side by side.
+        pending = {n: ds for n, ds in built.items() if ds.staged is None and ds.publish is not Publish.SKIP}
+        staged = dict(built)
+        if len(pending) > 1:
+            with ThreadPoolExecutor(max_workers=len(pending)) as pool:
+                futures = {n: pool.submit(self.stage, ctx, ds) for n, ds in pending.items()}
+                staged.update({n: f.result() for n, f in futures.items()})
+        else:
+            staged.update({n: self.stage(ctx, ds) for n, ds in pending.items()})
         self.validate(ctx, staged)
         self.publish(ctx, staged)
         return staged

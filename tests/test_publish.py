@@ -155,3 +155,15 @@ def test_partitioned_upsert_shuffle_path(spark, lake):
         spark.conf.unset("spark.medallion.broadcastMaxBytes")
     assert dict(staged.parts) == {"p1": True, "p2": False, "p3": True}
     assert _rows(spark, t, "k, v, partition") == [("a", 10, "p3"), ("b", 2, "p1"), ("c", 30, "p3")]
+
+
+def test_partitioned_upsert_escaped_partition_values(spark, lake):
+    t = _kv_table(spark, lake, "pu5", partitioned=True)
+    df = lambda rows: spark.createDataFrame(rows, "k STRING, v BIGINT, partition STRING")
+    odd = "2024-01-01 10:00:00 #1/a=b%"
+    upsert(spark, t, df([("a", 1, "p1"), ("b", 2, "p1")]), ["k"])
+    staged = upsert(spark, t, df([("a", 5, odd)]), ["k"])
+    assert dict(staged.parts) == {"p1": True, odd: True}
+    assert _rows(spark, t, "k, v, partition") == [("a", 5, odd), ("b", 2, "p1")]
+    replace_partition(spark, t, spark.createDataFrame([("z", 9)], "k STRING, v BIGINT"), odd)
+    assert _rows(spark, t, "k, v, partition") == [("b", 2, "p1"), ("z", 9, odd)]
