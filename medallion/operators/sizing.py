@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
 LIMIT_CONF = "spark.medallion.broadcastMaxBytes"
-DEFAULT_LIMIT = 64 << 20
+DEFAULT_LIMIT = 256 << 20  # bytes of the hashed relation built from the side
+_HASH_FACTOR = 1.5  # hashed relation vs. its rows: pointer array and entry headers
 _ROW_OVERHEAD = 16  # null bitset word plus hash-map slot, per row
 _VAR_SLACK = 8  # 8-byte rounding of each variable-length value
 
@@ -46,7 +47,7 @@ def fits_broadcast(frame: DataFrame) -> bool:
     if limit < 0:
         return False
     _, size = measured_size(frame)
-    return 2 * size <= limit  # x2: the hashed relation built from the rows
+    return _HASH_FACTOR * size <= limit
 
 
 def small_side(frame: DataFrame, broadcast: bool | None) -> DataFrame:
@@ -76,7 +77,7 @@ class SizeProfile:
 
     def fits(self, frame: DataFrame, cols) -> bool:
         limit = broadcast_limit(frame)
-        return limit >= 0 and 2 * self.bound(cols) <= limit
+        return limit >= 0 and _HASH_FACTOR * self.bound(cols) <= limit
 
     def __repr__(self) -> str:
         return f"SizeProfile(rows={self.rows}, var_bytes={self.var_bytes})"
