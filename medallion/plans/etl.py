@@ -55,6 +55,33 @@ class RunContext:
     results: list = field(default_factory=list)  # check result rows, appended at run end
 
 
+def publish_datasets(
+    spark: SparkSession, datasets: Mapping[str, Dataset], partition: str
+) -> dict[str, Dataset]:
+    """Publish datasets directly, without checks: each is stamped with
+    ``partition`` (and ``etl_inserted`` where its table has it), then replaces
+    that partition or is upserted on its keys; ``Publish.SKIP`` ones are left
+    alone. Returns the datasets with frames over the published files."""
+    if not partition:
+        raise ValueError("a partition is required")
+    out = {}
+    for name, ds in datasets.items():
+        if ds.publish is Publish.REPLACE_PARTITION:
+            path, frame = stage_partition(spark, ds.table, ds.frame, partition)
+            publish_partition(spark, ds.table, partition, path)
+            out[name] = ds.with_frame(frame, path)
+        elif ds.publish is Publish.UPSERT:
+            staged = stage_upsert(
+                spark, ds.table, ds.frame.withColumn("partition", F.lit(partition)), ds.keys,
+                sort_within=ds.sort_within,
+            )
+            publish_upsert(spark, ds.table, staged)
+            out[name] = ds.with_frame(staged.frame, staged.path or "")
+        else:
+            out[name] = ds
+    return out
+
+
 def check_required_inputs(inputs: Mapping[str, Dataset], required: Sequence[str]) -> None:
     missing = [name for name in required if name not in inputs]
     if missing:

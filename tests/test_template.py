@@ -49,3 +49,27 @@ def test_template_stops_at_first_failed_layer(spark, lake):
         TinyETL(spark, lake, SUITES, bad=True).run("p1", "t2")
     assert spark.table(f"{lake.db}.orders").count() == 0
     assert {r["dataset"] for r in spark.table(f"{lake.db}.dq_results").collect()} == {"orders"}
+
+
+def test_publish_datasets_directly(spark, lake):
+    from pyspark.sql import functions as F
+
+    from medallion.plans.etl import publish_datasets
+
+    orders = orders_batch(spark, SF_SMALL)
+    dim_rows = spark.createDataFrame(
+        [(1, "k1", "a", "b", "S", None, None, True, None, None)],
+        "id BIGINT, customer_sur_id STRING, first_name STRING, last_name STRING, state_id STRING, "
+        "datetime_created TIMESTAMP_NTZ, datetime_updated TIMESTAMP_NTZ, current BOOLEAN, "
+        "valid_from TIMESTAMP_NTZ, valid_to TIMESTAMP_NTZ",
+    )
+    datasets = {
+        "orders": Dataset("orders", orders, f"{lake.db}.orders"),
+        "dim_customer": Dataset("dim_customer", dim_rows, f"{lake.db}.dim_customer", Publish.UPSERT, ("customer_sur_id",)),
+        "skipped": Dataset("skipped", orders, "", Publish.SKIP),
+    }
+    out = publish_datasets(spark, datasets, "p9")
+    assert spark.table(f"{lake.db}.orders").where("partition = 'p9'").count() == orders.count()
+    assert spark.table(f"{lake.db}.orders").where(F.col("etl_inserted").isNull()).count() == 0
+    assert [tuple(r) for r in spark.table(f"{lake.db}.dim_customer").select("id", "partition").collect()] == [(1, "p9")]
+    assert out["skipped"] is datasets["skipped"]
