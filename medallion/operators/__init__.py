@@ -18,11 +18,15 @@ from medallion.operators.publish import (
     merge_rows,
     publish_partition,
     publish_snapshot,
+    publish_upsert,
     replace_partition,
     stage_partition,
+    stage_partitions,
     stage_snapshot,
+    stage_upsert,
     upsert,
 )
+from medallion.operators.sizing import SizeProfile, fits_broadcast, profile_of, small_side
 from medallion.operators.scd2 import (
     current_rows,
     scd2_changes,
@@ -35,8 +39,9 @@ from medallion.operators.scd2 import (
 __all__ = [
     "DuplicateKeyError", "InvalidDataError", "Rule", "SALES_SUITES", "check_datasets",
     "check_frame", "current_rows", "gate", "latest_partition", "lookup_current",
-    "merge_rows", "not_null", "publish_partition", "publish_snapshot",
+    "merge_rows", "not_null", "publish_partition", "publish_snapshot", "publish_upsert",
     "replace_partition", "sales_mart", "scd2_changes", "scd2_changes_three_joins",
     "scd2_closures", "scd2_net_new", "scd2_new_versions", "stage_partition",
-    "stage_snapshot", "unique", "upsert",
+    "stage_partitions", "stage_snapshot", "stage_upsert", "unique", "upsert",
+    "SizeProfile", "fits_broadcast", "profile_of", "small_side",
 ]

@@ -418,7 +418,6 @@ class _ObservedValues:
             F.collect_set(F.col(column).cast("string")).alias("_v"),
             F.count_if(F.col(column).isNull()).alias("_nulls"),
         )
-        self._column = column
 
     def has_null(self) -> bool:
         return bool(self._obs.get["_nulls"])

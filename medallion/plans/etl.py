@@ -4,12 +4,17 @@ checked and published before the next layer starts.
 Per layer:
 
 1. ``bronze`` / ``silver`` / ``gold`` build lazy frames (``Dataset``s);
-2. ``stage`` writes each frame once under its table's home folder, and the
-   layer hands on frames over those files (never recomputing a plan);
-3. ``validate`` runs the datasets' suites on the staged files, appends the
-   result rows, and raises ``InvalidDataError`` on the first failed dataset;
+2. ``stage`` writes each frame once under its table's home folder (the
+   datasets of a layer side by side), and the layer hands on frames over
+   those files (never recomputing a plan);
+3. ``validate`` gathers the suites' results (most of them observed by the
+   staging writes) and raises ``InvalidDataError`` on the first failed
+   dataset;
 4. ``publish`` points the catalog at the staged folders.
 
+Check results and run-log rows are appended once, when the run ends or
+fails.
+
 A failed check stops the run with nothing of that layer published. The
 surrogate keys, joins and aggregates all run as Spark jobs; the driver only
 sees check result rows and run-log rows.
@@ -18,8 +23,8 @@ sees check result rows and run-log rows.
 from __future__ import annotations
 
 from abc import ABC, abstractmethod
-from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
