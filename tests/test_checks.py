@@ -75,3 +75,19 @@ def test_unique_hashed_matches_direct(spark):
     (row,) = check_frame(ints, [unique("n")], "d").collect()
     # lengths: 5, 4, 5, NULL, 0, 0, 5000, 5000, 5 -> 5 x3, 0 x2, 5000 x2 repeat
     assert row["unexpected_count"] == 7
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.one_of(st.none(), st.sampled_from(["", "a", "b", "ab", "ba", "x" * 300])), max_size=25))
+def test_unique_hashed_equals_exact_count(spark, values):
+    from collections import Counter
+
+    frame = spark.createDataFrame([(v,) for v in values], "s STRING")
+    (row,) = check_frame(frame, [unique("s")], "d").collect()
+    counts = Counter(v for v in values if v is not None)
+    assert row["element_count"] == len(values)
+    assert row["unexpected_count"] == sum(c for c in counts.values() if c > 1)
