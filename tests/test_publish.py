@@ -160,7 +160,7 @@ def test_partitioned_upsert_shuffle_path(spark, lake):
 def test_partitioned_upsert_escaped_partition_values(spark, lake):
     t = _kv_table(spark, lake, "pu5", partitioned=True)
     df = lambda rows: spark.createDataFrame(rows, "k STRING, v BIGINT, partition STRING")
-    odd = "2024-01-01 10:00:00 #1/a=b%"
+    odd = "2024-01-01 10:00:00 #1/a=b% it's"
     upsert(spark, t, df([("a", 1, "p1"), ("b", 2, "p1")]), ["k"])
     staged = upsert(spark, t, df([("a", 5, odd)]), ["k"])
     assert dict(staged.parts) == {"p1": True, odd: True}
