@@ -83,9 +83,10 @@ def _orders(spark: SparkSession, sf: str, batch: int) -> DataFrame:
     return orders_batch(spark, sf, BATCH_CUTS[batch])
 
 
-def _dim_version(spark: SparkSession, sf: str, lake: Lake, batches: Sequence[int]):
+def _dim_version(spark: SparkSession, sf: str, lake: Lake, batches: Sequence[int], profile: bool = True):
     """Dimension after upserting the SCD2 changes of each batch in turn
-    (batch i published as run partition i); the last published version."""
+    (batch i published as run partition i); the last published version,
+    with its size profile when ``profile``."""
     table = lake.t("dim_customer")
     for i, b in enumerate(batches):
         changes = scd2_changes(_source(spark, sf, b), spark.table(table))
@@ -93,7 +94,7 @@ def _dim_version(spark: SparkSession, sf: str, lake: Lake, batches: Sequence[int
             spark, table, changes.withColumn("partition", F.lit(RUN_PARTITIONS[i])), DIM_KEYS,
             sort_within=("current",),
         )
-    return _profiled(staged)
+    return _profiled(staged) if profile else staged
 
 
 def _profiled(staged):
@@ -105,7 +106,7 @@ def _profiled(staged):
 
 
 def _dim_after(spark: SparkSession, sf: str, lake: Lake, batches: Sequence[int]) -> DataFrame:
-    _dim_version(spark, sf, lake, batches)
+    _dim_version(spark, sf, lake, batches, profile=False)
     return spark.table(lake.t("dim_customer"))
 
 
