@@ -23,10 +23,10 @@ _VAR_SLACK = 8  # 8-byte rounding of each variable-length value
 
 
 def broadcast_limit(frame: DataFrame) -> int:
-    conf = frame.sparkSession.conf
-    if conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").strip() == "-1":
-        return -1  # broadcasting disabled for the session
-    return int(conf.get(LIMIT_CONF, str(DEFAULT_LIMIT)))
+    """Largest hashed relation the library broadcasts; -1 disables its hints.
+    (Spark's planning-time threshold is not consulted: sessions may switch
+    estimate-based broadcasts off and still want size-checked ones.)"""
+    return int(frame.sparkSession.conf.get(LIMIT_CONF, str(DEFAULT_LIMIT)))
 
 
 def measured_size(frame: DataFrame) -> tuple[int, int]:

@@ -8,11 +8,15 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings every session running these jobs should carry. AQE re-plans joins at
-# run time: it turns a join into a broadcast only when the measured size of a
-# side is under the threshold, and splits skewed shuffle partitions (a hot key
-# holding a large share of the rows) into several tasks.
+# Settings every session running these jobs should carry. Broadcasts happen
+# only on a proven size: the library's own size-checked hints, or AQE's
+# run-time conversion, which measures the shuffled side. Planning-time
+# broadcasts from compressed file sizes (not a bound on memory) are off. AQE
+# also splits skewed shuffle partitions (a hot key holding a large share of
+# the rows) into several tasks.
 SESSION_DEFAULTS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -14,10 +14,13 @@ N = 3000
 
 @pytest.fixture()
 def no_auto_broadcast(spark):
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
     yield
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    for k, v in old.items():
+        spark.conf.set(k, v)
 
 
 def _facts(spark):
