@@ -80,29 +80,41 @@ def _unique_hashed(frame: DataFrame, rule: Rule, dataset: str) -> DataFrame:
 
     Equal values have equal (xxhash64, byte length), so a value that repeats
     lies in a (hash, length) group of two or more rows; rows of singleton
-    groups are unique. Only the rows of repeated groups (duplicates, or hash
-    collisions) are grouped again by their exact value.
+    groups are unique. Phase 1 groups by (hash, length) and writes only the
+    repeated groups (16 bytes each) to the shared folder; the total row count
+    and the number of repeated groups are observed by that write. Phase 2
+    regroups by exact value only the rows of repeated groups: the candidate
+    set is broadcast when its observed size fits, so texts are not shuffled
+    unless they are candidates. Runs phase 1 when called.
     """
+    from medallion.operators.sizing import SizeProfile, small_side
+    from medallion.session import scratch_path
+
     v = F.col(rule.column)
-    # Both keys are non-NULL expressions (NULLs get length -1), so Catalyst
-    # infers no filter below the aggregate and the two uses of per_hash
-    # share one shuffle.
+    # Both keys are non-NULL expressions (NULLs get length -1): no filter is
+    # inferred below the aggregate.
     keyed = frame.select(
         v.alias("_v"), F.xxhash64(v).alias("_h"), F.coalesce(F.octet_length(v), F.lit(-1)).alias("_l")
     )
     per_hash = keyed.groupBy("_h", "_l").agg(F.count(F.lit(1)).alias("_c"))
-    candidates = per_hash.where(F.col("_c") > 1).select("_h", "_l")
+    obs = Observation(f"unique_{uuid.uuid4().hex[:8]}")
+    observed = per_hash.observe(
+        obs, F.sum("_c").alias("_all"), F.count_if(F.col("_c") > 1).alias("_groups")
+    )
+    spark = frame.sparkSession
+    path = scratch_path(spark, "checks")
+    observed.where(F.col("_c") > 1).select("_h", "_l").write.parquet(path)
+    total, groups = int(obs.get["_all"] or 0), int(obs.get["_groups"] or 0)
+    candidates = spark.read.schema("_h BIGINT, _l INT").parquet(path)
+    fits = SizeProfile(groups, {}, ["_h", "_l"]).fits(frame, ["_h", "_l"])
     exact = (
         keyed.where(F.col("_v").isNotNull())
-        .join(candidates, ["_h", "_l"], "left_semi")
+        .join(small_side(candidates, fits), ["_h", "_l"], "left_semi")
         .groupBy("_v")
         .agg(F.count(F.lit(1)).alias("_c"))
         .where(F.col("_c") > 1)
     )
-    counts = per_hash.select(F.col("_c").alias("_all"), F.lit(0).cast("bigint").alias("_bad")).unionByName(
-        exact.select(F.lit(0).cast("bigint").alias("_all"), F.col("_c").alias("_bad"))
-    )
-    return counts.agg(*_result(dataset, rule, F.sum("_all"), F.sum("_bad")))
+    return exact.agg(*_result(dataset, rule, F.lit(total), F.sum("_c")))
 
 
 def check_frame(frame: DataFrame, rules: Sequence[Rule], dataset: str) -> DataFrame:
