@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from medallion.llm import token_counts, token_files
+from medallion.llm import oracles, signature_join, token_counts, token_files
 
 QUERIES = {
+    "op8_signature_join": signature_join.query,
     "op5_token_counts": token_counts.query,
     "op10_token_files": token_files.query,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_signature_join": oracles.JACCARD,
+}
