@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from medallion.llm import oracles, signature_join, token_counts, token_files
+from medallion.llm import oracles, quality, signature_join, token_counts, token_files
 
 QUERIES = {
+    "op9_quality_sites": quality.query,
     "op8_signature_join": signature_join.query,
     "op5_token_counts": token_counts.query,
     "op10_token_files": token_files.query,
