@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from medallion.llm import oracles, quality, signature_join, token_counts, token_files
+from medallion.llm import decontamination, oracles, quality, signature_join, token_counts, token_files
 
 QUERIES = {
+    "op2_decontamination": decontamination.query,
     "op9_quality_sites": quality.query,
     "op8_signature_join": signature_join.query,
     "op5_token_counts": token_counts.query,
