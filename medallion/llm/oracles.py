@@ -27,3 +27,28 @@ SELECT s.doc_id, len(s.s) AS n_shingles,
        least(s.doc_id, coalesce((SELECT min(other) FROM reach r WHERE r.doc_id = s.doc_id), s.doc_id)) AS component_id
 FROM sets s
 """
+
+EMBEDDINGS = r"""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), vectors AS (
+  SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS norm FROM usable WHERE list_dot_product(e, e) > 0
+), links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM vectors x JOIN vectors y
+    ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+  WHERE list_dot_product(x.e, y.e) / (x.norm * y.norm) >= 0.98
+), reach AS (
+  SELECT a AS vec_id, b AS other FROM links
+  UNION
+  SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a
+), found AS (
+  SELECT vec_id, min(other) AS least FROM reach GROUP BY vec_id
+), counted AS (
+  SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+)
+SELECT v.vec_id, coalesce(c.n, 0) AS n_links, least(v.vec_id, coalesce(f.least, v.vec_id)) AS component_id,
+       v.vec_id <= coalesce(f.least, v.vec_id) AS kept
+FROM embeddings v LEFT JOIN found f USING (vec_id) LEFT JOIN counted c USING (vec_id)
+"""

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from medallion.llm import decontamination, oracles, quality, signature_join, token_counts, token_files
+from medallion.llm import decontamination, embedding_pq, mixing, oracles, quality, signature_join, token_counts, token_files
 
 QUERIES = {
+    "op4_embedding_pq": embedding_pq.query,
+    "op6_mixing": mixing.query,
     "op2_decontamination": decontamination.query,
     "op9_quality_sites": quality.query,
     "op8_signature_join": signature_join.query,
@@ -13,5 +15,6 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_embedding_pq": oracles.EMBEDDINGS,
     "op8_signature_join": oracles.JACCARD,
 }
