@@ -52,3 +52,42 @@ SELECT v.vec_id, coalesce(c.n, 0) AS n_links, least(v.vec_id, coalesce(f.least,
        v.vec_id <= coalesce(f.least, v.vec_id) AS kept
 FROM embeddings v LEFT JOIN found f USING (vec_id) LEFT JOIN counted c USING (vec_id)
 """
+
+URL_FILTER = r"""
+WITH captures AS (
+  SELECT page_id, 1700000000 + (page_id * 977) % (90 * 86400) AS t,
+         nullif(regexp_replace(regexp_extract(lower(url), '^https?://([^/?#:@]+)', 1), '\.+$', ''), '') AS host,
+         regexp_extract(url, '^[a-zA-Z]+://[^/?#]+/([^/?#]*)', 1) AS segment
+  FROM pages
+), hosts AS (
+  SELECT DISTINCT host, segment FROM captures WHERE host IS NOT NULL
+), candidates AS (
+  SELECT DISTINCT 'abuse' AS list, 'block' AS kind, host AS pattern, 2 AS one_in FROM hosts
+  UNION SELECT DISTINCT 'adult', 'block', host || '/' || segment, 4 FROM hosts WHERE segment <> ''
+  UNION SELECT DISTINCT 'parked', 'block', regexp_extract(host, '([^.]+\.[^.]+)$', 1), 3 FROM hosts
+  UNION SELECT DISTINCT 'trusted', 'allow', host, 8 FROM hosts
+), chosen AS (
+  SELECT list, kind, pattern,
+         1700000000 + ('0x' || substr(md5(pattern || list || 'from'), 1, 7))::BIGINT % 60 * 86400 AS first_at,
+         (('0x' || substr(md5(pattern || list || 'for'), 1, 7))::BIGINT % 40 + 1) * 86400 AS stay
+  FROM candidates WHERE ('0x' || substr(md5(pattern || list), 1, 7))::BIGINT % one_in = 0
+), domains AS (
+  SELECT page_id, t, segment, unnest([array_to_string(l[k:], '.') FOR k IN range(1, greatest(2, len(l)))]) AS d
+  FROM (SELECT *, string_split(host, '.') AS l FROM captures WHERE host IS NOT NULL)
+), asked AS (
+  SELECT page_id, t, d AS pattern FROM domains
+  UNION ALL SELECT page_id, t, d || '/' || segment FROM domains WHERE segment <> ''
+), hits AS (
+  SELECT a.page_id, c.list, c.kind, length(c.pattern) AS n
+  FROM asked a JOIN chosen c USING (pattern)
+  WHERE (a.t >= c.first_at AND a.t < c.first_at + c.stay) OR a.t >= c.first_at + 2 * c.stay
+), found AS (
+  SELECT page_id, max(n) FILTER (kind = 'block') AS b, max(n) FILTER (kind = 'allow') AS w,
+         coalesce(string_agg(DISTINCT list, ',' ORDER BY list) FILTER (kind = 'block'), '') AS blocked_by,
+         coalesce(string_agg(DISTINCT list, ',' ORDER BY list) FILTER (kind = 'allow'), '') AS allowed_by
+  FROM hits GROUP BY page_id
+)
+SELECT c.page_id, c.t AS fetched, f.b IS NOT NULL AND (f.w IS NULL OR f.w < f.b) AS blocked,
+       coalesce(f.blocked_by, '') AS blocked_by, coalesce(f.allowed_by, '') AS allowed_by
+FROM captures c LEFT JOIN found f USING (page_id)
+"""
