@@ -91,3 +91,36 @@ SELECT c.page_id, c.t AS fetched, f.b IS NOT NULL AND (f.w IS NULL OR f.w < f.b)
        coalesce(f.blocked_by, '') AS blocked_by, coalesce(f.allowed_by, '') AS allowed_by
 FROM captures c LEFT JOIN found f USING (page_id)
 """
+
+LINE_TEMPLATES = r"""
+WITH lines AS (
+  SELECT doc_id, l.i AS line_no, l.x AS line
+  FROM (SELECT doc_id, unnest(list_zip(range(len(string_split(text, chr(10)))), string_split(text, chr(10)))) AS z
+        FROM documents WHERE doc_id IS NOT NULL AND length(text) > 0) s, LATERAL (SELECT z[1] AS i, z[2] AS x) l
+), masked AS (
+  SELECT doc_id, line_no, regexp_extract_all(line, '[^ \t\n\x0B\f\r]+') AS raw,
+         regexp_extract_all(regexp_replace(line, '[^ \t\n\x0B\f\r]*[0-9][^ \t\n\x0B\f\r]*', '<*>', 'g'), '[^ \t\n\x0B\f\r]+') AS m
+  FROM lines WHERE length(line) >= 9
+), parsed AS (
+  SELECT doc_id, line_no, len(m) AS n, (len(m) - 3) // 2 AS h,
+         CASE WHEN 2 * len([x FOR x IN m IF x <> '<*>']) >= len(m) THEN m ELSE raw END AS t
+  FROM masked WHERE len(m) >= 5
+), templates AS (
+  SELECT doc_id, line_no, 0 AS kind, n, t AS k FROM parsed WHERE n < 12
+  UNION ALL SELECT doc_id, line_no, 1, n, t[1:3 + h] FROM parsed WHERE n >= 12
+  UNION ALL SELECT doc_id, line_no, 2, n, list_concat(t[1:3], t[3 + h + 1:]) FROM parsed WHERE n >= 12
+), firsts AS (
+  SELECT kind, n, k, min(doc_id) AS first FROM templates GROUP BY ALL HAVING min(doc_id) < max(doc_id)
+), gone AS (
+  SELECT DISTINCT t.doc_id, t.line_no FROM templates t JOIN firsts f
+    ON t.kind = f.kind AND t.n = f.n AND t.k = f.k WHERE t.doc_id > f.first
+), numbers AS (
+  SELECT doc_id, list(line_no) AS dropped FROM gone GROUP BY doc_id
+)
+SELECT d.doc_id, CASE WHEN length(d.text) > 0 THEN len(string_split(d.text, chr(10))) ELSE 0 END AS n_lines,
+       coalesce(len(g.dropped), 0) AS n_dropped,
+       CASE WHEN g.dropped IS NULL THEN d.text ELSE array_to_string(
+         [z[2] FOR z IN list_zip(range(len(string_split(d.text, chr(10)))), string_split(d.text, chr(10)))
+          IF NOT list_contains(g.dropped, z[1])], chr(10)) END AS text
+FROM documents d LEFT JOIN numbers g USING (doc_id)
+"""

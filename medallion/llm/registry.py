@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from medallion.llm import decontamination, embedding_pq, mixing, oracles, quality, signature_join, token_counts, token_files, url_filter
+from medallion.llm import decontamination, embedding_pq, line_templates, mixing, oracles, quality, signature_join, token_counts, token_files, url_filter
 
 QUERIES = {
+    "op1_line_templates": line_templates.query,
     "op7_url_filter": url_filter.query,
     "op4_embedding_pq": embedding_pq.query,
     "op6_mixing": mixing.query,
@@ -16,6 +17,7 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_line_templates": oracles.LINE_TEMPLATES,
     "op7_url_filter": oracles.URL_FILTER,
     "op4_embedding_pq": oracles.EMBEDDINGS,
     "op8_signature_join": oracles.JACCARD,
