@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from medallion.llm import decontamination, embedding_pq, line_templates, mixing, oracles, quality, signature_join, token_counts, token_files, url_filter
+from medallion.llm import decontamination, embedding_pq, line_templates, mixing, oracles, quality, secret_forest, signature_join, token_counts, token_files, url_filter
 
 QUERIES = {
+    "op3_secret_forest": secret_forest.query,
     "op1_line_templates": line_templates.query,
     "op7_url_filter": url_filter.query,
     "op4_embedding_pq": embedding_pq.query,
