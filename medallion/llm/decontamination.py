@@ -14,8 +14,8 @@ an item counts as leaked with at most ``MAX_EDITS`` edits per word of it.
 
 The starts of the repetitions spread over the item, so at one word in
 twenty edited a repetition's stretch of about seven words is untouched with
-probability near 0.7, and 8 repetitions miss a leak with probability under
-1e-4; at one in ten, near 0.5 and 0.01; exact passages are never missed.
+probability near 0.7, and 16 repetitions miss a leak with probability under
+1e-8; at one in ten, near 0.5 and 1e-4; exact passages are never missed.
 
 Items travel to the tasks in blocks of at most ``BLOCK_BYTES``; a larger
 benchmark takes several passes. Documents are never shuffled.
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from medallion.llm.common import table
 
-REPEATS = 8
+REPEATS = 16
 SPAN = 14
 SAMPLED = 7
 EARLY = 2
