@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.llm.common import table
-from medallion.llm.encoding import ChunkEncoder
+from medallion.llm.encoding import shared_encoder
 from medallion.session import scratch_path
 
 CACHE_SCHEMA = "content binary, tokenizer string, n_tokens long"
@@ -50,7 +50,7 @@ def open_cache(spark: SparkSession, path: str) -> DataFrame:
 
 def _encode(path: str, version: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(path, len)
+        encoder = shared_encoder(path, "count")
         for batch in batches:
             counts = [sum(encoder.values(t.as_py())) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(

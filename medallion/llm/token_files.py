@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from medallion.llm.common import table
-from medallion.llm.encoding import ChunkEncoder
+from medallion.llm.encoding import shared_encoder
 from medallion.session import scratch_path
 
 MANIFEST_SCHEMA = "part int, name string, n_docs long, n_ids long"
@@ -51,7 +51,7 @@ def open_folder(uri: str) -> tuple[fs.FileSystem, str]:
 
 def _write(tokenizer_path: str, folder: str, dtype: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(tokenizer_path, lambda ids: np.array(ids, dtype).tobytes())
+        encoder = shared_encoder(tokenizer_path, dtype)
         end, item = np.array([end_id], dtype).tobytes(), np.dtype(dtype).itemsize
         store, base = open_folder(folder)
         part = TaskContext.get().partitionId()
