@@ -8,6 +8,7 @@ from enum import Enum
 from pyspark.sql import DataFrame
 
 
+# The databases' names.
 DEFAULT_DATABASE = "sales"
 DEFAULT_BI_DATABASE = "businessintelligence"
 
@@ -88,7 +89,3 @@ PARTITION = ("partition", "STRING")
 
 def ddl_columns(columns) -> str:
     return ",\n  ".join(f"`{name}` {kind}" for name, kind in columns)
-
-
-def schema_string(columns) -> str:
-    return ", ".join(f"`{name}` {kind}" for name, kind in columns)

@@ -14,11 +14,13 @@ from medallion.operators.latest import latest_partition
 from medallion.operators.lookup import lookup_current
 from medallion.operators.mart import sales_mart
 from medallion.operators.publish import (
+    ConflictError,
     DuplicateKeyError,
+    finish_publish,
     merge_rows,
     publish_partition,
-    publish_snapshot,
     publish_upsert,
+    remove_unreferenced,
     replace_partition,
     stage_partition,
     stage_partitions,
@@ -37,9 +39,10 @@ from medallion.operators.scd2 import (
 )
 
 __all__ = [
-    "DuplicateKeyError", "InvalidDataError", "Rule", "SALES_SUITES", "check_datasets",
+    "ConflictError", "DuplicateKeyError", "InvalidDataError", "Rule", "SALES_SUITES", "check_datasets",
     "check_frame", "current_rows", "gate", "latest_partition", "lookup_current",
-    "merge_rows", "not_null", "publish_partition", "publish_snapshot", "publish_upsert",
+    "merge_rows", "not_null", "publish_partition", "publish_upsert",
+    "finish_publish", "remove_unreferenced",
     "replace_partition", "sales_mart", "scd2_changes", "scd2_changes_three_joins",
     "scd2_closures", "scd2_net_new", "scd2_new_versions", "stage_partition",
     "stage_partitions", "stage_snapshot", "stage_upsert", "unique", "upsert",

@@ -181,13 +181,15 @@ def observe_not_null(frame: DataFrame, rules: Sequence[Rule], dataset: str):
     return observed, results
 
 
-def profile_and_check(frame: DataFrame, rules: Sequence[Rule], dataset: str, columns: Sequence[str]):
-    """One pass over ``frame``: the size profile of ``columns`` (all rows)
-    and the results of the not-null rules. Returns (profile, results)."""
+def profile_and_check(frame: DataFrame, rules: Sequence[Rule], dataset: str, columns: Sequence[str], where=None):
+    """One pass over ``frame``: the size profile of ``columns`` (of the rows
+    ``where`` holds for, default all) and the results of the not-null rules,
+    over all rows. Returns (profile, results)."""
     from medallion.operators.sizing import profile_exprs, profile_from
 
     nn = [r for r in rules if r.kind == "not_null"]
-    exprs, var = profile_exprs(frame.select(*columns))
+    exprs, var = profile_exprs(frame.select(*columns), where)
+    exprs += [F.count(F.lit(1)).alias("_all")]
     exprs += [F.count_if(F.col(r.column).isNull()).alias(f"_u{i}") for i, r in enumerate(nn)]
     row = frame.agg(*exprs).first()
     results = [
@@ -195,7 +197,7 @@ def profile_and_check(frame: DataFrame, rules: Sequence[Rule], dataset: str, col
             "dataset": dataset,
             "rule": r.name,
             "column": r.column,
-            "element_count": int(row["_rows"]),
+            "element_count": int(row["_all"]),
             "unexpected_count": int(row[f"_u{i}"]),
             "success": int(row[f"_u{i}"]) == 0,
         }
@@ -224,7 +226,7 @@ def gate(results: Sequence, order: Sequence[str]) -> bool:
     for name in order:
         if name in failed:
             raise InvalidDataError(
-                f"The {name} dataset did not pass validation; see the check results table"
+                f"checks of {name} failed, nothing of its layer is published (rows in the results table)"
             )
     return True
 

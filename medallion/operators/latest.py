@@ -5,13 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medallion.operators.publish import partition_columns, partition_folders
+
+
+def newest_partition(spark: SparkSession, table: str) -> str | None:
+    """Lexicographically largest partition value that has rows.
+
+    The values come from the table's published version, so no data file is
+    opened to find them; from the largest down, each is asked for one row until
+    one has it (a run may have published no rows)."""
+    (col,) = partition_columns(spark, table)
+    for value in sorted(partition_folders(spark, table), reverse=True):
+        if not spark.table(table).where(F.col(col) == value).isEmpty():
+            return value
+    return None
+
 
 def latest_partition(spark: SparkSession, table: str, col: str = "partition") -> DataFrame:
-    """Rows of the lexicographically largest partition value that has rows.
-
-    Written as ``col = (scalar subquery)`` rather than ``IN (subquery)``: the
-    scan then gets the comparison as a partition filter and reads only the
-    newest partition's files. An empty table gives no rows.
-    """
-    newest = spark.table(table).select(F.max(col)).scalar()
-    return spark.table(table).where(F.col(col) == newest)
+    """Rows of the newest partition that has rows, by a literal partition
+    filter: older partitions are neither listed for it nor read. An empty
+    table gives no rows."""
+    newest = newest_partition(spark, table)
+    return spark.table(table).where(F.lit(False) if newest is None else F.col(col) == newest)

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion.operators.scd2 import current_rows
-from medallion.operators.sizing import small_side
+from medallion.operators.sizing import fits_broadcast
+
+SPREAD = 1024  # salts of facts without a key
 
 
 def lookup_current(
@@ -24,23 +26,24 @@ def lookup_current(
 
     A fact matching several current rows (late rows left two open versions)
     fans out, as a left join does; the fact's unique check reports it.
-    Facts with a NULL key cannot match and bypass the join, so they never
-    meet in one shuffle partition. ``fact`` should be a scan or a staged
-    table: the NULL filter reads it a second time, cheaply, because Parquet
-    row groups without NULLs are skipped by their statistics.
 
     The current dim side (key + taken columns) is broadcast when its measured
-    size fits (``broadcast=None``), so the fact is not shuffled; else both
-    sides shuffle on the key.
+    size fits (``broadcast=None`` measures it): one scan of the fact, no
+    shuffle of it. Else both sides shuffle on the key and a salt that is 0 for
+    keyed facts, so facts with a NULL key, which cannot match, spread over all
+    partitions instead of meeting in one.
     """
-    dim_types = dict(dim.dtypes)
-    cur = small_side(
-        current_rows(dim).where(F.col(dim_key).isNotNull()).select(F.col(dim_key).alias("_lk_key"), *take),
-        broadcast,
-    )
-    keyed = fact.where(F.col(fact_key).isNotNull())
-    unkeyed = fact.where(F.col(fact_key).isNull()).select(
-        *fact.columns, *[F.lit(None).cast(dim_types[c]).alias(c) for c in take]
+    cur = current_rows(dim).where(F.col(dim_key).isNotNull()).select(F.col(dim_key).alias("_lk_key"), *take)
+    if broadcast is None:
+        broadcast = fits_broadcast(cur)
+    if broadcast:
+        return fact.join(F.broadcast(cur), F.col(fact_key) == F.col("_lk_key"), "left").drop("_lk_key")
+    spread = F.when(F.col(fact_key).isNull(), F.pmod(F.xxhash64(*fact.columns), F.lit(SPREAD))).otherwise(0)
+    return (
+        fact.withColumn("_lk_salt", spread.cast("int"))
+        .join(
+            cur.withColumn("_lk_zero", F.lit(0)),
+            (F.col(fact_key) == F.col("_lk_key")) & (F.col("_lk_salt") == F.col("_lk_zero")), "left",
+        )
+        .drop("_lk_key", "_lk_salt", "_lk_zero")
     )
-    joined = keyed.join(cur, F.col(fact_key) == F.col("_lk_key"), "left").drop("_lk_key")
-    return joined.unionByName(unkeyed)

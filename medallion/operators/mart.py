@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from medallion.functions.columns import deliver_date
 from medallion.operators.scd2 import current_rows
-from medallion.operators.sizing import small_side
+from medallion.operators.sizing import fits_broadcast
 
 
 def sales_mart(
@@ -22,20 +22,20 @@ def sales_mart(
     """``num_orders`` per (deliver_date, state_id); NULL keys form groups.
 
     Facts whose key has no current dim row land in the NULL state group. Only
-    the key and the date are read from the fact. When the current dim side is
-    measured under the broadcast limit this is a broadcast join and
-    the fact is never shuffled before the (partial, map-side) aggregation;
-    otherwise a hot key's shuffle partition is split by AQE's skew handling.
-    The broadcast is decided from the measured size of the current dim side
-    (``broadcast=None``) before the plan runs.
+    the key and the date are read from the fact. The current dim side is
+    broadcast when its measured size fits (``broadcast=None`` measures it): the
+    facts are then joined where they are and only partial counts are shuffled.
+    Otherwise the facts are counted per key and date first, so what is
+    shuffled to the join is one row per key and date, whatever share of the
+    facts a hot or NULL key holds.
     """
-    cur = small_side(
-        current_rows(dim).where(F.col(key).isNotNull()).select(F.col(key).alias("_m_key"), F.col(group_attr)),
-        broadcast,
-    )
+    cur = current_rows(dim).where(F.col(key).isNotNull()).select(F.col(key).alias("_m_key"), F.col(group_attr))
+    if broadcast is None:
+        broadcast = fits_broadcast(cur)
     facts = fct.select(F.col(key), deliver_date(date_col).alias("deliver_date"))
-    return (
-        facts.join(cur, F.col(key) == F.col("_m_key"), "left")
-        .groupBy("deliver_date", group_attr)
-        .agg(F.count(F.lit(1)).alias("num_orders"))
-    )
+    if broadcast:
+        joined = facts.join(F.broadcast(cur), F.col(key) == F.col("_m_key"), "left")
+        return joined.groupBy("deliver_date", group_attr).agg(F.count(F.lit(1)).alias("num_orders"))
+    counted = facts.groupBy(key, "deliver_date").agg(F.count(F.lit(1)).alias("_n"))
+    joined = counted.join(cur, F.col(key) == F.col("_m_key"), "left")
+    return joined.groupBy("deliver_date", group_attr).agg(F.sum("_n").alias("num_orders"))

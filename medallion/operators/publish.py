@@ -6,18 +6,30 @@ plan that reads it. Every publish here is therefore two steps:
 
 1. **stage**: write the new content ONCE to a fresh folder under the table's
    home folder (the shared storage the table was created in);
-2. **publish**: point the catalog at it, with ``ALTER TABLE .. [PARTITION ..]
-   SET LOCATION``. Readers see the old or the new folder, never a mix.
+2. **publish**: write a small manifest of the table's new partition folders,
+   then point the catalog at them, with ``ALTER TABLE .. [PARTITION ..]
+   SET LOCATION``.
 
 An upsert into a table partitioned by one column rewrites only the
 partitions it touches (those holding a matched row, and those the new rows go
 to); an unpartitioned table gets a whole new version.
 
+A publish of several partitions is several catalog calls. Partitions that
+receive source rows come first, shrunk ones next, dropped ones last: a stop in
+between shows some rows twice and loses none, and the next stage or publish of
+the table finishes the calls from the manifest (``finish_publish``). A reader
+of one partition sees the old or the new folder; a reader of the whole table
+may see both states while the calls run.
+
+An upsert is refused with ``ConflictError`` when another publish of the table
+came between its staging and its publishing; nothing is changed then. Replacing
+a partition reads nothing of the table, so there the last writer wins.
+
 Checks run between the two steps, on the staged files, so a failed check
 publishes nothing. Frames resolved before a publish keep reading the folder
-they were resolved against. Replaced folders are left in place, like the
-old versions of a table log; removing them is left to the storage's
-retention rules.
+they were resolved against. Replaced folders stay, like the old versions of a
+table log, until ``remove_unreferenced`` deletes what no manifest in force
+names.
 """
 
 from __future__ import annotations
@@ -25,6 +37,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,16 +45,23 @@ from pyspark.sql.types import StructField, StructType
 
 from collections import namedtuple
 
+from medallion.operators import manifest as mf
 from medallion.operators.sizing import observe_profile, small_side
 from medallion.session import sql_str
 
 HOME_PROPERTY = "medallion.home"
+VERSION_PROPERTY = "medallion.version"
+PENDING_PROPERTY = "medallion.pending"
 
 
 class DuplicateKeyError(ValueError):
     """Several source rows match one target row in an upsert."""
 
 
+class ConflictError(RuntimeError):
+    """Another publish of the table came between staging and publishing."""
+
+
 # --------------------------------------------------------------------- catalog
 
 
@@ -79,14 +99,10 @@ def _parse_properties(text: str) -> dict[str, str]:
     return props
 
 
-def table_location(spark: SparkSession, table: str) -> str:
-    return _describe(spark, table)["location"]
-
-
 def table_home(spark: SparkSession, table: str) -> str:
     """The folder new versions of the table are staged in."""
     info = _describe(spark, table)
-    return info["properties"].get(HOME_PROPERTY) or info["location"]
+    return (info["properties"].get(HOME_PROPERTY) or info["location"]).rstrip("/")
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
@@ -104,20 +120,26 @@ class _Meta:
         info = _describe(spark, table)
         self.home = (info["properties"].get(HOME_PROPERTY) or info["location"]).rstrip("/")
         self.partition_cols = info["partition_cols"]
+        self.version = info["properties"].get(VERSION_PROPERTY) or None
+        self.pending = info["properties"].get(PENDING_PROPERTY) or None
         self.fields = _fields(spark, table)
 
     def staging_path(self, kind: str) -> str:
         return f"{self.home}/_{kind}/{uuid.uuid4().hex}"
 
 
-def conform(frame: DataFrame, fields: Sequence[StructField]) -> DataFrame:
+def conform(frame: DataFrame, fields: Sequence[StructField], strict: bool = False) -> DataFrame:
     """Project ``frame`` onto a table's columns, in the table's order.
 
-    Extra columns are dropped. ``etl_inserted`` is stamped with the load time
-    when the table has it and the frame does not. Any other missing column is
-    an error.
+    ``etl_inserted`` is stamped with the load time when the table has it and
+    the frame does not. Any other missing column is an error; so is, when
+    ``strict`` (replacing a partition), any column the table does not have. An
+    upsert updates and inserts the table's columns by name and leaves others.
     """
     have = set(frame.columns)
+    unknown = sorted(have - {f.name for f in fields})
+    if strict and unknown:
+        raise ValueError(f"the table has no column for {unknown}")
     cols = []
     for f in fields:
         if f.name in have:
@@ -135,11 +157,12 @@ def materialize(frame: DataFrame, path: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-Staged = namedtuple("Staged", "path frame profile parts", defaults=(None,))
+Staged = namedtuple("Staged", "path frame profile parts base", defaults=(None, None))
 Staged.__doc__ = """A written table version: folder, frame over the new content,
 the size profile observed while writing (None when it does not bound the whole
-table), and for a partitioned upsert the touched partitions as
-(value, has_rows) pairs (None: the folder is the whole table)."""
+table), for a partitioned upsert the touched partitions as (value, has_rows)
+pairs in publishing order (None: the folder is the whole table), and the
+version of the table it was made from."""
 
 # Characters written as %XX in partition folder names
 # (Hive's escaping rule, which Spark follows), plus control characters.
@@ -169,12 +192,12 @@ def stage_partition(
     """
     if partition is None:
         raise ValueError("partition must be given")
-    meta = _Meta(spark, table)
+    meta = _settled(spark, table)
     if meta.partition_cols != [partition_col]:
         raise ValueError(f"{table} is not partitioned by {partition_col!r} alone")
     data = [f for f in meta.fields if f.name != partition_col]
     path = meta.staging_path("staged")
-    rows = conform(frame, data)
+    rows = conform(frame.drop(partition_col), data, strict=True)  # the partition is stamped, whatever the frame says
     (transform(rows) if transform else rows).write.mode("errorifexists").parquet(path)
     staged = spark.read.schema(StructType(data)).parquet(path).select(
         *[F.col(f.name) for f in data], F.lit(partition).alias(partition_col)
@@ -190,11 +213,128 @@ def publish_partition(
     partition_col: str = "partition",
 ) -> None:
     """Make ``path`` the content of the partition (added if new)."""
-    spec = f"`{partition_col}` = {sql_str(partition)}"
+    _publish(spark, table, _settled(spark, table), [(partition, path)])
+
+
+def _publish(spark: SparkSession, table: str, meta: _Meta, changed: list) -> None:
+    """Write the manifest of the new version, then make its catalog calls."""
+    if meta.version or not meta.partition_cols:
+        parts = mf.read_manifest(spark, meta.home, meta.version)["parts"]
+    else:  # published to before there were manifests, or never
+        parts = _catalog_folders(spark, table, meta.partition_cols[0])
+    for value, path in changed:
+        if path is None:
+            parts.pop(value, None)
+        else:
+            parts[value] = path
+    name = mf.next_name(meta.version)
+    mf.write_manifest(spark, meta.home, name, meta.version, parts, changed)
+    # the home is fixed by the first publish: the location moves with each version
+    _set_properties(spark, table, {HOME_PROPERTY: meta.home, PENDING_PROPERTY: name})
+    _apply(spark, table, meta, changed)
+    _set_properties(spark, table, {VERSION_PROPERTY: name, PENDING_PROPERTY: ""})
+
+
+def _catalog_folders(spark: SparkSession, table: str, column: str) -> dict[str, str]:
+    """Folder by partition value as the catalog has it."""
+    folders = {}
+    for r in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        value = unquote(r["partition"].split("=", 1)[1])
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION (`{column}` = {sql_str(value)})").collect()
+        folders[value] = {x["col_name"]: x["data_type"] for x in rows}["Location"]
+    return folders
+
+
+def _apply(spark: SparkSession, table: str, meta: _Meta, changed: list) -> None:
+    """The catalog calls of a publish, in order; repeating them is harmless."""
+    for value, path in changed:
+        if not meta.partition_cols:
+            set_location(spark, table, path)
+        elif path is None:
+            drop_partition(spark, table, meta.partition_cols[0], value)
+        else:
+            attach_partition(spark, table, meta.partition_cols[0], value, path)
+
+
+def _set_properties(spark: SparkSession, table: str, values: dict[str, str]) -> None:
+    body = ", ".join(f"{sql_str(k)} = {sql_str(v)}" for k, v in values.items())
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({body})")
+
+
+def attach_partition(spark: SparkSession, table: str, column: str, value: str, path: str) -> None:
+    spec = f"`{column}` = {sql_str(value)}"
     spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION {sql_str(path)}")
     spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION {sql_str(path)}")
 
 
+def drop_partition(spark: SparkSession, table: str, column: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{column}` = {sql_str(value)})")
+
+
+def set_location(spark: SparkSession, table: str, path: str) -> None:
+    """Point the table at ``path`` (the command also refreshes cached listings)."""
+    spark.sql(f"ALTER TABLE {table} SET LOCATION {sql_str(path)}")
+
+
+def finish_publish(spark: SparkSession, table: str) -> bool:
+    """Finish a publish whose catalog calls stopped halfway; True if one had."""
+    meta = _Meta(spark, table)
+    if not meta.pending:
+        return False
+    _apply(spark, table, meta, mf.read_manifest(spark, meta.home, meta.pending)["changed"])
+    _set_properties(spark, table, {VERSION_PROPERTY: meta.pending, PENDING_PROPERTY: ""})
+    return True
+
+
+def _settled(spark: SparkSession, table: str) -> _Meta:
+    """The table's metadata, after finishing a publish that stopped halfway."""
+    meta = _Meta(spark, table)
+    if meta.pending:
+        finish_publish(spark, table)
+        meta = _Meta(spark, table)
+    return meta
+
+
+def reattach(spark: SparkSession, table: str) -> None:
+    """Point a table that was just created over an existing home folder at the
+    newest published version found there."""
+    meta = _Meta(spark, table)
+    name = mf.newest(spark, meta.home)
+    if not name:
+        return
+    parts = mf.read_manifest(spark, meta.home, name)["parts"]
+    _apply(spark, table, meta, list(parts.items()))
+    _set_properties(spark, table, {VERSION_PROPERTY: name, PENDING_PROPERTY: ""})
+
+
+def partition_folders(spark: SparkSession, table: str) -> dict[str, str]:
+    """Folder by partition value, from the version in force."""
+    meta = _settled(spark, table)
+    return mf.read_manifest(spark, meta.home, meta.version)["parts"]
+
+
+def remove_unreferenced(spark: SparkSession, table: str, older_than_seconds: float = 7 * 86400) -> list[str]:
+    """Delete staged folders and manifests that the version in force does not
+    name and that are older than the given age (running jobs may still read
+    or be writing younger ones). Returns what was deleted."""
+    meta = _settled(spark, table)
+    live = [p.rstrip("/") for p in mf.read_manifest(spark, meta.home, meta.version)["parts"].values()]
+    gone = []
+    for kind in ("_staged", "_snapshots", "_partitions", "_batches"):
+        for name in mf.children(spark, f"{meta.home}/{kind}"):
+            folder = f"{meta.home}/{kind}/{name}"
+            used = any(p == folder or p.startswith(f"{folder}/") for p in live)
+            if not used and mf.age_seconds(spark, folder) >= older_than_seconds:
+                mf.remove(spark, folder)
+                gone.append(folder)
+    for name in mf.children(spark, f"{meta.home}/{mf.FOLDER}"):
+        file = f"{meta.home}/{mf.FOLDER}/{name}"
+        if name != f"{meta.version}.json" and mf.age_seconds(spark, file) >= older_than_seconds:
+            mf.remove(spark, file)
+            gone.append(file)
+    return gone
+
+
 def replace_partition(
     spark: SparkSession,
     table: str,
@@ -285,7 +425,7 @@ def stage_snapshot(
     """
     if not keys:
         raise ValueError("upsert needs key columns")
-    meta = _Meta(spark, table)
+    meta = _settled(spark, table)
     if meta.partition_cols:
         raise ValueError(f"{table} is partitioned: use stage_upsert")
     fields = meta.fields
@@ -297,7 +437,7 @@ def stage_snapshot(
         snapshot = snapshot.sortWithinPartitions(*sort_within)
     snapshot, profile = observe_profile(snapshot)
     (transform(snapshot) if transform else snapshot).write.mode("errorifexists").parquet(path)
-    return Staged(path, spark.read.schema(StructType(fields)).parquet(path), profile())
+    return Staged(path, spark.read.schema(StructType(fields)).parquet(path), profile(), None, meta.version)
 
 
 def _prepare_source(spark, table, meta, source, keys, materialize_source, check_duplicates):
@@ -341,7 +481,7 @@ def stage_partitions(
     """
     if not keys:
         raise ValueError("upsert needs key columns")
-    meta = _Meta(spark, table)
+    meta = _settled(spark, table)
     if len(meta.partition_cols) != 1:
         raise ValueError(f"{table} must be partitioned by exactly one column")
     (pcol,) = meta.partition_cols
@@ -380,7 +520,7 @@ def stage_partitions(
         )
     touched = sorted(set(hits["parts"] or []) | {str(v) for v in source_values})
     if not touched:
-        return Staged(None, spark.table(table), None, ())
+        return Staged(None, spark.table(table), None, (), meta.version)
 
     key_side = _key_side(src, keys, fits)
     kept = target.where(F.col(pcol).cast("string").isin(touched))
@@ -401,7 +541,9 @@ def stage_partitions(
     filled = written.values()
     new_rows = spark.read.schema(StructType(meta.fields)).parquet(path)
     frame = spark.table(table).where(~F.col(pcol).cast("string").isin(touched)).unionByName(new_rows)
-    return Staged(path, frame, None, tuple((p, p in filled) for p in touched))
+    received = {str(v) for v in source_values}
+    order = sorted(touched, key=lambda p: (p not in filled, p not in received, p))
+    return Staged(path, frame, None, tuple((p, p in filled) for p in order), meta.version)
 
 
 class _ObservedValues:
@@ -435,22 +577,21 @@ def stage_upsert(spark: SparkSession, table: str, source: DataFrame, keys: Seque
 
 
 def publish_upsert(spark: SparkSession, table: str, staged: Staged) -> None:
-    """Publish a staged upsert: one location swap, or one catalog call per
-    touched partition (a partition left without rows is dropped)."""
+    """Publish a staged upsert: one location swap, or the catalog calls of the
+    touched partitions (a partition left without rows is dropped)."""
+    meta = _settled(spark, table)
+    if meta.version != staged.base:
+        raise ConflictError(f"{table} was published by another writer after this upsert was staged")
     if staged.parts is None:
-        publish_snapshot(spark, table, staged.path)
+        _publish(spark, table, meta, [("", staged.path)])
         return
-    (pcol,) = partition_columns(spark, table)
-    for value, has_rows in staged.parts:
-        if has_rows:
-            publish_partition(spark, table, value, f"{staged.path}/{partition_dir(pcol, value)}", pcol)
-        else:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{pcol}` = {sql_str(value)})")
-
-
-def publish_snapshot(spark: SparkSession, table: str, path: str) -> None:
-    """Point the table at ``path`` (the command also refreshes cached listings)."""
-    spark.sql(f"ALTER TABLE {table} SET LOCATION {sql_str(path)}")
+    if not staged.parts:
+        return
+    (pcol,) = meta.partition_cols
+    changed = [
+        (value, f"{staged.path}/{partition_dir(pcol, value)}" if has_rows else None) for value, has_rows in staged.parts
+    ]
+    _publish(spark, table, meta, changed)
 
 
 def upsert(

@@ -1,8 +1,8 @@
 """Run log: one row per logged step of a run, appended to a table.
 
-Rows are buffered in the driver (a handful per run) and appended in one
-write at each layer end and when the run ends or fails, so a run leaves a
-record even when it raises.
+Rows are buffered in the driver (a handful per run). They are appended when
+the run starts, before the body of each layer, and when the run ends or fails,
+so a driver that dies leaves the rows up to the layer it was in.
 """
 
 from __future__ import annotations
@@ -54,6 +54,15 @@ class RunLog:
 def logged(func):
     """Record a call (function name, run partition, described arguments)
     before the body runs. The method's first argument is the run context."""
+    return _logged(func, flush=False)
+
+
+def logged_layer(func):
+    """As ``logged``, and the rows are on storage before the body runs."""
+    return _logged(func, flush=True)
+
+
+def _logged(func, flush: bool):
 
     @functools.wraps(func)
     def wrapper(self, ctx, *args, **kwargs):
@@ -63,6 +72,16 @@ def logged(func):
         for k, v in kwargs.items():
             params[k] = describe(v)
         ctx.log.record(ctx.run_id, ctx.pipeline_id, params)
+        if flush:
+            ctx.log.flush()
         return func(self, ctx, *args, **kwargs)
 
     return wrapper
+
+
+def read_log(spark: SparkSession, table: str, limit: int) -> DataFrame:
+    """The last ``limit`` rows of the log, newest first (rows written at the
+    same instant by their parameters)."""
+    from pyspark.sql import functions as F
+
+    return spark.table(table).orderBy(F.desc("ts_inserted"), F.desc("run_params")).limit(limit)

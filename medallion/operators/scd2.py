@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medallion.functions.columns import open_end
+from medallion.operators.sizing import small_side
 
 CUSTOMER_ATTRS = ("first_name", "last_name", "state_id", "datetime_created")
 
@@ -75,35 +76,34 @@ def scd2_changes(
     key_col: str = "customer_sur_id",
     version_col: str = "datetime_updated",
     attrs: Sequence[str] = CUSTOMER_ATTRS,
-    late_rows: str = "keep",
+    broadcast_ids: bool | None = None,
 ) -> DataFrame:
     """Open and closing versions for one source batch, from one join.
 
-    ``source`` must carry ``key_col`` already (see ``with_surrogate_key``).
-    A *late* row is older than the current version of its id. By default it
-    opens a version like any unmatched row (a second current row for the
-    id, as the original job does); ``late_rows="drop"`` leaves it out
-    (one more anti join, on the same key).
+    ``source`` must carry ``key_col`` already (see ``with_surrogate_key``) and
+    should be a scan or a staged table: it is read more than once.
+    A *late* row is older than the current version of its id; it opens a
+    version like any unmatched row (a second current row for the id, as the
+    original job does).
+
+    The dimension is reduced to the batch's ids before the join. Their size is
+    checked (``broadcast_ids=None`` measures it): ids that fit are broadcast,
+    so a batch costs one pass over the current rows and no shuffle of them;
+    more ids than that meet the dimension by shuffle.
     Rows with a NULL id or version can never match; they skip the join (and
     its shuffle) entirely, so a batch full of them cannot pile into the one
     shuffle partition NULL keys hash to. Hot non-NULL ids are split by AQE's
     skew-join handling.
     """
-    if late_rows not in ("keep", "drop"):
-        raise ValueError("late_rows must be 'keep' or 'drop'")
     base = [id_col, key_col, *attrs, version_col]
     src = source.select(*base)
-    if late_rows == "drop":
-        newer = current_rows(dim).select(F.col(id_col).alias("_n_id"), F.col(version_col).alias("_n_version"))
-        src = src.join(
-            newer, (F.col(id_col) == F.col("_n_id")) & (F.col("_n_version") > F.col(version_col)), "left_anti"
-        )
     joinable = src.where(F.col(id_col).isNotNull() & F.col(version_col).isNotNull())
     unmatchable = src.where(F.col(id_col).isNull() | F.col(version_col).isNull())
 
-    joined = joinable.join(
-        _dim_side(dim, id_col, key_col, attrs, version_col), _match(id_col, version_col), "left"
-    )
+    ids = small_side(joinable.select(F.col(id_col).alias("_b_id")), broadcast_ids)
+    side = _dim_side(dim, id_col, key_col, attrs, version_col)
+    side = side.join(ids, F.col("_d_id") == F.col("_b_id"), "left_semi")
+    joined = joinable.join(side, _match(id_col, version_col), "left")
     open_row = F.struct(*_opened(base, version_col))
     close_row = F.struct(*_closed(id_col, key_col, attrs, version_col))
     rows = F.when(F.col("_d_id").isNotNull(), F.array(open_row, close_row)).otherwise(

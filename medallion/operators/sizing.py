@@ -83,10 +83,15 @@ class SizeProfile:
         return f"SizeProfile(rows={self.rows}, var_bytes={self.var_bytes})"
 
 
-def profile_exprs(frame: DataFrame) -> tuple[list, list[str]]:
+def profile_exprs(frame: DataFrame, where=None) -> tuple[list, list[str]]:
+    """Aggregates of a size profile; ``where`` profiles the rows it holds for."""
     var = [f.name for f in frame.schema.fields if isinstance(f.dataType, (StringType, BinaryType))]
-    exprs = [F.count(F.lit(1)).alias("_rows")]
-    exprs += [F.sum(F.coalesce(F.octet_length(F.col(c)), F.lit(0))).alias(f"_v{i}") for i, c in enumerate(var)]
+    counted = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+    exprs = [F.count_if(counted).alias("_rows")]
+    exprs += [
+        F.sum(F.when(counted, F.coalesce(F.octet_length(F.col(c)), F.lit(0))).otherwise(0)).alias(f"_v{i}")
+        for i, c in enumerate(var)
+    ]
     return exprs, var
 
 

@@ -1,8 +1,8 @@
 """Catalog DDL of the sales ETL: databases, layer tables, the BI view.
 
-Tables are external Parquet tables: dropping one keeps its files. Each
-table records its home folder (where new versions are staged) as a table
-property. Databases get an explicit location under the same storage path, so
+Tables are external Parquet tables: dropping one keeps its files, and creating
+it again finds them. Each table records its home folder (where new versions are
+staged) as a table property. Databases get an explicit location under the same storage path, so
 nothing is written to a machine-local warehouse folder.
 """
 
@@ -22,7 +22,7 @@ from medallion.model import (
     SALES_MART_COLUMNS,
     ddl_columns,
 )
-from medallion.operators.publish import HOME_PROPERTY
+from medallion.operators.publish import HOME_PROPERTY, reattach
 from medallion.session import sql_str
 
 RUN_LOG_COLUMNS = (
@@ -66,14 +66,18 @@ def create_database(spark: SparkSession, database: str, path: str) -> None:
 def create_table(
     spark: SparkSession, database: str, name: str, columns, partitioned: bool, path: str
 ) -> None:
+    """Create the table if it does not exist. A table made anew over a folder
+    that was published to before gets its partitions back from there."""
     home = f"{path.rstrip('/')}/{name}"
-    spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+    if spark.catalog.tableExists(f"{database}.{name}"):
+        return
     spark.sql(
         f"CREATE TABLE {database}.{name} (\n  {ddl_columns(columns)}\n) USING parquet"
         + (" PARTITIONED BY (`partition`)" if partitioned else "")
         + f" LOCATION {sql_str(home)}"
         + f" TBLPROPERTIES ({sql_str(HOME_PROPERTY)} = {sql_str(home)})"
     )
+    reattach(spark, f"{database}.{name}")
 
 
 def _create_layer(spark, layer, path, database) -> None:
@@ -172,15 +176,17 @@ def drop_all(
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``spark-submit -m medallion.plans.ddl <path> [database]``."""
+    """``spark-submit -m medallion.plans.ddl <storage path> [database] [--hive]``."""
     import sys
 
-    from medallion.session import shared_dir
+    from medallion.session import build_session
 
     args = list(sys.argv[1:] if argv is None else argv)
-    spark = SparkSession.builder.appName("medallion_ddl").getOrCreate()
-    path = args[0] if args else f"{shared_dir(spark)}/lake"
-    create_all(spark, path, *(args[1:2] or []))
+    hive = "--hive" in args
+    args = [a for a in args if a != "--hive"]
+    if not args:
+        raise SystemExit("a storage path is required")
+    create_all(build_session(None, None, app_name="medallion_ddl", enable_hive=hive), args[0], *args[1:2])
 
 
 if __name__ == "__main__":

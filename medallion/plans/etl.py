@@ -12,8 +12,8 @@ Per layer:
    dataset;
 4. ``publish`` points the catalog at the staged folders.
 
-Check results and run-log rows are appended once, when the run ends or
-fails.
+Check results are appended before the gate may raise; run-log rows before each
+layer's body and when the run ends or fails.
 
 A failed check stops the run with nothing of that layer published. The
 surrogate keys, joins and aggregates all run as Spark jobs; the driver only
@@ -46,9 +46,10 @@ from medallion.operators.publish import (
     publish_upsert,
     stage_partition,
     stage_upsert,
+    table_home,
 )
 from medallion.operators.runlog import RunLog, logged
-from medallion.session import shared_dir
+from medallion.operators.sizing import observe_profile
 
 
 @dataclass
@@ -57,7 +58,7 @@ class RunContext:
     pipeline_id: str
     partition: str
     log: RunLog
-    results: list = field(default_factory=list)  # check result rows, appended at run end
+    results: list = field(default_factory=list)  # check result rows not yet appended
 
 
 def publish_datasets(
@@ -90,24 +91,28 @@ def publish_datasets(
 def check_required_inputs(inputs: Mapping[str, Dataset], required: Sequence[str]) -> None:
     missing = [name for name in required if name not in inputs]
     if missing:
-        raise ValueError(f"the input datasets {sorted(inputs)} do not contain {missing}")
+        raise ValueError(f"missing inputs: {', '.join(missing)} (given: {', '.join(sorted(inputs)) or 'none'})")
 
 
 class LayeredETL(ABC):
     pipeline_id = "etl"
     # columns whose size bounds later broadcast decisions, per upserted dataset
     profile_columns: dict[str, list[str]] = {}
+    # of which rows, as a SQL condition (default: all)
+    profile_rows: dict[str, str] = {}
 
     def __init__(
         self,
         spark: SparkSession,
-        storage_path: str | None = None,
+        storage_path: str,
         database: str = DEFAULT_DATABASE,
         suites: Mapping | None = None,
         metadata_database: str | None = None,
     ):
         self.spark = spark
-        self.storage_path = storage_path or f"{shared_dir(spark)}/lake"
+        if not storage_path:
+            raise ValueError("a storage path is required")
+        self.storage_path = storage_path.rstrip("/")
         self.database = database
         self.suites = dict(suites or {})
         self.metadata_database = metadata_database or database
@@ -148,17 +153,20 @@ class LayeredETL(ABC):
         """
         if ds.staged is not None or ds.publish is Publish.SKIP:
             return ds
-        resolved = []
+        resolved, profiled = [], []
 
         def observe(frame):
             observed, results = observe_not_null(frame, self.suites.get(ds.name, ()), ds.name)
             resolved.append(results)
+            observed, profile = observe_profile(observed)
+            profiled.append(profile)
             return observed
 
         if ds.publish is Publish.REPLACE_PARTITION:
             path, frame = stage_partition(
                 self.spark, ds.table, ds.frame, ctx.partition, transform=observe
             )
+            ds = replace(ds, profile=profiled[0]())
         else:
             source = ds.frame.withColumn("partition", F.lit(ctx.partition))
             whole = not partition_columns(self.spark, ds.table)
@@ -171,7 +179,8 @@ class LayeredETL(ABC):
             if not whole:
                 rules = self.suites.get(ds.name, ())
                 cols = self.profile_columns.get(ds.name) or [r.column for r in rules]
-                profile, results = profile_and_check(frame, rules, ds.name, cols)
+                rows = self.profile_rows.get(ds.name)
+                profile, results = profile_and_check(frame, rules, ds.name, cols, rows and F.expr(rows))
                 resolved.append(lambda: results)
             ds = replace(ds, profile=profile, version=staged)
         return ds.with_frame(frame, path, tuple(resolved[0]() if resolved else ()))
@@ -192,8 +201,17 @@ class LayeredETL(ABC):
         if frames:
             results += check_datasets(frames, remaining).collect()
         ctx.results.extend(result_row(ctx.run_id, r) for r in results)
+        self._write_results(ctx)
+        for name in datasets:  # all rules of a dataset count the same rows
+            rows = next((r["element_count"] for r in results if r["dataset"] == name), None)
+            ctx.log.record(ctx.run_id, ctx.pipeline_id, {
+                "function": "staged", "partition": ctx.partition, "dataset": name, "rows": rows})
         return gate(results, list(datasets))
 
+    def _write_results(self, ctx: RunContext) -> None:
+        write_result_rows(self.spark, self.results_table, ctx.results)
+        ctx.results = []
+
     def publish(self, ctx: RunContext, datasets: Mapping[str, Dataset]) -> None:
         for ds in datasets.values():
             if ds.publish is Publish.REPLACE_PARTITION:
@@ -219,18 +237,16 @@ class LayeredETL(ABC):
     # ------------------------------------------------------------------ run
 
     def run(self, partition: str, run_id: str | None = None) -> dict[str, Dataset]:
-        """Run all layers for one partition; returns the published datasets.
-
-        Run-log and check-result rows are appended once, when the run ends
-        or fails.
-        """
+        """Run all layers for one partition; returns the published datasets."""
         if not partition:
             raise ValueError("a partition is required")
         run_id = run_id or f"{self.pipeline_id}_{partition}_{datetime.now():%Y-%m-%d-%H-%M-%S}"
         ctx = RunContext(run_id, self.pipeline_id, partition, RunLog(self.spark, self.run_log_table))
+        self._check_homes()
         published: dict[str, Dataset] = {}
         status = {"function": "run", "partition": partition}
         ctx.log.record(run_id, self.pipeline_id, {**status, "status": "started"})
+        ctx.log.flush()
         try:
             bronze = self._layer(ctx, self.bronze(ctx))
             silver = self._layer(ctx, self.silver(ctx, bronze))
@@ -241,8 +257,17 @@ class LayeredETL(ABC):
             ctx.log.record(
                 run_id, self.pipeline_id, {**status, "status": "failed", "error": type(exc).__name__}
             )
+            try:  # what cannot be recorded is noted on the error that stopped the run
+                self._write_results(ctx)
+                ctx.log.flush()
+            except Exception as second:
+                exc.add_note(f"the run log could not be written: {type(second).__name__}: {second}")
             raise
-        finally:
-            write_result_rows(self.spark, self.results_table, ctx.results)
-            ctx.log.flush()
+        ctx.log.flush()
         return published
+
+    def _check_homes(self) -> None:
+        """The tables written to must live under the storage path."""
+        home = table_home(self.spark, self.run_log_table)
+        if not f"{home}/".startswith(f"{self.storage_path}/"):
+            raise ValueError(f"{self.run_log_table} is stored at {home}, not under {self.storage_path}")

@@ -10,13 +10,18 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.functions.columns import OPEN_END, with_surrogate_key
+from medallion.model import Dataset, Publish
+from medallion.operators import publish
 from medallion.operators.checks import (
     SALES_SUITES,
+    InvalidDataError,
     append_results,
     check_datasets,
     not_null,
@@ -25,8 +30,8 @@ from medallion.operators.checks import (
 from medallion.operators.latest import latest_partition
 from medallion.operators.lookup import lookup_current
 from medallion.operators.mart import sales_mart as sales_mart_op
-from medallion.operators.publish import replace_partition, upsert
-from medallion.operators.sizing import profile_of
+from medallion.operators.publish import materialize, replace_partition, upsert
+from medallion.operators.sizing import observe_profile, profile_of
 from medallion.operators.scd2 import (
     current_rows,
     scd2_changes,
@@ -34,11 +39,14 @@ from medallion.operators.scd2 import (
     scd2_net_new,
     scd2_new_versions,
 )
-from medallion.plans.ddl import create_all, create_interface_views, create_tables
+from medallion.operators.runlog import read_log
+from medallion.plans.ddl import create_all, create_interface_views, create_tables, drop_all
+from medallion.plans.etl import publish_datasets
 from medallion.plans.sales import SalesMartETL
-from medallion.session import shared_dir
+from medallion.session import scratch_path, shared_dir
 from medallion.sources.testdata import (
     BATCH_CUTS,
+    NO_ORDERS,
     customer_batch,
     orders_batch,
     read_table,
@@ -79,6 +87,14 @@ def _source(spark: SparkSession, sf: str, batch: int) -> DataFrame:
     return with_surrogate_key(customer_batch(spark, sf, BATCH_CUTS[batch]))
 
 
+def _changes(spark: SparkSession, sf: str, batch: int, dim: DataFrame) -> DataFrame:
+    """SCD2 changes of a batch; its rows are written once, and the observed
+    size decides how its ids meet the dimension."""
+    observed, profile = observe_profile(_source(spark, sf, batch))
+    source = materialize(observed, scratch_path(spark, "batches"))
+    return scd2_changes(source, dim, broadcast_ids=profile().fits(source, ["id"]))
+
+
 def _orders(spark: SparkSession, sf: str, batch: int) -> DataFrame:
     return orders_batch(spark, sf, BATCH_CUTS[batch])
 
@@ -89,7 +105,7 @@ def _dim_version(spark: SparkSession, sf: str, lake: Lake, batches: Sequence[int
     with its size profile when ``profile``."""
     table = lake.t("dim_customer")
     for i, b in enumerate(batches):
-        changes = scd2_changes(_source(spark, sf, b), spark.table(table))
+        changes = _changes(spark, sf, b, spark.table(table))
         staged = upsert(
             spark, table, changes.withColumn("partition", F.lit(RUN_PARTITIONS[i])), DIM_KEYS,
             sort_within=("current",),
@@ -98,11 +114,10 @@ def _dim_version(spark: SparkSession, sf: str, lake: Lake, batches: Sequence[int
 
 
 def _profiled(staged):
-    """The staged version with a size profile (one pass over the columns
-    later joins take, when the write did not cover the whole table)."""
-    if staged.profile is not None:
-        return staged
-    return staged._replace(profile=profile_of(staged.frame.select("id", "customer_sur_id", "state_id")))
+    """The staged version with the size profile of its current rows (one pass
+    over the columns later joins take)."""
+    current = current_rows(staged.frame).select("id", "customer_sur_id", "state_id")
+    return staged._replace(profile=profile_of(current))
 
 
 def _dim_after(spark: SparkSession, sf: str, lake: Lake, batches: Sequence[int]) -> DataFrame:
@@ -161,7 +176,7 @@ def q_scd2_closures(spark, sf):
 
 
 def q_scd2_batch(spark, sf):
-    return scd2_changes(*_parts(spark, sf, "scd2_batch"))
+    return _changes(spark, sf, 2, _dim_after(spark, sf, Lake(spark, "scd2_batch", DIM_ONLY), [1]))
 
 
 def q_dim_current(spark, sf):
@@ -227,7 +242,7 @@ def _two_mart_partitions(spark, sf, tag) -> Lake:
     lake = Lake(spark, tag, ("dim_customer", "sales_mart"), view=True)
     table = lake.t("dim_customer")
     for i, b in enumerate((1, 2)):
-        changes = scd2_changes(_source(spark, sf, b), spark.table(table))
+        changes = _changes(spark, sf, b, spark.table(table))
         dim = _profiled(upsert(
             spark, table, changes.withColumn("partition", F.lit(RUN_PARTITIONS[i])), DIM_KEYS,
             sort_within=("current",),
@@ -323,11 +338,152 @@ def q_check_results(spark, sf):
 
 def q_run_log(spark, sf):
     lake = Lake(spark, "run_log")
-    etl = SalesMartETL(spark, lake.path, lake.db, batch_source(sf, BATCH_CUTS[1]))
+    etl = SalesMartETL(spark, lake.path, lake.db, batch_source(sf, BATCH_CUTS[2]))
     etl.run(P1, run_id="run_log_1")
     return spark.table(lake.t("run_metadata")).drop("ts_inserted")
 
 
+class _Stopped(Exception):
+    """Stands for a driver that dies."""
+
+
+@contextmanager
+def _stopping_after(calls: int):
+    """Within, the catalog calls of a publish fail after ``calls`` of them."""
+    done = 0
+    kept = {name: getattr(publish, name) for name in ("attach_partition", "drop_partition")}
+
+    def counted(call):
+        def run(*args):
+            nonlocal done
+            if done >= calls:
+                raise _Stopped(f"stopped after {calls} calls")
+            done += 1
+            return call(*args)
+
+        return run
+
+    try:
+        for name, call in kept.items():
+            setattr(publish, name, counted(call))
+        yield
+    finally:
+        for name, call in kept.items():
+            setattr(publish, name, call)
+
+
+def _upsert_batch(spark, sf, table, batch, partition):
+    changes = _changes(spark, sf, batch, spark.table(table)).withColumn("partition", F.lit(partition))
+    return upsert(spark, table, changes, DIM_KEYS, sort_within=("current",))
+
+
+def q_upsert_after_crash(spark, sf):
+    """The dimension after batch 2 was stopped before its first catalog call,
+    after it, and before the last, and was run again each time."""
+    lake = Lake(spark, "after_crash", DIM_ONLY)
+    table = lake.t("dim_customer")
+    _upsert_batch(spark, sf, table, 1, P1)
+    for calls in (0, 1):
+        with _stopping_after(calls):
+            try:
+                _upsert_batch(spark, sf, table, 2, P2)
+                raise RuntimeError("the publish was to stop")
+            except _Stopped:
+                pass
+    _upsert_batch(spark, sf, table, 2, P2)
+    return spark.table(table)
+
+
+def q_upsert_conflict(spark, sf):
+    """The dimension after two writers staged batch 2 from the same version:
+    the second is refused and changes nothing."""
+    lake = Lake(spark, "conflict", DIM_ONLY)
+    table = lake.t("dim_customer")
+    _upsert_batch(spark, sf, table, 1, P1)
+    staged = [
+        publish.stage_upsert(
+            spark, table, _changes(spark, sf, 2, spark.table(table)).withColumn("partition", F.lit(p)), DIM_KEYS)
+        for p in (P2, P3)
+    ]
+    publish.publish_upsert(spark, table, staged[0])
+    try:
+        publish.publish_upsert(spark, table, staged[1])
+    except publish.ConflictError:
+        return spark.table(table)
+    raise RuntimeError("the second writer was not refused")
+
+
+def _counts(spark, lake, names=("customer", "orders", "dim_customer", "fct_orders", "sales_mart")) -> DataFrame:
+    """(table_name, partition, num_rows) of the named tables."""
+    frames = [
+        spark.table(lake.t(name)).groupBy("partition").agg(F.count(F.lit(1)).alias("num_rows"))
+        .select(F.lit(name).alias("table_name"), "partition", "num_rows")
+        for name in names
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def q_ddl_rerun(spark, sf):
+    lake = _two_runs(spark, sf, "ddl_rerun")
+    create_all(spark, lake.path, lake.db, lake.bi)
+    return _counts(spark, lake)
+
+
+def q_ddl_drop_recreate(spark, sf):
+    lake = _two_runs(spark, sf, "drop_recreate")
+    drop_all(spark, lake.db, lake.bi)
+    create_all(spark, lake.path, lake.db, lake.bi)
+    return _counts(spark, lake)
+
+
+def q_publish_datasets(spark, sf):
+    """Orders of both batches and the dimension, published without checks."""
+    lake = Lake(spark, "publish", ("orders", "dim_customer"))
+    dim = _changes(spark, sf, 2, spark.table(lake.t("dim_customer")))
+    for batch, partition in ((1, P1), (2, P2)):
+        publish_datasets(spark, {
+            "orders": Dataset("orders", _orders(spark, sf, batch), lake.t("orders")),
+            "dim_customer": Dataset("dim_customer", dim, lake.t("dim_customer"), Publish.UPSERT, DIM_KEYS),
+            "aside": Dataset("aside", dim, lake.t("missing"), Publish.SKIP),
+        }, partition)
+    return _counts(spark, lake, ("orders", "dim_customer"))
+
+
+def q_gate_blocks_publish(spark, sf):
+    """A run whose orders are line items, so that their keys repeat: the gate
+    stops it. Rows of every table, and the results it left."""
+    def source(session):
+        lines = read_table(session, sf, "lineitem").select(
+            F.col("l_orderkey").cast("string").alias("order_id"), F.col("l_partkey").cast("bigint").alias("customer_id"),
+            F.col("l_returnflag").alias("item_id"), F.col("l_linestatus").alias("item_name"),
+            F.col("l_shipdate").cast("timestamp_ntz").alias("delivered_on"),
+            F.col("l_shipdate").cast("timestamp_ntz").alias("datetime_order_placed"))
+        return customer_batch(session, sf, BATCH_CUTS[2]), lines
+
+    lake = Lake(spark, "gate")
+    try:
+        SalesMartETL(spark, lake.path, lake.db, source).run(P1, run_id="gate_1")
+        raise RuntimeError("the gate was to stop the run")
+    except InvalidDataError:
+        pass
+    counts = [
+        spark.table(lake.t(name)).agg(F.count(F.lit(1)).alias("num_rows")).select(
+            F.lit(f"rows of {name}").alias("what"), "num_rows", F.lit(0).cast("long").alias("unexpected_count"))
+        for name in ("customer", "orders", "dim_customer", "fct_orders", "sales_mart")
+    ]
+    results = spark.table(lake.t("dq_results")).select(
+        F.concat(F.lit("check of "), "dataset", F.lit(" "), "column").alias("what"),
+        F.col("element_count").alias("num_rows"), "unexpected_count")
+    return reduce(DataFrame.unionByName, [*counts, results])
+
+
+def q_log_tail(spark, sf):
+    """The last five rows of the log of a run, newest first."""
+    lake = Lake(spark, "log_tail")
+    SalesMartETL(spark, lake.path, lake.db, batch_source(sf, BATCH_CUTS[2])).run(P1, run_id="run_log_1")
+    return read_log(spark, lake.t("run_metadata"), 5).drop("ts_inserted")
+
+
 def _two_runs(spark, sf, tag) -> Lake:
     lake = Lake(spark, tag)
     for i, b in enumerate((1, 2)):
@@ -342,18 +498,7 @@ def q_two_run_view(spark, sf):
 
 
 def q_two_run_counts(spark, sf):
-    lake = _two_runs(spark, sf, "two_run_counts")
-    frames = [
-        spark.table(lake.t(name))
-        .groupBy("partition")
-        .agg(F.count(F.lit(1)).alias("num_rows"))
-        .select(F.lit(name).alias("table_name"), "partition", "num_rows")
-        for name in ("customer", "orders", "dim_customer", "fct_orders", "sales_mart")
-    ]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    return _counts(spark, _two_runs(spark, sf, "two_run_counts"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -382,6 +527,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_unique": q_check_unique,
     "check_results": q_check_results,
     "run_log": q_run_log,
+    "log_tail": q_log_tail,
+    "upsert_after_crash": q_upsert_after_crash,
+    "upsert_conflict": q_upsert_conflict,
+    "ddl_rerun": q_ddl_rerun,
+    "ddl_drop_recreate": q_ddl_drop_recreate,
+    "publish_datasets": q_publish_datasets,
+    "gate_blocks_publish": q_gate_blocks_publish,
     "two_run_view": q_two_run_view,
     "two_run_counts": q_two_run_counts,
 }
@@ -400,11 +552,12 @@ def _cut(cut):
 def _customer_batch_sql(batch: int) -> str:
     return f"""SELECT c.c_custkey AS id, split_part(c.c_name, '#', 1) AS first_name,
     split_part(c.c_name, '#', 2) AS last_name, n.n_name AS state_id,
-    o.datetime_created, o.datetime_updated
-  FROM (SELECT o_custkey, min(o_orderdate) AS datetime_created, max(o_orderdate) AS datetime_updated
-        FROM orders {_cut(BATCH_CUTS[batch])} GROUP BY o_custkey) o
-  JOIN customer c ON c.c_custkey = o.o_custkey
-  JOIN nation n ON c.c_nationkey = n.n_nationkey"""
+    coalesce(o.datetime_created, TIMESTAMP '{NO_ORDERS}') AS datetime_created,
+    coalesce(o.datetime_updated, TIMESTAMP '{NO_ORDERS}') AS datetime_updated
+  FROM customer c
+  LEFT JOIN (SELECT o_custkey, min(o_orderdate) AS datetime_created, max(o_orderdate) AS datetime_updated
+        FROM orders {_cut(BATCH_CUTS[batch])} GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey
+  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey"""
 
 
 def _orders_batch_sql(batch: int) -> str:
@@ -468,18 +621,18 @@ def _source_ctes(batches: Sequence[int]) -> list[str]:
     ctes = []
     for b in sorted(set(batches)):
         ctes.append(f"b{b} AS ({_customer_batch_sql(b)})")
-        ctes.append(f"s{b} AS (SELECT *, md5(concat(id, datetime_updated)) AS customer_sur_id FROM b{b})")
+        ctes.append(f"s{b} AS (SELECT *, md5(CAST(id AS VARCHAR) || CAST(datetime_updated AS VARCHAR)) AS customer_sur_id FROM b{b})")
         ctes.append(f"ob{b} AS ({_orders_batch_sql(b)})")
     return ctes
 
 
-def _dim_ctes(batches: Sequence[int], name: str) -> list[str]:
+def _dim_ctes(batches: Sequence[int], name: str, partitions: Sequence[str] = RUN_PARTITIONS) -> list[str]:
     """CTEs ending in ``name``: the dim after upserting each batch's changes."""
     ctes = [f"{name}_0 AS ({_EMPTY_DIM})"]
     for i, b in enumerate(batches):
         prev, cur = f"{name}_{i}", f"{name}_{i + 1}"
         ctes.append(f"{name}_ch{i + 1} AS ({_changes_sql(f's{b}', prev)})")
-        ctes.append(f"{cur} AS ({_upsert_sql(prev, f'{name}_ch{i + 1}', RUN_PARTITIONS[i])})")
+        ctes.append(f"{cur} AS ({_upsert_sql(prev, f'{name}_ch{i + 1}', partitions[i])})")
     ctes.append(f"{name} AS (SELECT * FROM {name}_{len(batches)})")
     return ctes
 
@@ -526,30 +679,30 @@ def _union(parts: Sequence[str]) -> str:
     return "\nUNION ALL\n".join(f"({p})" for p in parts)
 
 
-def _run_log_rows(run_id: str, partition: str) -> list[tuple[str, str]]:
-    def params(function: str, args=None, status=None) -> str:
-        import json
-
-        p = {"function": function, "partition": partition}
-        if args is not None:
-            p["args"] = args
-        if status is not None:
-            p["status"] = status
-        return json.dumps(p, sort_keys=True)
-
-    return [
-        params("run", status="started"),
-        params("bronze"),
-        params("validate", [["customer", "orders"]]),
-        params("silver", [["customer", "orders"]]),
-        params("dim_customer", ["customer"]),
-        params("fct_orders", [["customer", "dim_customer", "orders"]]),
-        params("validate", [["dim_customer", "fct_orders"]]),
-        params("gold", [["dim_customer", "fct_orders"]]),
-        params("sales_mart", [["dim_customer", "fct_orders"]]),
-        params("validate", [["sales_mart"]]),
-        params("run", status="succeeded"),
+def _run_log_sql(run_id: str, partition: str) -> str:
+    """The log of one run over the given tables: (n, run_params) in order."""
+    steps = [
+        ("run", None, None, "started"), ("bronze", None, None, None),
+        ("validate", '[["customer", "orders"]]', None, None),
+        ("staged", None, "customer", "b2"), ("staged", None, "orders", "ob2"),
+        ("silver", '[["customer", "orders"]]', None, None), ("dim_customer", '["customer"]', None, None),
+        ("fct_orders", '[["customer", "dim_customer", "orders"]]', None, None),
+        ("validate", '[["dim_customer", "fct_orders"]]', None, None),
+        ("staged", None, "dim_customer", "d2"), ("staged", None, "fct_orders", "f"),
+        ("gold", '[["dim_customer", "fct_orders"]]', None, None), ("sales_mart", '[["dim_customer", "fct_orders"]]', None, None),
+        ("validate", '[["sales_mart"]]', None, None), ("staged", None, "sales_mart", "m"),
+        ("run", None, None, "succeeded"),
     ]
+    rows = []
+    for n, (function, args, dataset, extra) in enumerate(steps):
+        if dataset:
+            text = (f"""'{{"dataset": "{dataset}", "function": "staged", "partition": "{partition}", "rows": ' || """
+                    f"""(SELECT count(*) FROM {extra}) || '}}'""")
+        else:
+            parts = ([f'"args": {args}'] if args else []) + [f'"function": "{function}"', f'"partition": "{partition}"']
+            text = "'{" + ", ".join(parts + ([f'"status": "{extra}"'] if extra else [])) + "}'"
+        rows.append(f"SELECT {n} AS n, '{run_id}' AS run_id, 'sales_mart' AS pipeline_id, {text} AS run_params")
+    return "\nUNION ALL\n".join(rows)
 
 
 def _oracle() -> dict[str, str]:
@@ -627,10 +780,12 @@ def _oracle() -> dict[str, str]:
             _check_nn_sql("sales_mart", "m", "state_id"),
         ]) + ")",
     )
-    rows = _run_log_rows("run_log_1", P1)
-    o["run_log"] = "SELECT * FROM (VALUES " + ", ".join(
-        "('run_log_1', 'sales_mart', '" + r.replace("'", "''") + "')" for r in rows
-    ) + ") AS t(run_id, pipeline_id, run_params)"
+    one = src12 + _dim_ctes([2], "d2") + [f"f AS ({_fct_sql('ob2', 'd2')})", f"m AS ({_mart_sql('f', 'd2')})",
+                                          f"log AS ({_run_log_sql('run_log_1', P1)})"]
+    o["run_log"] = _with(one, "SELECT run_id, pipeline_id, run_params FROM log")
+    o["log_tail"] = _with(one, "SELECT run_id, pipeline_id, run_params FROM log ORDER BY n DESC LIMIT 5")
+    o["upsert_after_crash"] = _with(src12 + _dim_ctes([1, 2, 2, 2], "dx", (P1, P2, P2, P2)), "SELECT * FROM dx")
+    o["upsert_conflict"] = o["upsert_dim"]
     o["two_run_view"] = o["latest_partition_view"]
     o["two_run_counts"] = _with(
         two,
@@ -646,6 +801,21 @@ def _oracle() -> dict[str, str]:
             f"SELECT 'sales_mart', '{P2}', count(*) FROM m2",
         ]),
     )
+    o["ddl_rerun"] = o["ddl_drop_recreate"] = o["two_run_counts"]
+    o["publish_datasets"] = _with(
+        src12 + [f"ch AS ({_changes_sql('s2', '(' + _EMPTY_DIM + ')')})", f"e AS ({_EMPTY_DIM})",
+                 f"p1 AS ({_upsert_sql('e', 'ch', P1)})", f"p2 AS ({_upsert_sql('p1', 'ch', P2)})"],
+        f"SELECT 'orders' AS table_name, '{P1}' AS partition, count(*) AS num_rows FROM ob1 "
+        f"UNION ALL SELECT 'orders', '{P2}', count(*) FROM ob2 "
+        "UNION ALL SELECT 'dim_customer', partition, count(*) FROM p2 GROUP BY partition",
+    )
+    o["gate_blocks_publish"] = _union([
+        *[f"SELECT 'rows of {t}' AS what, 0 AS num_rows, 0 AS unexpected_count"
+          for t in ("customer", "orders", "dim_customer", "fct_orders", "sales_mart")],
+        "SELECT 'check of customer id', count(*), count(*) FILTER (c_custkey IS NULL) FROM customer",
+        "SELECT 'check of orders order_id', CAST(sum(n) AS BIGINT), CAST(coalesce(sum(n) FILTER (n > 1), 0) AS BIGINT) "
+        "FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey)",
+    ])
     return o
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -28,16 +27,25 @@ SESSION_DEFAULTS = {
 
 
 def build_session(
-    master: str = "local[*]",
-    shuffle_partitions: int = 8,
+    master: str | None = "local[*]",
+    shuffle_partitions: int | None = 8,
     app_name: str = "medallion",
     extra: dict[str, str] | None = None,
+    enable_hive: bool = False,
 ) -> SparkSession:
-    """Build (or get) a session with the library's defaults."""
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """Build (or get) a session with the library's defaults. ``master`` and
+    ``shuffle_partitions`` may be None: then the submitting command decides.
+    ``enable_hive`` asks for the Hive catalog, so that separate jobs share
+    their tables."""
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
+    if enable_hive:
+        builder = builder.enableHiveSupport()
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -60,7 +68,7 @@ def shared_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError(
                 "spark.checkpoint.dir must name a folder shared by the cluster"
             )
@@ -77,7 +85,3 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 def sql_str(value: str) -> str:
     """Quote a value as a Spark SQL string literal."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def default_cpus() -> int:
-    return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))

@@ -55,10 +55,10 @@ def test_observed_not_null_matches_job(spark):
 def test_gate_raises_first_failed_in_order(spark):
     frames = {"x": _frame(spark), "y": _frame(spark)}
     results = check_datasets(frames, {"x": [unique("id")], "y": [not_null("id")]}).collect()
-    with pytest.raises(InvalidDataError, match="y dataset"):
+    with pytest.raises(InvalidDataError, match="checks of y"):
         gate(results, ["x", "y"])
     results = check_datasets(frames, {"x": [not_null("s")], "y": [not_null("id")]}).collect()
-    with pytest.raises(InvalidDataError, match="x dataset"):
+    with pytest.raises(InvalidDataError, match="checks of x"):
         gate(results, ["x", "y"])
     assert gate(check_datasets(frames, {"x": [unique("id")]}).collect(), ["x", "y"])
 

@@ -34,5 +34,7 @@ def test_drop_keeps_files(spark, lake):
     assert staged.count() == 1  # the staged files are still there
     drop_all(spark, lake.db, lake.bi)
     assert not spark.catalog.databaseExists(lake.db)
-    create_all(spark, lake.path, lake.db, lake.bi)  # re-creating is fine
-    assert spark.table(t).count() == 0
+    create_all(spark, lake.path, lake.db, lake.bi)  # the published partitions come back
+    assert [r["order_id"] for r in spark.table(t).collect()] == ["o1"]
+    create_all(spark, lake.path, lake.db, lake.bi)  # and a rerun changes nothing
+    assert spark.table(t).count() == 1

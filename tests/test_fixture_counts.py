@@ -9,17 +9,22 @@ from medallion.operators.mart import sales_mart
 from medallion.operators.publish import upsert
 from medallion.operators.scd2 import scd2_changes, scd2_net_new
 from medallion.plans.queries import Lake
-from medallion.sources.testdata import customer_batch, orders_batch
+from medallion.sources.testdata import NO_ORDERS, customer_batch, orders_batch
 from tests.conftest import SF_SMALL
 
 CUT1, CUT2 = "1995-07-01", "1996-01-01"
 
 
+def ordering(spark, cut):
+    """Customers with an order before the cut: those the counts are of."""
+    return customer_batch(spark, SF_SMALL, cut).where(F.col("datetime_updated") > NO_ORDERS)
+
+
 def _dim(spark, cuts):
     lake = Lake(spark, "fx", ("dim_customer",))
     table = lake.t("dim_customer")
     for i, cut in enumerate(cuts):
-        src = with_surrogate_key(customer_batch(spark, SF_SMALL, cut))
+        src = with_surrogate_key(ordering(spark, cut))
         changes = scd2_changes(src, spark.table(table)).withColumn("partition", F.lit(f"r{i}"))
         upsert(spark, table, changes, ["customer_sur_id"])
     return spark.table(table)
@@ -30,9 +35,10 @@ def _rows_current(dim):
 
 
 def test_batches_and_parts(spark):
-    b1 = customer_batch(spark, SF_SMALL, CUT1)
-    b2 = customer_batch(spark, SF_SMALL, CUT2)
+    b1 = ordering(spark, CUT1)
+    b2 = ordering(spark, CUT2)
     assert (b1.count(), b2.count()) == (82, 116)
+    assert customer_batch(spark, SF_SMALL, CUT1).count() == 150  # all customers, with orders or not
     j = b2.alias("n").join(b1.alias("o"), "id", "left")
     assert j.where("o.first_name IS NULL").count() == 34  # new ids
     assert j.where("o.datetime_updated < n.datetime_updated").count() == 49  # changed

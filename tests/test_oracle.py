@@ -2,11 +2,12 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from medallion.plans.queries import ORACLE_SQL, QUERIES
 from tests.conftest import SF_SMALL
 from tools.compare import canonical, duck
 
-NAMES = sorted(queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -15,14 +16,14 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLE_SQL) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    df = queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     s_cols, s_rows = canonical(df.columns, [tuple(r) for r in df.collect()])
-    rel = con.execute(oracle_sql()[name])
+    rel = con.execute(ORACLE_SQL[name])
     o_cols, o_rows = canonical([d[0] for d in rel.description], rel.fetchall())
     assert s_cols == o_cols
     assert len(s_rows) == len(o_rows)

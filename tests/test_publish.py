@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from medallion.operators.publish import (
     DuplicateKeyError,
-    publish_snapshot,
+    publish_upsert,
     replace_partition,
     stage_snapshot,
     upsert,
@@ -90,9 +90,9 @@ def test_frame_resolved_before_publish_reads_old_version(spark, lake):
     t = _kv_table(spark, lake, "up5")
     upsert(spark, t, spark.createDataFrame([("a", 1)], "k STRING, v BIGINT"), ["k"])
     before = spark.table(t)
-    path = stage_snapshot(spark, t, spark.createDataFrame([("a", 5)], "k STRING, v BIGINT"), ["k"]).path
+    staged = stage_snapshot(spark, t, spark.createDataFrame([("a", 5)], "k STRING, v BIGINT"), ["k"])
     assert _rows(spark, t) == [("a", 1)]  # staged, not yet published
-    publish_snapshot(spark, t, path)
+    publish_upsert(spark, t, staged)
     assert [tuple(r) for r in before.collect()] == [("a", 1)]
     assert _rows(spark, t) == [("a", 5)]
 
@@ -167,3 +167,62 @@ def test_partitioned_upsert_escaped_partition_values(spark, lake):
     assert _rows(spark, t, "k, v, partition") == [("a", 5, odd), ("b", 2, "p1")]
     replace_partition(spark, t, spark.createDataFrame([("z", 9)], "k STRING, v BIGINT"), odd)
     assert _rows(spark, t, "k, v, partition") == [("b", 2, "p1"), ("z", 9, odd)]
+
+
+# ------------------------------------------------- crashes, conflicts, re-creation
+
+
+def _df(spark, rows):
+    return spark.createDataFrame(rows, "k STRING, v BIGINT, partition STRING")
+
+
+@pytest.mark.parametrize("calls", [0, 1, 2])
+def test_stopped_publish_loses_nothing_and_is_finished(spark, lake, calls):
+    from medallion.operators.publish import finish_publish
+    from medallion.plans.queries import _Stopped, _stopping_after
+
+    t = _kv_table(spark, lake, f"crash{calls}", partitioned=True)
+    upsert(spark, t, _df(spark, [("a", 1, "p1"), ("b", 2, "p1"), ("c", 3, "p2")]), ["k"])
+    new = _df(spark, [("a", 10, "p3"), ("c", 30, "p3")])  # p3 filled, p1 shrunk, p2 emptied
+    with _stopping_after(calls), pytest.raises(_Stopped):
+        upsert(spark, t, new, ["k"])
+    seen = {k for k, _ in _rows(spark, t)}
+    assert seen == {"a", "b", "c"}  # rows may show twice, none is gone
+    assert finish_publish(spark, t) and not finish_publish(spark, t)
+    want = [("a", 10, "p3"), ("b", 2, "p1"), ("c", 30, "p3")]
+    assert _rows(spark, t, "k, v, partition") == want
+    upsert(spark, t, new, ["k"])
+    assert _rows(spark, t, "k, v, partition") == want
+
+
+def test_second_writer_is_refused(spark, lake):
+    from medallion.operators.publish import ConflictError, stage_upsert
+
+    t = _kv_table(spark, lake, "conflict", partitioned=True)
+    upsert(spark, t, _df(spark, [("a", 1, "p1"), ("b", 2, "p1")]), ["k"])
+    one = stage_upsert(spark, t, _df(spark, [("a", 10, "p2")]), ["k"])
+    two = stage_upsert(spark, t, _df(spark, [("b", 20, "p2")]), ["k"])
+    publish_upsert(spark, t, one)
+    with pytest.raises(ConflictError):
+        publish_upsert(spark, t, two)
+    assert _rows(spark, t, "k, v, partition") == [("a", 10, "p2"), ("b", 2, "p1")]
+
+
+def test_unknown_columns_are_refused(spark, lake):
+    t = _kv_table(spark, lake, "enforce", partitioned=True)
+    with pytest.raises(ValueError, match="extra"):
+        replace_partition(spark, t, spark.createDataFrame([("a", 1, 2)], "k STRING, v BIGINT, extra INT"), "p")
+
+
+def test_unreferenced_folders_are_removed(spark, lake):
+    from medallion.operators.publish import partition_folders, remove_unreferenced
+
+    t = _kv_table(spark, lake, "clean", partitioned=True)
+    for v in (1, 2, 3):
+        upsert(spark, t, _df(spark, [("a", v, "p1"), ("b", v, "p2")]), ["k"])
+    before = _rows(spark, t, "k, v, partition")
+    assert remove_unreferenced(spark, t) == []  # all too young
+    gone = remove_unreferenced(spark, t, older_than_seconds=0)
+    assert len([g for g in gone if "/_partitions/" in g]) == 2 and not set(gone) & set(partition_folders(spark, t).values())
+    spark.catalog.refreshTable(t)
+    assert _rows(spark, t, "k, v, partition") == before

@@ -133,9 +133,3 @@ def test_one_join_equals_three_joins_property(spark, dim_rows, src_rows):
     assert sorted(map(tuple, one.collect()), key=repr) == sorted(map(tuple, three.collect()), key=repr)
 
 
-def test_late_rows_drop(spark):
-    source, dim = _toy(spark)
-    rows = scd2_changes(source, dim, late_rows="drop").collect()
-    assert len(rows) == 5  # the late row (3, old) is left out
-    assert "old" not in {r["first_name"] for r in rows}
-    assert sum(not r["current"] for r in rows) == 1
