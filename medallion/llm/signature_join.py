@@ -46,7 +46,7 @@ from medallion.llm.common import components, table, written
 WORDS = 5
 KEYS = 24
 BITS = 1024
-CHUNK = 512
+CHUNK = 4096
 LEAF = 16
 FANOUT = 8
 
@@ -109,14 +109,20 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo in range(0, batch.num_rows, 1000):
-            node, shingles = [], []
+            node, n, excess, bits, shingles = [], [], [], [], []
             for t in batch.column("text").slice(lo, 1000):
                 s = shingle_set(t.as_py())
                 if len(s):
+                    b, e = bitmap(s)
                     node.append(xxhash.xxh3_128_digest(s.tobytes()))
+                    n.append(len(s))
+                    excess.append(e)
+                    bits.append(b)
                     shingles.append(s.tobytes())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(node, pa.binary()), pa.array(shingles, pa.binary())], ["node", "shingles"]
+                [pa.array(node, pa.binary()), pa.array(n, pa.int64()), pa.array(excess, pa.int32()),
+                 pa.array(bits, pa.binary()), pa.array(shingles, pa.binary())],
+                ["node", "n_shingles", "excess", "bits", "shingles"],
             )
 
 
@@ -190,33 +196,56 @@ def _signature(block: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, np.nd
     return block, block.column("n_shingles").to_numpy(), block.column("excess").to_numpy().astype(np.int64), bits
 
 
+def _assigned(keys: list[np.ndarray], key: np.uint64, i: int, j: int) -> bool:
+    """Whether a block's key is the smallest that two nodes share: of the
+    blocks both are in, exactly one compares them."""
+    both = np.intersect1d(keys[i], keys[j], assume_unique=True)
+    return bool(len(both)) and both[0] == key
+
+
 def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, node) for nodes with a candidate partner in the block."""
-    out_block: list[int] = []
-    out_node: list[bytes] = []
+    """(block, key, side, node) of nodes with a candidate partner in the block.
+    Where rows tell their component and keys, a partner is one of another
+    component that this block is the one to compare with."""
+    names = ["block", "key", "side", "node"]
+    held: list[pa.Table] = []
+    rows = 0
 
     def flush():
-        batch = pa.RecordBatch.from_arrays(
-            [pa.array(out_block, pa.int64()), pa.array(out_node, pa.binary())], ["block", "node"]
-        )
-        out_block.clear()
-        out_node.clear()
-        return batch
+        table = pa.concat_tables(held).combine_chunks()
+        held.clear()
+        return table.to_batches()
 
     for block in _blocks(batches):
         if block.num_rows < 2:
             continue
         block, sizes, excess, bits = _signature(block)
+        side = block.column("side").to_numpy()
+        again = "component" in block.column_names
+        if again:
+            component = np.unique(np.array(block.column("component").to_pylist(), object), return_inverse=True)[1]
+            keys = [np.array(k, np.int64).view(np.uint64) for k in block.column("keys").to_pylist()]
+            key = np.int64(block.column("key")[0].as_py()).view(np.uint64)
         marked = np.zeros(len(sizes), bool)
         for i, j in candidate_pairs(sizes, excess, bits):
-            marked[i] = marked[j] = True
+            keep = (side[i] != side[j]) | (side[i] == 2)
+            if again:
+                keep &= component[i] != component[j]
+            i, j = i[keep], j[keep]
+            if again:
+                for x, y in zip(i.tolist(), j.tolist()):
+                    if not (marked[x] and marked[y]) and _assigned(keys, key, x, y):
+                        marked[x] = marked[y] = True
+            else:
+                marked[i] = marked[j] = True
         if marked.any():
-            nodes = block.column("node").filter(pa.array(marked)).to_pylist()
-            out_block += [block.column("block")[0].as_py()] * len(nodes)
-            out_node += nodes
-        if len(out_node) > 20_000:
-            yield flush()
-    yield flush()
+            held.append(block.select(names).filter(pa.array(marked)))
+            rows += held[-1].num_rows
+            if rows > 20_000:
+                yield from flush()
+                rows = 0
+    if held:
+        yield from flush()
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,16 +297,18 @@ def _in_blocks(rows: DataFrame) -> DataFrame:
 
 
 def _block_rows(nodes: DataFrame) -> DataFrame:
-    """(block, node): every node in the blocks of its keys. Keys of one node
-    make none; keys of many nodes make a block for each pair of chunks."""
-    rows = nodes.select("node", "n_shingles", F.explode("keys").alias("key"))
+    """(block, key, side, node): every node in the blocks of its keys. Keys of
+    one node make none; keys of many nodes make a block for each pair of chunks,
+    of which side 0 meets side 1 (side 2: one chunk, all meet)."""
+    rows = nodes.select("node", F.explode("keys").alias("key"))
     counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     shared = rows.join(counts, "key")
-    small = shared.where(F.col("df") <= CHUNK).select(F.xxhash64("key").alias("block"), "node")
+    small = shared.where(F.col("df") <= CHUNK).select(F.xxhash64("key").alias("block"), "key", F.lit(2).alias("side"), "node")
 
     # size classes a factor of 0.8 wide: only equal and neighbouring classes link
     size_class = F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(1.25)))
-    large = written(shared.where(F.col("df") > CHUNK).withColumn("cls", size_class).select("key", "node", "cls"), "hot_keys")
+    large = shared.where(F.col("df") > CHUNK).join(nodes.select("node", "n_shingles"), "node")
+    large = written(large.select("key", "node", size_class.alias("cls")), "hot_keys")
     parts = large.groupBy("key", "cls").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("parts"))
     near = parts.select("key", F.explode(F.array(F.col("cls") - 1, F.col("cls"), F.col("cls") + 1)).alias("cls"),
                         F.col("cls").alias("other"), F.col("parts").alias("other_parts"))
@@ -293,8 +324,9 @@ def _block_rows(nodes: DataFrame) -> DataFrame:
     )
     own, other = F.struct(F.col("cls").alias("c"), F.col("sub").alias("s")), F.struct(
         F.col("other").alias("c"), F.col("other_sub").alias("s"))
+    side = F.when(own < other, 0).when(own > other, 1).otherwise(2)
     return small.union(
-        chunked.select(F.xxhash64("key", F.least(own, other), F.greatest(own, other)).alias("block"), "node")
+        chunked.select(F.xxhash64("key", F.least(own, other), F.greatest(own, other)).alias("block"), "key", side.alias("side"), "node")
     )
 
 
@@ -316,12 +348,12 @@ def link_forest(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     signature = nodes.select("node", "n_shingles", "excess", "bits")
     blocks = _block_rows(nodes.select("node", "n_shingles", "keys")).join(signature, "node")
-    marked = written(_in_blocks(blocks).mapInArrow(_mark, "block long, node binary").distinct(), "marked")
+    mark = "block long, key long, side int, node binary"
+    marked = written(_in_blocks(blocks).mapInArrow(_mark, mark), "marked")
 
     wanted = nodes.join(marked.select("node").distinct(), "node", "left_semi").select("handle")
-    texts = handled.join(wanted, "handle", "left_semi").select("text")
-    sets = texts.mapInArrow(_sets, "node binary, shingles binary").groupBy("node").agg(F.first("shingles").alias("shingles"))
-    sets = written(sets.join(signature, "node"), "sets")
+    texts = handled.join(wanted, "handle", "left_semi").dropDuplicates(["handle", "text"]).select("text")
+    sets = written(texts.mapInArrow(_sets, "node binary, n_shingles long, excess int, bits binary, shingles binary"), "sets")
 
     verified = "a binary, b binary"
     first = marked.groupBy("node").agg(F.min("block").alias("block"))
@@ -329,10 +361,13 @@ def link_forest(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     links = written(_in_blocks(own).mapInArrow(_verify, verified), "links_first")
 
     joined = components(links)
-    known = marked.join(joined, "node", "left").select("block", "node", F.coalesce("component", "node").alias("component"))
+    known = marked.join(joined, "node", "left").select("block", "key", "side", "node", F.coalesce("component", "node").alias("component"))
     open_blocks = known.groupBy("block").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    rest = known.join(open_blocks.select("block"), "block", "left_semi").join(sets, "node")
-    more = written(_in_blocks(rest).mapInArrow(_verify, verified), "links_rest")
+    unsettled = known.join(open_blocks.select("block"), "block", "left_semi").join(
+        nodes.select("node", "n_shingles", "excess", "bits", "keys"), "node")
+    unsettled = written(_in_blocks(unsettled).mapInArrow(_mark, mark), "unsettled")
+    rest = unsettled.select("block", "node").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    more = written(_in_blocks(rest.join(sets, "node")).mapInArrow(_verify, verified), "links_rest")
     return sketches, links.union(more)
 
 
@@ -344,6 +379,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         "doc_id", "n_shingles", F.coalesce("component", "node").alias("component")
     )
     least = member.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    least = written(least, "least")  # a plain side, so that AQE can split a hot component's rows
     return member.join(least, "component", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
