@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.llm.common import table, written
+from medallion.session import scratch_path
 
 SHORTEST = 12
 DICTIONARY = 5_000
@@ -166,7 +167,7 @@ def labelled(found: DataFrame) -> DataFrame:
 
 def train(found: DataFrame, labels: DataFrame):
     """A random forest from labelled findings; None without both kinds."""
-    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
     from pyspark.ml.functions import array_to_vector
 
     known = labels.where("doc_id IS NOT NULL AND start IS NOT NULL AND secret IS NOT NULL").groupBy("doc_id", "start").agg(
@@ -176,7 +177,12 @@ def train(found: DataFrame, labels: DataFrame):
     rows = written(rows.select(array_to_vector("feature").alias("features"), "label"), "secret_sample")
     if rows.select("label").distinct().count() < 2:
         return None
-    return RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=11).fit(rows)
+    model = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=11).fit(rows)
+    # read back from storage, the model is free of its training summary, which
+    # holds the session and cannot be sent to tasks once observations were used
+    path = scratch_path(found.sparkSession, "llm", "secret_model")
+    model.write().save(path)
+    return RandomForestClassificationModel.load(path)
 
 
 def scan(docs: DataFrame, labels: DataFrame | None = None) -> DataFrame:
