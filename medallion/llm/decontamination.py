@@ -1,21 +1,15 @@
-"""Benchmark decontamination by the CGK embedding and bit-sampling LSH.
-
-A text is its lower-cased words. The CGK embedding reads a word sequence by a
-random walk: step j emits the word under the pointer, and a random bit drawn
-for (step, word) says whether the pointer moves on. Two sequences a few edits
-apart fall back into step, so edit distance becomes Hamming distance between
-their walks. Each of ``REPEATS`` repetitions draws its own bits, samples
-``SAMPLED`` of the first ``SPAN`` steps, and starts at its own relative place
-inside an item-sized window; windows at every word of every document are
-looked up among the items' samples. A step is taken only by windows that still
-agree with some item, so most stop at the first sampled word. Every window that
-agrees is verified by exact word edit distance (bit-parallel, free ends), and
-an item counts as leaked with at most ``MAX_EDITS`` edits per word of it.
-
-The starts of the repetitions spread over the item, so at one word in
-twenty edited a repetition's stretch of about seven words is untouched with
-probability near 0.7, and 16 repetitions miss a leak with probability under
-1e-8; at one in ten, near 0.5 and 1e-4; exact passages are never missed.
+"""Benchmark decontamination by exact pieces and verified edit distance.
+
+A text is its lower-cased words. An item counts as leaked with at most
+``MAX_EDITS`` edits per word of it, k in all. Each item is cut into k + 1 pieces
+of nearly equal length; k edits cannot touch them all, so every leak holds one
+piece word for word, wherever the edits are and whatever the item's length.
+Every word of every document is the start of a window looked up among the
+pieces; a window is read on only while it still agrees with the start of some
+piece, so most stop at the first or second word. Every piece found is verified
+by exact word edit distance (bit-parallel, free ends) over all words that an
+alignment through it can reach. So no leak is missed, and the edits reported
+are the least in the document.
 
 Items travel to the tasks in blocks of at most ``BLOCK_BYTES``; a larger
 benchmark takes several passes. Documents are never shuffled.
@@ -39,10 +33,6 @@ from pyspark.sql import functions as F
 
 from medallion.llm.common import table
 
-REPEATS = 16
-SPAN = 14
-SAMPLED = 7
-EARLY = 2
 MIN_WORDS = 6
 MAX_EDITS = 0.2
 BLOCK_BYTES = 4 << 20
@@ -80,9 +70,9 @@ def edit_distance(masks: dict[int, int], length: int, text: list[int]) -> int:
 
 
 class Searcher:
-    """The items of one block with their samples for every repetition."""
+    """The items of one block with their pieces."""
 
-    def __init__(self, items: list[tuple[int, str]], seed: int = 17):
+    def __init__(self, items: list[tuple[int, str]]):
         self.vocabulary: dict[bytes, int] = {}
         self.items: list[tuple[int, np.ndarray, dict[int, int]]] = []
         for item_id, text in items:
@@ -92,60 +82,39 @@ class Searcher:
                 for k, w in enumerate(ids):
                     masks[w] |= 1 << k
                 self.items.append((item_id, np.array(ids, np.int32), dict(masks)))
-        self.tables = []
-        rng = np.random.default_rng(seed)
-        spans: dict[int, list[int]] = defaultdict(list)
+        self.first = np.zeros(len(self.vocabulary) + 1, bool)
+        # by number of words: the codes of the pieces' starts, and of whole pieces with where they are
+        starts: dict[int, set[int]] = defaultdict(set)
+        self.found: dict[int, dict[int, list[tuple[int, int]]]] = defaultdict(lambda: defaultdict(list))
         for k, (_, ids, _) in enumerate(self.items):
-            spans[min(SPAN, len(ids))].append(k)
-        for span, members in sorted(spans.items()):
-            for r in range(REPEATS):
-                bits = rng.integers(0, 2, (span, len(self.vocabulary) + 1), np.int8)
-                # step EARLY is always sampled: it stops most windows that begin alike
-                others = np.setdiff1d(np.arange(1, span), [EARLY])
-                later = np.append(rng.choice(others, min(SAMPLED, span) - 2, replace=False), EARLY)
-                place = (r + rng.random()) / REPEATS
-                self.tables.append(self._table(span, members, bits, np.sort(later), place))
-
-    def _table(self, span: int, members: list[int], bits: np.ndarray, later: np.ndarray, place: float):
-        """Walk every item; keep, per sampled step, the codes that occur."""
-        offsets = [int(place * (len(self.items[k][1]) - span + 1)) for k in members]
-        codes = [np.uint64(0)] * len(members)
-        levels: dict[int, np.ndarray] = {}
-        at = list(offsets)
-        for j in range(int(later[-1]) + 1 if len(later) else 1):
-            tokens = [int(self.items[k][1][p]) for k, p in zip(members, at)]
-            if j == 0 or j in later:
-                codes = [_mix(np.array([c], np.uint64), np.array([t]))[0] for c, t in zip(codes, tokens)]
-                levels[j] = np.unique(np.array(codes, np.uint64))
-            at = [p + int(bits[j, t]) for p, t in zip(at, tokens)]
-        first = np.zeros(len(self.vocabulary) + 1, bool)
-        first[[int(self.items[k][1][o]) for k, o in zip(members, offsets)]] = True
-        found = defaultdict(list)
-        for k, o, c in zip(members, offsets, codes):
-            found[int(c)].append((k, o))
-        return bits, levels, first, dict(found)
-
-    def windows(self, ids: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(item, window start) wherever a repetition's sample agrees. ``ids``
-        is padded so that a walk cannot leave it."""
-        for bits, levels, first, found in self.tables:
-            at = start = np.flatnonzero(first[ids[: len(ids) - SPAN]])
-            code = np.zeros(len(start), np.uint64)
-            last = max(levels)
-            for j in range(last + 1):
-                token = ids[at]
-                if j in levels:
-                    code = _mix(code, token)
-                    if j:
-                        where = np.searchsorted(levels[j], code)
-                        keep = np.flatnonzero(levels[j][np.minimum(where, len(levels[j]) - 1)] == code)
-                        at, start, code, token = at[keep], start[keep], code[keep], token[keep]
-                        if not len(at):
-                            break
-                at = at + bits[j][token]
-            for s, c in zip(start.tolist(), code.tolist()):
-                for item, offset in found.get(c, ()):
-                    yield item, s - offset
+            pieces = int(MAX_EDITS * len(ids)) + 1
+            cuts = [i * len(ids) // pieces for i in range(pieces + 1)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                self.first[ids[lo]] = True
+                code = np.zeros(1, np.uint64)
+                for n in range(1, hi - lo + 1):
+                    code = _mix(code, ids[lo + n - 1 : lo + n])
+                    starts[n].add(int(code[0]))
+                self.found[hi - lo][int(code[0])].append((k, lo))
+        self.starts = {n: np.array(sorted(c), np.uint64) for n, c in starts.items()}
+        self.whole = {n: np.array(sorted(c), np.uint64) for n, c in self.found.items()}
+        self.longest = max(self.whole, default=0)
+
+    def pieces(self, ids: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(item, offset in it, word) wherever a piece occurs. ``ids`` is padded
+        so that a window cannot leave it."""
+        start = np.flatnonzero(self.first[ids])
+        code = np.zeros(len(start), np.uint64)
+        for n in range(1, self.longest + 1):
+            code = _mix(code, ids[start + n - 1])
+            if n > 1:
+                keep = _among(code, self.starts[n])
+                start, code = start[keep], code[keep]
+            if n in self.whole:
+                here = _among(code, self.whole[n])
+                for s, c in zip(start[here].tolist(), code[here].tolist()):
+                    for item, offset in self.found[n][c]:
+                        yield item, offset, s
 
     def search(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, int, int]]:
         """(text index, item_id, start word, item words, edits), one per leaked
@@ -153,41 +122,43 @@ class Searcher:
         if not self.items:
             return
         get = self.vocabulary.get
-        parts = [np.fromiter(map(get, w, repeat(0)), np.int32, len(w)) for w in map(words_of, texts)]
+        # an unknown word after each text, so that no piece reaches from one into the next
+        parts = [np.fromiter(map(get, w, repeat(0)), np.int32, len(w)) for w in ([*words_of(t), b""] for t in texts)]
         edges = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-        ids = np.concatenate([*parts, np.zeros(SPAN, np.int32)])
+        ids = np.concatenate([*parts, np.zeros(self.longest, np.int32)])
         seen = set()
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        for item, start in self.windows(ids):
-            if (item, start) in seen:
+        for item, offset, at in self.pieces(ids):
+            t, start = int(np.searchsorted(edges, at, side="right")) - 1, at - offset
+            if (t, item, start) in seen:
                 continue
-            seen.add((item, start))
+            seen.add((t, item, start))
             _, words, masks = self.items[item]
-            # the window starts in the text that holds its first agreeing word; a start
-            # before that text's first word is cut to it
-            text = int(np.searchsorted(edges, max(0, start + len(words) // 2), side="right")) - 1
-            for t in {min(text, len(parts) - 1), int(np.searchsorted(edges, max(0, start), side="right")) - 1}:
-                if not 0 <= t < len(parts):
-                    continue
-                lo, hi = int(edges[t]), int(edges[t + 1])
-                most = int(MAX_EDITS * len(words))
-                a, b = max(lo, start - most), min(hi, start + len(words) + most)
-                if b - a < len(words) - most:
-                    continue
-                if lo <= start and start + len(words) <= hi and np.array_equal(ids[start : start + len(words)], words):
-                    edits = 0
-                else:
-                    window = ids[a:b].tolist()
-                    if sum(map(masks.__contains__, window)) < len(words) - most:
-                        continue  # each word without a partner is an edit
-                    edits = edit_distance(masks, len(words), window)
-                if edits <= most:
-                    hit = (edits, max(0, start - lo))
-                    best[t, item] = min(best.get((t, item), hit), hit)
+            lo, hi = int(edges[t]), int(edges[t + 1]) - 1
+            most = int(MAX_EDITS * len(words))
+            a, b = max(lo, start - most), min(hi, start + len(words) + most)
+            if b - a < len(words) - most:
+                continue
+            if lo <= start and start + len(words) <= hi and np.array_equal(ids[start : start + len(words)], words):
+                edits = 0
+            else:
+                window = ids[a:b].tolist()
+                if sum(map(masks.__contains__, window)) < len(words) - most:
+                    continue  # each word without a partner is an edit
+                edits = edit_distance(masks, len(words), window)
+            if edits <= most:
+                hit = (edits, max(0, start - lo))
+                best[t, item] = min(best.get((t, item), hit), hit)
         for (t, item), (edits, start) in sorted(best.items()):
             yield t, self.items[item][0], start, len(self.items[item][1]), edits
 
 
+def _among(code: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """The places of ``code`` whose value is in the sorted ``known``."""
+    where = np.searchsorted(known, code)
+    return np.flatnonzero(known[np.minimum(where, len(known) - 1)] == code)
+
+
 def _mix(code: np.ndarray, token: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         x = (code + token.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)

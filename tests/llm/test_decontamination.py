@@ -76,6 +76,25 @@ def test_edited_passages_are_found(spark):
     assert got <= want and len(want - got) <= 1 and len(planted - got) <= 1
 
 
+def test_every_leak_is_found_at_every_length_and_place_of_edits():
+    rng = random.Random(7)
+    vocabulary = [f"w{i}" for i in range(400)] + ["the", "of", "and"] * 40
+    for n in [*range(dc.MIN_WORDS, 26), 40, 70]:
+        items = [(k, " ".join(rng.choice(vocabulary) for _ in range(n))) for k in range(10)]
+        most, docs = int(dc.MAX_EDITS * n), []
+        for _, text in items:
+            words = text.split()
+            spread = rng.sample(range(n), most)
+            for at in (range(most), range(n - most, n), spread):  # the first, the last and any words
+                for cut in (False, True):
+                    edited = ["new" if k in at else w for k, w in enumerate(words) if not (cut and k in at)]
+                    around = [rng.choice(vocabulary) for _ in range(40)]
+                    docs.append((len(docs), " ".join(around[:20] + edited + around[20:])))
+                    docs.append((len(docs), " ".join(edited)))
+        got = {(t, i, e) for t, i, _, _, e in dc.Searcher(items).search([text for _, text in docs])}
+        assert got == brute(docs, items) and {(d, d // 12) for d, _ in docs} <= {(d, i) for d, i, _ in got}
+
+
 def test_awkward_rows_and_blocks(spark, monkeypatch):
     items = spark.createDataFrame(
         [(1, awkward_rows()[0][1]), (2, None), (3, ""), (4, "one two"), (None, "while many other animals look on"), (1, awkward_rows()[0][1])], ITEMS)
