@@ -127,6 +127,48 @@ def test_secrets_in_whole_texts(spark):
     assert out.secret.sum() == want > 5 and (out[~out.secret].probability < 0.5).all()
 
 
+SECRET = "9f8e7d6c5b4a39281706f5e4d3c2b1a09f8e7d6c"
+
+
+@pytest.mark.parametrize("text, name, value", [
+    (f"API_KEY={SECRET}", "api_key", SECRET),
+    (f"export AWS_KEY_2={SECRET} # x", "aws_key_2", SECRET),
+    (f"token:{SECRET}\nname:x", "token", SECRET),
+    (f"see http://a.example/x?user=me&token={SECRET}&page=2", "token", SECRET),
+    (f"http://a.example/x?token={SECRET}#top", "token", SECRET),
+    (f'{{"clientSecret": "{SECRET}"}}', "clientsecret", SECRET),
+    (f"Authorization: Bearer {SECRET}", "authorization", SECRET),
+    ("DB_PASSWORD=Tr0ub4dor&3!#x%y next", "db_password", "Tr0ub4dor&3!#x%y"),
+    ("password: hunter2", "password", "hunter2"),
+    ('passwd = "correct horse battery"', "passwd", "correct horse battery"),
+    ("secret=AbCdEfGhIjKlMnOpQrSt.", "secret", "AbCdEfGhIjKlMnOpQrSt"),
+    (f"digest={SECRET}", "digest", SECRET),
+    (f"config:token={SECRET}", "token", SECRET),
+    ("zzz AbCdEfGhIjKlMnOpQrSt zzz", None, "AbCdEfGhIjKlMnOpQrSt"),
+    ("at ab:cd:ef:12:34:56:78 now", None, "ab:cd:ef:12:34:56:78"),
+])
+def test_candidates_are_values_alone(text, name, value):
+    at = text.index(value)
+    found = [(s, v) for s, v in secret_forest.candidates(text) if s < at + len(value) and s + len(v) > at]
+    assert found == [(at, value)] and all(text[s : s + len(v)] == v for s, v in secret_forest.candidates(text))
+    assert secret_forest.assigned_name(text, text.index(value)) == name
+    features = dict(zip(secret_forest.FEATURES, secret_forest.describe(text, text.index(value), value, "", frozenset(), frozenset())))
+    assert features["assigned"] == (name is not None) and features["credential_near"] == (name not in (None, "digest"))
+
+
+def test_assigned_secrets_without_blanks_are_found(spark):
+    import hashlib
+
+    docs = table(spark, SF, "documents").select("doc_id", "text", "source")
+    forms = ["API_KEY={}", "token:{}", "http://a.example/x?token={}&p=1"]
+    values = [hashlib.sha1(b"%d" % n).hexdigest() for n in range(30)]
+    rows = [(10**6 + n, "some words then " + forms[n % 3].format(v), "src") for n, v in enumerate(values)]
+    added = spark.createDataFrame(rows, docs.schema)
+    out = secret_forest.scan(docs.union(added)).where("doc_id >= 1000000 AND secret").toPandas()
+    got = {rows[d - 10**6][1][s : s + n] for d, s, n in zip(out.doc_id, out.start, out.length)}
+    assert len(out) == 30 and got == set(values)
+
+
 def test_secrets_over_awkward_rows(spark):
     out = secret_forest.scan(awkward(spark)).toPandas()
     assert set(out.doc_id) <= {11} and len(out) == 1 and out.length[0] == 40
