@@ -7,7 +7,7 @@ the same set are one *node* from the start, so copies cost nothing further.
 * **Blocks.** Sets that link share one of their smallest hashes: a set of n has
   ``n - ceil(0.8 n) + 1`` prefix hashes, of which the 24 smallest are keys. Up to
   115 shingles that is the whole prefix and the guarantee is absolute; above,
-  a link is missed with probability at most 0.2 ** 24 (4e-17), less than what
+  a link is missed with probability at most 0.2 ** 24 (1.7e-17), less than what
   64-bit hashes leave open anyway. Keys of one node only are dropped.
 * **Trees.** Inside a block, nodes are sorted by size and packed into a tree; a
   tree node holds the OR of its members' 1024-bit token bitmaps, their size
