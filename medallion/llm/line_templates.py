@@ -7,8 +7,10 @@ line). At the leaf a line of at least ``SPLIT`` tokens belongs to two
 templates: one that keeps the first half of its other tokens and generalises
 the second, and one the other way round; a shorter line keeps all tokens. A
 template that occurs in several documents is recurring: its lines are dropped
-from all of them but the first, the smallest doc_id. Lines of fewer than
-``SHORTEST`` tokens are no templates.
+from all of them but the first, the smallest doc_id. ``drop_recurring`` makes
+templates of lines from one token on, unless told a larger ``shortest``. The
+query keeps to its SQL, in which lines of fewer than ``SHORTEST`` tokens are no
+templates: there, short lines stay, however many documents share them.
 
 Lines travel as 64-bit template hashes, never as text. Template counts are
 combined before the shuffle, so a line that a third of all documents share
@@ -42,12 +44,12 @@ def lines_of(text: Column) -> Column:
     return F.when(F.length(text) > 0, F.split(text, "\n"))
 
 
-def _with_templates(lines: DataFrame) -> DataFrame:
+def _with_templates(lines: DataFrame, shortest: int) -> DataFrame:
     """``lines`` with ``template``, a row for each template of a line."""
     raw = F.regexp_extract_all("line", F.lit(TOKEN), 0)
-    parsed = lines.withColumn("masked", F.regexp_replace("line", VARIABLE, "<*>")).where(F.length("line") >= 2 * SHORTEST - 1)
+    parsed = lines.withColumn("masked", F.regexp_replace("line", VARIABLE, "<*>")).where(F.length("line") >= 2 * shortest - 1)
     parsed = parsed.withColumn("tokens", F.regexp_extract_all("masked", F.lit(TOKEN), 0))
-    parsed = parsed.withColumn("n", F.size("tokens")).where(F.col("n") >= SHORTEST)
+    parsed = parsed.withColumn("n", F.size("tokens")).where(F.col("n") >= shortest)
     variable = F.size(F.array_remove("tokens", "<*>"))
     parsed = parsed.withColumn("tokens", F.when(variable * 2 >= F.col("n"), F.col("tokens")).otherwise(raw))
     half = F.floor((F.col("n") - LEADING) / 2).cast("int")
@@ -58,13 +60,13 @@ def _with_templates(lines: DataFrame) -> DataFrame:
     return parsed.select("doc_id", "version", "line_no", F.explode(templates).alias("template"))
 
 
-def dropped_lines(docs: DataFrame) -> DataFrame:
+def dropped_lines(docs: DataFrame, shortest: int = 1) -> DataFrame:
     """(doc_id, version, dropped): per document the numbers of its dropped
     lines; ``version`` tells texts of one doc_id apart."""
     lines = docs.where("doc_id IS NOT NULL").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"),
         F.posexplode(lines_of(F.col("text"))).alias("line_no", "line"))
-    rows = written(_with_templates(lines), "templates")
+    rows = written(_with_templates(lines, shortest), "templates")
     first = rows.groupBy("template").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     observed, profile = observe_profile(first.select(F.col("template").alias("recurring"), "first"))
     first = written(observed, "recurring")
@@ -75,11 +77,11 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def drop_recurring(docs: DataFrame) -> DataFrame:
+def drop_recurring(docs: DataFrame, shortest: int = 1) -> DataFrame:
     """(doc_id, n_lines, n_dropped, text) for every row of ``docs``: the text
-    without the lines of recurring templates."""
+    without the lines of recurring templates of ``shortest`` or more tokens."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("version"))
-    out = rows.join(dropped_lines(docs), ["doc_id", "version"], "left")
+    out = rows.join(dropped_lines(docs, shortest), ["doc_id", "version"], "left")
     lines, dropped = lines_of(F.col("text")), F.col("dropped")
     kept = F.filter(F.transform(lines, lambda x, i: F.when(~F.array_contains(dropped, i), x)), lambda x: x.isNotNull())
     return out.select(
@@ -90,4 +92,4 @@ def drop_recurring(docs: DataFrame) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drop_recurring(table(spark, sf_dir, "documents"))
+    return drop_recurring(table(spark, sf_dir, "documents"), SHORTEST)

@@ -42,6 +42,17 @@ def test_line_templates_over_awkward_rows(spark, tmp_path):
     assert line_templates.drop_recurring(docs.limit(0)).count() == 0
 
 
+def test_short_recurring_lines_are_dropped(spark):
+    from medallion.llm import line_templates
+
+    short = "All rights reserved."
+    rows = [(1, f"{short}\nfirst\n\n12"), (2, f"second\n{short}\n\n13"), (3, f"{short}\n12\nMenu"), (4, "Menu")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in line_templates.drop_recurring(docs).collect()}
+    assert got == {1: (rows[0][1], 0), 2: ("second\n\n13", 1), 3: ("Menu", 2), 4: ("", 1)}
+    assert all(r["n_dropped"] == 0 for r in line_templates.drop_recurring(docs, line_templates.SHORTEST).collect())
+
+
 def test_url_filter_over_awkward_rows(spark):
     from datetime import datetime as D
 
