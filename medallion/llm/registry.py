@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from medallion.llm import decontamination, embedding_pq, line_templates, mixing, oracles, quality, secret_forest, signature_join, token_counts, token_files, url_filter
+from medallion.llm import decontamination, embedding_pq, graph_search, line_templates, mixing, oracles, quality, secret_forest, signature_join, token_counts, token_files, url_filter
 
 QUERIES = {
     "op3_secret_forest": secret_forest.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_signature_join": signature_join.query,
     "op5_token_counts": token_counts.query,
     "op10_token_files": token_files.query,
+    "op13_graph_search": graph_search.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
