@@ -124,3 +124,42 @@ SELECT d.doc_id, CASE WHEN length(d.text) > 0 THEN len(string_split(d.text, chr(
           IF NOT list_contains(g.dropped, z[1])], chr(10)) END AS text
 FROM documents d LEFT JOIN numbers g USING (doc_id)
 """
+
+FILTER_AUDIT = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least
+  FROM documents
+), masks AS (
+  SELECT doc_id, part, (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+         + 4 * (100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 5 * length(x))::INT
+         + 8 * regexp_matches(x, '[#$%&*|]')::INT + 16 * coalesce(doc_id > least, false)::INT AS mask
+  FROM words
+), known AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), counts AS (
+  SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM masks LEFT JOIN known USING (doc_id) GROUP BY part, mask
+), filters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f
+), orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS o FROM filters a, filters b, filters c, filters d, filters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), steps AS (
+  SELECT o, k, 1 << (ascii(o[k]) - 65) AS bit, list_sum([1 << (ascii(o[j]) - 65) FOR j IN range(1, k)]) AS earlier
+  FROM orders, (SELECT unnest(range(1, 6)) AS k)
+), audit AS (
+  SELECT part, o, k, bit, sum(CASE WHEN mask & (bit | coalesce(earlier, 0)) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN mask & bit > 0 AND mask & coalesce(earlier, 0) = 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN mask & bit > 0 AND mask & coalesce(earlier, 0) > 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN mask & bit > 0 AND mask & coalesce(earlier, 0) = 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN mask & bit > 0 AND mask & coalesce(earlier, 0) = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM counts, steps GROUP BY part, o, k, bit
+)
+SELECT part, o AS filter_order, k::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM audit
+"""

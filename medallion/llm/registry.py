@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from medallion.llm import decontamination, embedding_pq, graph_search, line_templates, mixing, oracles, quality, secret_forest, signature_join, token_counts, token_files, url_filter
+from medallion.llm import decontamination, embedding_pq, filter_audit, graph_search, line_templates, merkle_manifest, mixing, oracles, quality, secret_forest, signature_join, token_counts, token_files, url_filter
 
 QUERIES = {
     "op3_secret_forest": secret_forest.query,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_signature_join": signature_join.query,
     "op5_token_counts": token_counts.query,
     "op10_token_files": token_files.query,
+    "op11_filter_audit": filter_audit.query,
+    "op12_merkle_manifest": merkle_manifest.query,
     "op13_graph_search": graph_search.query,
 }
 
@@ -23,4 +25,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_url_filter": oracles.URL_FILTER,
     "op4_embedding_pq": oracles.EMBEDDINGS,
     "op8_signature_join": oracles.JACCARD,
+    "op11_filter_audit": oracles.FILTER_AUDIT,
 }

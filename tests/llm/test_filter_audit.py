@@ -1,0 +1,114 @@
+"""op11 against a plain audit in memory, and its tries against sets."""
+
+import random
+import re
+from itertools import permutations
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from medallion.llm import filter_audit as fa
+from medallion.llm.common import table
+from tests.conftest import SF_SMALL
+from tests.llm.fixtures import awkward, awkward_rows, empty
+
+LABELS = "doc_id long, quality int, toxic int, n long, good int"
+
+
+def brute(docs, labels):
+    """The audit of (doc_id, text, source) rows and (doc_id, quality, toxic) labels."""
+    least = {}
+    for doc_id, text, _ in docs:
+        if doc_id is not None:
+            least[text or ""] = min(doc_id, least.get(text or "", doc_id))
+    rows = []
+    for doc_id, text, source in docs:
+        x = text or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", x)
+        fails = {
+            "A": len(words) < 50, "B": 100 * len(set(words)) < 65 * len(words), "C": 100 * len(re.findall("[A-Z]", x)) > 5 * len(x),
+            "D": bool(re.search(r"[#$%&*|]", x)), "E": doc_id is not None and doc_id > least[x],
+        }
+        good = any(d == doc_id and q == 1 for d, q, _ in labels if d is not None)
+        toxic = any(d == doc_id and t == 1 for d, _, t in labels if d is not None)
+        rows.append((source or "", {f for f in fails if fails[f]}, good, toxic))
+    out = {}
+    for part in {r[0] for r in rows}:
+        shapley = dict.fromkeys("ABCDE", 0)
+        for order in permutations("ABCDE"):
+            left = [r for r in rows if r[0] == part]
+            gone = []
+            for step, f in enumerate(order, 1):
+                removed = [r for r in left if f in r[1]]
+                left = [r for r in left if f not in r[1]]
+                shapley[f] += len(removed)
+                out[part, "".join(order), step] = [
+                    len(left), len(removed), sum(f in r[1] for r in gone), sum(r[0] == part and r[1] == {f} for r in rows),
+                    sum(r[2] for r in removed), sum(r[3] for r in removed), f]
+                gone += removed
+        for key, row in out.items():
+            if key[0] == part:
+                row[6] = shapley[row[6]]
+    return {k: tuple(v) for k, v in out.items()}
+
+
+def found(frame):
+    got = {(r[0], r[1], r[2]): tuple(r[3:]) for r in frame.collect()}
+    assert frame.columns == [f.name for f in fa.AUDIT] and len(got) == frame.count()
+    return got
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.binary(max_size=12).map(lambda b: bytes(x % 3 for x in b)), max_size=60), st.integers(1, 20))
+def test_trie_holds_each_text_once(keys, most):
+    trie = fa.Trie()
+    for key in keys:
+        node = trie.terminal(key)
+        node.held = (node.held or 0) + 1
+    assert {p + n.edge: n.held for p, n in trie.walk() if n.held} == {k: keys.count(k) for k in keys}
+    shares = list(trie.shares(most))
+    assert sum(w for _, w in shares) == sum(len(k) + 1 for k in set(keys))
+    assert all(any(k.startswith(p) for k in keys) for p, w in shares if w)
+
+
+def test_trie_takes_long_chains():
+    trie = fa.Trie()
+    for n in range(5000):
+        trie.terminal(b"a" * n).held = n
+    assert sum(1 for _, n in trie.walk() if n.held is not None) == 5000 and len(list(trie.shares(64))) > 60
+
+
+def test_awkward_rows(spark):
+    labels = [(1, 1, 0), (2, 0, 1), (2, 1, None), (3, 1, 1), (None, 1, 1), (99, 1, 1), (13, None, 1)]
+    frame = spark.createDataFrame([(*r, 5, 5) for r in labels], LABELS)
+    got = found(fa.audit(awkward(spark), frame))
+    assert got == brute([(r[0], r[1], r[3]) for r in awkward_rows()], labels) and {k[0] for k in got} == {"src1", "src2", ""}
+    assert fa.audit(empty(spark), frame).count() == 0
+    assert fa.audit(awkward(spark), frame.limit(0)).count() == 600 * 3
+
+
+def test_many_tries_and_ranges(spark, monkeypatch):
+    """Hot texts, long shared beginnings and repeated rows over many small tries."""
+    monkeypatch.setattr(fa, "TRIE_BYTES", 2000)
+    monkeypatch.setattr(fa, "RANGE_BYTES", 1500)
+    monkeypatch.setattr(fa, "SMALLEST_RANGE", 100)
+    rng = random.Random(2)
+    head = "the same first words of very many texts " * 5
+    texts = ["hot copy " * 60, "", None, head, head + "A", head + "a #", "$"] + [head + f"{n} tail" for n in range(60)] + [f"Word{n} x" * 9 for n in range(60)]
+    rows = []
+    for n in range(900):
+        text = texts[0] if n % 3 == 0 else rng.choice(texts)
+        rows.append((rng.randrange(400) if n % 50 else None, text, rng.choice(["a", "b", None]) if n % 4 else "hot"))
+    labels = [(n, n % 2, n % 3 % 2) for n in range(0, 400, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(9)
+    frame = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    assert found(fa.audit(docs, frame)) == brute(rows, labels)
+    points = spark.createDataFrame([(b"%03d" % n, 100) for n in range(200)] + [(b"100", 50_000)], "text binary, n long")
+    bounds = fa.range_bounds(points, 8)
+    assert len(bounds) > 10 and bounds == sorted(set(bounds))
+
+
+def test_query_equals_the_plain_audit(spark):
+    docs = [(r["doc_id"], r["text"], r["source"]) for r in table(spark, SF_SMALL, "documents").collect()]
+    labels = [tuple(r) for r in table(spark, SF_SMALL, "labels").select("doc_id", "quality", "toxic").collect()]
+    assert found(fa.query(spark, SF_SMALL)) == brute(docs, labels)
