@@ -5,20 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.operators.publish import partition_columns, partition_folders
+from medallion.operators.publish import filled_partitions
 
 
 def newest_partition(spark: SparkSession, table: str) -> str | None:
     """Lexicographically largest partition value that has rows.
 
-    The values come from the table's published version, so no data file is
-    opened to find them; from the largest down, each is asked for one row until
-    one has it (a run may have published no rows)."""
-    (col,) = partition_columns(spark, table)
-    for value in sorted(partition_folders(spark, table), reverse=True):
-        if not spark.table(table).where(F.col(col) == value).isEmpty():
-            return value
-    return None
+    The table's published version tells which partitions have rows, as their
+    writes counted them: no data file is opened and no job runs."""
+    return max(filled_partitions(spark, table), default=None)
 
 
 def latest_partition(spark: SparkSession, table: str, col: str = "partition") -> DataFrame:

@@ -22,7 +22,7 @@ from medallion.model import (
     SALES_MART_COLUMNS,
     ddl_columns,
 )
-from medallion.operators.publish import HOME_PROPERTY, reattach
+from medallion.operators.publish import BUCKET, BUCKET_KEYS_PROPERTY, BUCKETS_PROPERTY, HOME_PROPERTY, reattach, serve_latest
 from medallion.session import sql_str
 
 RUN_LOG_COLUMNS = (
@@ -47,13 +47,18 @@ BRONZE = {
     "orders": (ORDERS_COLUMNS + (ETL_INSERTED, PARTITION), True),
 }
 SILVER = {
-    # The dimension has no etl_inserted. Its files are laid out by
-    # ``partition`` (the run that last wrote a row), so an upsert rewrites
-    # only the partitions holding rows it replaces plus the run's own.
+    # The dimension has no etl_inserted. Its files are laid out by the bucket
+    # of their key and by ``partition`` (the run that last wrote a row), so an
+    # upsert looks for its keys in their buckets only and rewrites there only
+    # the partitions holding rows it replaces plus the run's own.
     "dim_customer": (DIM_CUSTOMER_COLUMNS + (PARTITION,), True),
     "fct_orders": (FCT_ORDERS_COLUMNS + (ETL_INSERTED, PARTITION), True),
 }
 GOLD = {"sales_mart": (SALES_MART_COLUMNS + (ETL_INSERTED, PARTITION), True)}
+BUCKETED = {"dim_customer": ("customer_sur_id",)}
+# Buckets of a bucketed table made here: for a dimension of terabytes give as
+# many as make one bucket a few hundred megabytes.
+DEFAULT_BUCKETS = 4
 METADATA = {"run_metadata": (RUN_LOG_COLUMNS, False), "dq_results": (CHECK_RESULT_COLUMNS, False)}
 
 
@@ -64,34 +69,43 @@ def create_database(spark: SparkSession, database: str, path: str) -> None:
 
 
 def create_table(
-    spark: SparkSession, database: str, name: str, columns, partitioned: bool, path: str
+    spark: SparkSession, database: str, name: str, columns, partitioned: bool, path: str,
+    bucket_keys=(), buckets: int = DEFAULT_BUCKETS,
 ) -> None:
     """Create the table if it does not exist. A table made anew over a folder
-    that was published to before gets its partitions back from there."""
+    that was published to before gets its partitions back from there. With
+    ``bucket_keys`` it is laid out by the bucket of those columns first."""
     home = f"{path.rstrip('/')}/{name}"
     if spark.catalog.tableExists(f"{database}.{name}"):
         return
+    layout, properties = [PARTITION[0]] if partitioned else [], {HOME_PROPERTY: home}
+    if bucket_keys:
+        columns = (*columns, (BUCKET, "INT"))
+        layout.insert(0, BUCKET)
+        properties |= {BUCKETS_PROPERTY: str(buckets), BUCKET_KEYS_PROPERTY: ",".join(bucket_keys)}
     spark.sql(
         f"CREATE TABLE {database}.{name} (\n  {ddl_columns(columns)}\n) USING parquet"
-        + (" PARTITIONED BY (`partition`)" if partitioned else "")
+        + (f" PARTITIONED BY ({', '.join(f'`{c}`' for c in layout)})" if layout else "")
         + f" LOCATION {sql_str(home)}"
-        + f" TBLPROPERTIES ({sql_str(HOME_PROPERTY)} = {sql_str(home)})"
+        + f" TBLPROPERTIES ({', '.join(f'{sql_str(k)} = {sql_str(v)}' for k, v in properties.items())})"
     )
     reattach(spark, f"{database}.{name}")
 
 
-def _create_layer(spark, layer, path, database) -> None:
+def _create_layer(spark, layer, path, database, buckets: int = DEFAULT_BUCKETS) -> None:
     create_database(spark, database, path)
     for name, (columns, partitioned) in layer.items():
-        create_table(spark, database, name, columns, partitioned, path)
+        create_table(spark, database, name, columns, partitioned, path, BUCKETED.get(name, ()), buckets)
 
 
 def create_bronze_tables(spark: SparkSession, path: str, database: str = DEFAULT_DATABASE) -> None:
     _create_layer(spark, BRONZE, path, database)
 
 
-def create_silver_tables(spark: SparkSession, path: str, database: str = DEFAULT_DATABASE) -> None:
-    _create_layer(spark, SILVER, path, database)
+def create_silver_tables(
+    spark: SparkSession, path: str, database: str = DEFAULT_DATABASE, buckets: int = DEFAULT_BUCKETS
+) -> None:
+    _create_layer(spark, SILVER, path, database, buckets)
 
 
 def create_gold_tables(spark: SparkSession, path: str, database: str = DEFAULT_DATABASE) -> None:
@@ -108,25 +122,28 @@ def create_interface_views(
     database: str = DEFAULT_BI_DATABASE,
     src_database: str = DEFAULT_DATABASE,
 ) -> None:
-    """The BI view: newest partition of the mart, renamed columns."""
+    """The BI view: newest partition of the mart, renamed columns. Each publish
+    of the mart renews it with that partition as a literal, so its readers list
+    and open one partition, however many there are."""
     create_database(spark, database, path)
-    spark.sql(
-        f"""CREATE OR REPLACE VIEW {database}.sales_mart AS
-        SELECT state_id, deliver_date AS delivery_date, num_orders
-        FROM {src_database}.sales_mart
-        WHERE `partition` = (SELECT max(`partition`) FROM {src_database}.sales_mart)"""
-    )
+    serve_latest(spark, f"{src_database}.sales_mart", f"{database}.sales_mart", "state_id, deliver_date AS delivery_date, num_orders")
 
 
-ALL_TABLES = {**BRONZE, **SILVER, **GOLD, **METADATA}
+# The mart over all runs (operators.mart_state): counts by key and date of each
+# run, and the cells. Made on request, not by ``create_all``.
+TOTALS = {
+    "mart_key_counts": ((("customer_sur_id", "STRING"), ("deliver_date", "DATE"), ("num_orders", "BIGINT"), PARTITION), True),
+    "mart_totals": (SALES_MART_COLUMNS + (PARTITION,), True),
+}
+ALL_TABLES = {**BRONZE, **SILVER, **GOLD, **METADATA, **TOTALS}
 
 
-def create_tables(spark: SparkSession, path: str, database: str, names) -> None:
+def create_tables(spark: SparkSession, path: str, database: str, names, buckets: int = DEFAULT_BUCKETS) -> None:
     """Create only the named tables (of any layer) in ``database``."""
     create_database(spark, database, path)
     for name in names:
         columns, partitioned = ALL_TABLES[name]
-        create_table(spark, database, name, columns, partitioned, path)
+        create_table(spark, database, name, columns, partitioned, path, BUCKETED.get(name, ()), buckets)
 
 
 def create_all(
@@ -134,9 +151,10 @@ def create_all(
     path: str,
     database: str = DEFAULT_DATABASE,
     bi_database: str = DEFAULT_BI_DATABASE,
+    buckets: int = DEFAULT_BUCKETS,
 ) -> None:
     create_bronze_tables(spark, path, database)
-    create_silver_tables(spark, path, database)
+    create_silver_tables(spark, path, database, buckets)
     create_gold_tables(spark, path, database)
     create_metadata_tables(spark, path, database)
     create_interface_views(spark, path, bi_database, database)

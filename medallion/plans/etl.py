@@ -10,7 +10,8 @@ Per layer:
 3. ``validate`` gathers the suites' results (most of them observed by the
    staging writes) and raises ``InvalidDataError`` on the first failed
    dataset;
-4. ``publish`` points the catalog at the staged folders.
+4. ``publish`` commits the staged folders of all the layer's tables; a run
+   that dies halfway is finished by the next one.
 
 Check results are appended before the gate may raise; run-log rows before each
 layer's body and when the run ends or fails.
@@ -36,7 +37,6 @@ from medallion.operators.checks import (
     check_datasets,
     gate,
     observe_not_null,
-    profile_and_check,
     result_row,
     write_result_rows,
 )
@@ -44,10 +44,14 @@ from medallion.operators.publish import (
     partition_columns,
     publish_partition,
     publish_upsert,
+    replacement,
     stage_partition,
     stage_upsert,
     table_home,
+    upsert_change,
 )
+from medallion.operators.layer import finish_layers, publish_layer
+from medallion.operators.profiles import PartProfiles, null_results
 from medallion.operators.runlog import RunLog, logged
 from medallion.operators.sizing import observe_profile
 
@@ -149,7 +153,8 @@ class LayeredETL(ABC):
         the write as observed metrics; their result rows are kept on the
         returned dataset. A partitioned upsert writes only the touched
         partitions; its not-null rules and the size profile of the new
-        version (over ``profile_columns``) then come from one pass.
+        version (over ``profile_columns``) come from the profiles of those
+        partitions and the known ones of all others.
         """
         if ds.staged is not None or ds.publish is Publish.SKIP:
             return ds
@@ -170,17 +175,17 @@ class LayeredETL(ABC):
         else:
             source = ds.frame.withColumn("partition", F.lit(ctx.partition))
             whole = not partition_columns(self.spark, ds.table)
+            rules = self.suites.get(ds.name, ())
+            nulls = tuple(r.column for r in rules if r.kind == "not_null")
+            spec = PartProfiles(tuple(self.profile_columns.get(ds.name, nulls)), nulls, self.profile_rows.get(ds.name))
             staged = stage_upsert(
                 self.spark, ds.table, source, ds.keys,
-                transform=observe if whole else None, sort_within=ds.sort_within,
+                transform=observe if whole else None, sort_within=ds.sort_within, profile=spec,
             )
             path, frame = staged.path or "", staged.frame
             profile = staged.profile
             if not whole:
-                rules = self.suites.get(ds.name, ())
-                cols = self.profile_columns.get(ds.name) or [r.column for r in rules]
-                rows = self.profile_rows.get(ds.name)
-                profile, results = profile_and_check(frame, rules, ds.name, cols, rows and F.expr(rows))
+                results = null_results(staged.parts_profile, rules, ds.name) if staged.parts_profile else []
                 resolved.append(lambda: results)
             ds = replace(ds, profile=profile, version=staged)
         return ds.with_frame(frame, path, tuple(resolved[0]() if resolved else ()))
@@ -213,11 +218,14 @@ class LayeredETL(ABC):
         ctx.results = []
 
     def publish(self, ctx: RunContext, datasets: Mapping[str, Dataset]) -> None:
+        """All tables of the layer, or none (``operators.layer``)."""
+        changes = []
         for ds in datasets.values():
             if ds.publish is Publish.REPLACE_PARTITION:
-                publish_partition(self.spark, ds.table, ctx.partition, ds.staged)
+                changes.append(replacement(self.spark, ds.table, ctx.partition, ds.staged))
             elif ds.publish is Publish.UPSERT:
-                publish_upsert(self.spark, ds.table, ds.version)
+                changes.append(upsert_change(self.spark, ds.table, ds.version))
+        publish_layer(self.spark, self.storage_path, [c for c in changes if c is not None])
 
     def _layer(self, ctx: RunContext, built: Mapping[str, Dataset]) -> dict[str, Dataset]:
         # The datasets of a layer do not depend on each other: their staging
@@ -243,6 +251,7 @@ class LayeredETL(ABC):
         run_id = run_id or f"{self.pipeline_id}_{partition}_{datetime.now():%Y-%m-%d-%H-%M-%S}"
         ctx = RunContext(run_id, self.pipeline_id, partition, RunLog(self.spark, self.run_log_table))
         self._check_homes()
+        finish_layers(self.spark, self.storage_path)
         published: dict[str, Dataset] = {}
         status = {"function": "run", "partition": partition}
         ctx.log.record(run_id, self.pipeline_id, {**status, "status": "started"})

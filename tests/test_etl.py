@@ -100,6 +100,7 @@ def test_unpartitioned_dimension_gives_same_tables(spark, lake):
     """A dimension created without partitions (as in the original DDL) takes
     the whole-version upsert path; the published tables are the same."""
     from medallion.model import DIM_CUSTOMER_COLUMNS, PARTITION
+    from medallion.operators.publish import published
     from medallion.plans.ddl import create_table
     from medallion.plans.queries import Lake
 
@@ -110,8 +111,8 @@ def test_unpartitioned_dimension_gives_same_tables(spark, lake):
         _etl(spark, target, batch_source(SF_SMALL, BATCH_CUTS[1])).run(P1, "u1")
         _etl(spark, target, batch_source(SF_SMALL, BATCH_CUTS[2])).run(P2, "u2")
     for t in ("dim_customer", "fct_orders", "sales_mart"):
-        a = sorted(map(tuple, spark.table(f"{lake.db}.{t}").drop("etl_inserted").collect()), key=repr)
-        b = sorted(map(tuple, spark.table(f"{other.db}.{t}").drop("etl_inserted").collect()), key=repr)
+        a = sorted(map(tuple, published(spark, f"{lake.db}.{t}").drop("etl_inserted").collect()), key=repr)
+        b = sorted(map(tuple, published(spark, f"{other.db}.{t}").drop("etl_inserted").collect()), key=repr)
         assert a == b, t
     results = spark.table(f"{other.db}.dq_results").where("dataset = 'dim_customer'").collect()
     assert all(r["success"] for r in results) and len(results) == 2

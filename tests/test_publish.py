@@ -176,18 +176,32 @@ def _df(spark, rows):
     return spark.createDataFrame(rows, "k STRING, v BIGINT, partition STRING")
 
 
-@pytest.mark.parametrize("calls", [0, 1, 2])
+def _stopped_publish(spark, table, source, calls):
+    """An upsert whose writer dies after the commit and ``calls`` of the
+    partitions' catalog calls."""
+    from medallion.operators import manifest as mf, publish
+
+    publish.commit(spark, publish.upsert_change(spark, table, publish.stage_upsert(spark, table, source, ["k"])))
+    meta = publish._Meta(spark, table)
+    changed = mf.read_manifest(spark, meta.home, meta.version)["changed"]
+    publish._apply(spark, table, meta, [tuple(c) for c in changed[:calls]])
+
+
+@pytest.mark.parametrize("calls", [0, 1, 2, 3])
 def test_stopped_publish_loses_nothing_and_is_finished(spark, lake, calls):
     from medallion.operators.publish import finish_publish
-    from medallion.plans.queries import _Stopped, _stopping_after
 
     t = _kv_table(spark, lake, f"crash{calls}", partitioned=True)
     upsert(spark, t, _df(spark, [("a", 1, "p1"), ("b", 2, "p1"), ("c", 3, "p2")]), ["k"])
     new = _df(spark, [("a", 10, "p3"), ("c", 30, "p3")])  # p3 filled, p1 shrunk, p2 emptied
-    with _stopping_after(calls), pytest.raises(_Stopped):
-        upsert(spark, t, new, ["k"])
+    _stopped_publish(spark, t, new, calls)
     seen = {k for k, _ in _rows(spark, t)}
     assert seen == {"a", "b", "c"}  # rows may show twice, none is gone
+    from medallion.operators.publish import read_version
+
+    now = sorted(map(tuple, read_version(spark, t).collect()), key=repr)  # neither doubled nor missing
+    assert now == [("a", 10, "p3"), ("b", 2, "p1"), ("c", 30, "p3")]
+    assert read_version(spark, t, keep=lambda p: p == "p1").collect() == [("b", 2, "p1")]
     assert finish_publish(spark, t) and not finish_publish(spark, t)
     want = [("a", 10, "p3"), ("b", 2, "p1"), ("c", 30, "p3")]
     assert _rows(spark, t, "k, v, partition") == want
@@ -195,6 +209,82 @@ def test_stopped_publish_loses_nothing_and_is_finished(spark, lake, calls):
     assert _rows(spark, t, "k, v, partition") == want
 
 
+def test_catalog_several_versions_behind_catches_up(spark, lake):
+    from medallion.operators import publish
+
+    t = _kv_table(spark, lake, "behind", partitioned=True)
+    other = f"{lake.db}.behind_elsewhere"  # another catalog's table over the same home
+    upsert(spark, t, _df(spark, [("a", 1, "p1"), ("b", 2, "p2")]), ["k"])
+    spark.sql(f"CREATE TABLE {other} (k STRING, v BIGINT, partition STRING) USING parquet PARTITIONED BY (partition) "
+              f"LOCATION {sql_str(publish.table_home(spark, t))}")
+    publish.reattach(spark, other)
+    assert _rows(spark, other, "k, v, partition") == _rows(spark, t, "k, v, partition")
+    upsert(spark, t, _df(spark, [("b", 20, "p3")]), ["k"])  # p2 goes
+    upsert(spark, t, _df(spark, [("c", 30, "p4")]), ["k"])
+    assert publish.finish_publish(spark, other)
+    assert _rows(spark, other, "k, v, partition") == [("a", 1, "p1"), ("b", 20, "p3"), ("c", 30, "p4")]
+    upsert(spark, other, _df(spark, [("c", 31, "p4")]), ["k"])  # and the first one sees this
+    publish.finish_publish(spark, t)
+    assert _rows(spark, t, "k, v, partition") == [("a", 1, "p1"), ("b", 20, "p3"), ("c", 31, "p4")]
+
+
+def test_publish_between_check_and_commit_is_not_lost(spark, lake, monkeypatch):
+    """The second writer publishes after the first one has checked the version
+    and before it commits: the first is refused, and nothing accepted is deleted."""
+    from medallion.operators import manifest as mf, publish
+
+    t = _kv_table(spark, lake, "race", partitioned=True)
+    upsert(spark, t, _df(spark, [("k0", 0, "p0")]), ["k"])
+    one = publish.stage_upsert(spark, t, _df(spark, [("k1", 1, "p1")]), ["k"])
+    two = publish.stage_upsert(spark, t, _df(spark, [("k2", 2, "p2")]), ["k"])
+    create, raced = mf.create_manifest, []
+
+    def late(*args):
+        if not raced:
+            raced.append(True)
+            publish.publish_upsert(spark, t, two)
+        return create(*args)
+
+    monkeypatch.setattr(mf, "create_manifest", late)
+    with pytest.raises(publish.ConflictError):
+        publish.publish_upsert(spark, t, one)
+    monkeypatch.undo()
+    publish.remove_unreferenced(spark, t, older_than_seconds=0)
+    spark.catalog.refreshTable(t)
+    assert _rows(spark, t, "k, v, partition") == [("k0", 0, "p0"), ("k2", 2, "p2")]
+    assert sorted(publish.partition_folders(spark, t)) == ["p0", "p2"]
+
+
+def test_replaced_partitions_of_racing_writers_both_stay(spark, lake, monkeypatch):
+    from medallion.operators import manifest as mf, publish
+
+    t = _kv_table(spark, lake, "race2", partitioned=True)
+    df = lambda rows: spark.createDataFrame(rows, "k STRING, v BIGINT")
+    create, raced = mf.create_manifest, []
+
+    def late(*args):
+        if not raced:
+            raced.append(True)
+            replace_partition(spark, t, df([("b", 2)]), "p2")
+        return create(*args)
+
+    monkeypatch.setattr(mf, "create_manifest", late)
+    replace_partition(spark, t, df([("a", 1)]), "p1")
+    monkeypatch.undo()
+    assert _rows(spark, t, "k, v, partition") == [("a", 1, "p1"), ("b", 2, "p2")]
+    assert sorted(publish.partition_folders(spark, t)) == ["p1", "p2"]
+
+
+def test_a_manifest_number_is_given_once(spark, lake):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from medallion.operators import manifest as mf
+
+    with ThreadPoolExecutor(8) as pool:
+        got = list(pool.map(lambda n: mf.create_text(spark, f"{lake.path}/once.json", f"writer {n}"), range(16)))
+    assert got.count(True) == 1 and mf.read_text(spark, f"{lake.path}/once.json") == f"writer {got.index(True)}"
+
+
 def test_second_writer_is_refused(spark, lake):
     from medallion.operators.publish import ConflictError, stage_upsert
 
