@@ -10,9 +10,14 @@ from medallion.operators.checks import (
     not_null,
     unique,
 )
+from medallion.operators.history import scd2_versions
+from medallion.operators.keys import repeated_keys, stage_unique
 from medallion.operators.latest import latest_partition
+from medallion.operators.layer import finish_layers, publish_layer
 from medallion.operators.lookup import lookup_current
 from medallion.operators.mart import sales_mart
+from medallion.operators.mart_state import update_mart
+from medallion.operators.profiles import PartProfiles
 from medallion.operators.publish import (
     ConflictError,
     DuplicateKeyError,
@@ -20,6 +25,8 @@ from medallion.operators.publish import (
     merge_rows,
     publish_partition,
     publish_upsert,
+    published,
+    read_version,
     remove_unreferenced,
     replace_partition,
     stage_partition,
@@ -46,5 +53,7 @@ __all__ = [
     "replace_partition", "sales_mart", "scd2_changes", "scd2_changes_three_joins",
     "scd2_closures", "scd2_net_new", "scd2_new_versions", "stage_partition",
     "stage_partitions", "stage_snapshot", "stage_upsert", "unique", "upsert",
+    "PartProfiles", "finish_layers", "publish_layer", "published", "read_version", "repeated_keys", "scd2_versions",
+    "stage_unique", "update_mart",
     "SizeProfile", "fits_broadcast", "profile_of", "small_side",
 ]

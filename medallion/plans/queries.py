@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
-from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,11 +26,15 @@ from medallion.operators.checks import (
     not_null,
     unique,
 )
+from medallion.operators.keys import repeated_keys, stage_unique
 from medallion.operators.latest import latest_partition
 from medallion.operators.lookup import lookup_current
 from medallion.operators.mart import sales_mart as sales_mart_op
-from medallion.operators.publish import materialize, replace_partition, upsert
-from medallion.operators.sizing import observe_profile, profile_of
+from medallion.operators.mart_state import update_mart
+from medallion.operators.history import scd2_versions
+from medallion.operators.profiles import PartProfiles
+from medallion.operators.publish import materialize, published, replace_partition, upsert
+from medallion.operators.sizing import observe_profile
 from medallion.operators.scd2 import (
     current_rows,
     scd2_changes,
@@ -58,6 +61,8 @@ RUN_PARTITIONS = ("2024-01-01-00-00-00", "2024-01-02-00-00-00", "2024-01-03-00-0
 P1, P2, P3 = RUN_PARTITIONS
 DIM_KEYS = ("customer_sur_id",)
 DIM_ONLY = ("dim_customer",)
+# what bounds the broadcasts of later joins: the current rows' columns they take
+DIM_PROFILE = PartProfiles(("id", "customer_sur_id", "state_id"), where="current")
 
 
 class Lake:
@@ -99,30 +104,24 @@ def _orders(spark: SparkSession, sf: str, batch: int) -> DataFrame:
     return orders_batch(spark, sf, BATCH_CUTS[batch])
 
 
-def _dim_version(spark: SparkSession, sf: str, lake: Lake, batches: Sequence[int], profile: bool = True):
+def _dim_version(spark: SparkSession, sf: str, lake: Lake, batches: Sequence[int]):
     """Dimension after upserting the SCD2 changes of each batch in turn
-    (batch i published as run partition i); the last published version,
-    with its size profile when ``profile``."""
+    (batch i published as run partition i); the last published version, with
+    its size profile."""
     table = lake.t("dim_customer")
     for i, b in enumerate(batches):
-        changes = _changes(spark, sf, b, spark.table(table))
-        staged = upsert(
-            spark, table, changes.withColumn("partition", F.lit(RUN_PARTITIONS[i])), DIM_KEYS,
-            sort_within=("current",),
-        )
-    return _profiled(staged) if profile else staged
+        staged = _upsert_batch(spark, sf, table, b, RUN_PARTITIONS[i])
+    return staged
 
 
-def _profiled(staged):
-    """The staged version with the size profile of its current rows (one pass
-    over the columns later joins take)."""
-    current = current_rows(staged.frame).select("id", "customer_sur_id", "state_id")
-    return staged._replace(profile=profile_of(current))
+def _upsert_batch(spark, sf, table, batch, partition):
+    changes = _changes(spark, sf, batch, spark.table(table)).withColumn("partition", F.lit(partition))
+    return upsert(spark, table, changes, DIM_KEYS, sort_within=("current",), profile=DIM_PROFILE)
 
 
 def _dim_after(spark: SparkSession, sf: str, lake: Lake, batches: Sequence[int]) -> DataFrame:
-    _dim_version(spark, sf, lake, batches, profile=False)
-    return spark.table(lake.t("dim_customer"))
+    _dim_version(spark, sf, lake, batches)
+    return published(spark, lake.t("dim_customer"))
 
 
 def _lookup_fits(staged) -> bool | None:
@@ -242,11 +241,7 @@ def _two_mart_partitions(spark, sf, tag) -> Lake:
     lake = Lake(spark, tag, ("dim_customer", "sales_mart"), view=True)
     table = lake.t("dim_customer")
     for i, b in enumerate((1, 2)):
-        changes = _changes(spark, sf, b, spark.table(table))
-        dim = _profiled(upsert(
-            spark, table, changes.withColumn("partition", F.lit(RUN_PARTITIONS[i])), DIM_KEYS,
-            sort_within=("current",),
-        ))
+        dim = _upsert_batch(spark, sf, table, b, RUN_PARTITIONS[i])
         fct = lookup_current(_orders(spark, sf, b), dim.frame, broadcast=_lookup_fits(dim))
         mart = sales_mart_op(fct, dim.frame, broadcast=_mart_fits(dim))
         replace_partition(spark, lake.t("sales_mart"), mart, RUN_PARTITIONS[i])
@@ -263,6 +258,34 @@ def q_latest_partition_view(spark, sf):
     return spark.table(f"{lake.bi}.sales_mart")
 
 
+def _totals(spark, sf, tag, runs) -> tuple[Lake, DataFrame]:
+    """The mart over all runs after (batch, partition) runs in turn."""
+    lake = Lake(spark, tag, ("dim_customer", "fct_orders", "mart_key_counts", "mart_totals"))
+    table = lake.t("dim_customer")
+    for batch, partition in runs:
+        before = publish.read_version(spark, table)
+        changes = _changes(spark, sf, batch, before).withColumn("partition", F.lit(partition))
+        changes = materialize(changes, scratch_path(spark, "batches"))
+        dim = upsert(spark, table, changes, DIM_KEYS, sort_within=("current",), profile=DIM_PROFILE)
+        fct = lookup_current(_orders(spark, sf, batch), dim.frame, broadcast=_lookup_fits(dim))
+        facts = replace_partition(spark, lake.t("fct_orders"), fct, partition)
+        cells = update_mart(
+            spark, lake.path, lake.t("mart_key_counts"), lake.t("mart_totals"), facts, changes, before,
+            publish.read_version(spark, table), partition)
+    return lake, cells.select("deliver_date", "state_id", "num_orders")
+
+
+def q_mart_totals(spark, sf):
+    """The mart over the facts of two runs, kept by differences."""
+    return _totals(spark, sf, "totals", [(1, P1), (2, P2)])[1]
+
+
+def q_mart_totals_rerun(spark, sf):
+    """The same after the second run was made again, and the first one replaced
+    by the facts of batch 2."""
+    return _totals(spark, sf, "totals_again", [(1, P1), (2, P2), (2, P2), (2, P1)])[1]
+
+
 def _two_order_partitions(spark, sf, tag) -> str:
     lake = Lake(spark, tag, ("orders",))
     table = lake.t("orders")
@@ -319,6 +342,35 @@ def q_check_unique(spark, sf):
     return check_datasets(frames, suites)
 
 
+def _unique_runs(spark, sf, tag) -> tuple[Lake, list]:
+    """Orders as of the cut, then all orders, then the orders of the cut's year
+    only in place of the first run, each staged with its key index and checked
+    against the runs before; (lake, the results with their folders)."""
+    lake = Lake(spark, tag, ("orders",))
+    table = lake.t("orders")
+    year = _orders(spark, sf, 2).where(F.year("datetime_order_placed") == 1996)
+    out = []
+    for frame, partition in ((_orders(spark, sf, 1), P1), (_orders(spark, sf, 2), P2), (year, P1)):
+        folder, _, result = stage_unique(spark, table, frame, partition, "order_id")
+        publish.publish_partition(spark, table, partition, folder)
+        out.append((partition, folder, result))
+    return lake, out
+
+
+def q_check_unique_across_runs(spark, sf):
+    """Result rows of the table-wide unique rule, one per run."""
+    _, runs = _unique_runs(spark, sf, "unique_runs")
+    rows = [(n + 1, p, r["element_count"], r["unexpected_count"], r["success"]) for n, (p, _, r) in enumerate(runs)]
+    return spark.createDataFrame(rows, "run int, partition string, element_count long, unexpected_count long, success boolean")
+
+
+def q_repeated_keys(spark, sf):
+    """The keys of the last run that other partitions hold too."""
+    lake, runs = _unique_runs(spark, sf, "repeated_keys")
+    partition, folder, _ = runs[-1]
+    return repeated_keys(spark, lake.t("orders"), "order_id", folder, partition)
+
+
 def q_check_results(spark, sf):
     lake = Lake(spark, "check_results", ("dim_customer", "dq_results"))
     dim = _dim_version(spark, sf, lake, [1, 2])
@@ -343,55 +395,28 @@ def q_run_log(spark, sf):
     return spark.table(lake.t("run_metadata")).drop("ts_inserted")
 
 
-class _Stopped(Exception):
-    """Stands for a driver that dies."""
-
-
-@contextmanager
-def _stopping_after(calls: int):
-    """Within, the catalog calls of a publish fail after ``calls`` of them."""
-    done = 0
-    kept = {name: getattr(publish, name) for name in ("attach_partition", "drop_partition")}
-
-    def counted(call):
-        def run(*args):
-            nonlocal done
-            if done >= calls:
-                raise _Stopped(f"stopped after {calls} calls")
-            done += 1
-            return call(*args)
-
-        return run
-
-    try:
-        for name, call in kept.items():
-            setattr(publish, name, counted(call))
-        yield
-    finally:
-        for name, call in kept.items():
-            setattr(publish, name, call)
-
-
-def _upsert_batch(spark, sf, table, batch, partition):
-    changes = _changes(spark, sf, batch, spark.table(table)).withColumn("partition", F.lit(partition))
-    return upsert(spark, table, changes, DIM_KEYS, sort_within=("current",))
-
-
 def q_upsert_after_crash(spark, sf):
-    """The dimension after batch 2 was stopped before its first catalog call,
-    after it, and before the last, and was run again each time."""
+    """The dimension after writers of batch 2 died between commit and the
+    catalog calls, twice, and the batch was run again."""
     lake = Lake(spark, "after_crash", DIM_ONLY)
     table = lake.t("dim_customer")
     _upsert_batch(spark, sf, table, 1, P1)
-    for calls in (0, 1):
-        with _stopping_after(calls):
-            try:
-                _upsert_batch(spark, sf, table, 2, P2)
-                raise RuntimeError("the publish was to stop")
-            except _Stopped:
-                pass
+    for _ in range(2):
+        changes = _changes(spark, sf, 2, published(spark, table)).withColumn("partition", F.lit(P2))
+        publish.commit(spark, publish.upsert_change(spark, table, publish.stage_upsert(spark, table, changes, DIM_KEYS)))
     _upsert_batch(spark, sf, table, 2, P2)
-    return spark.table(table)
+    return published(spark, table)
+
+
+def q_read_version(spark, sf):
+    """The dimension read while a publish of batch 2 is committed and none of
+    its catalog calls is made: the catalog shows the version before."""
+    lake = Lake(spark, "read_version", DIM_ONLY)
+    table = lake.t("dim_customer")
+    _upsert_batch(spark, sf, table, 1, P1)
+    changes = _changes(spark, sf, 2, published(spark, table)).withColumn("partition", F.lit(P2))
+    publish.commit(spark, publish.upsert_change(spark, table, publish.stage_upsert(spark, table, changes, DIM_KEYS)))
+    return publish.read_version(spark, table)
 
 
 def q_upsert_conflict(spark, sf):
@@ -409,10 +434,54 @@ def q_upsert_conflict(spark, sf):
     try:
         publish.publish_upsert(spark, table, staged[1])
     except publish.ConflictError:
-        return spark.table(table)
+        return published(spark, table)
     raise RuntimeError("the second writer was not refused")
 
 
+def _version_rows(spark, sf, batch):
+    """Every order of a batch as a version of its customer, valid from the day
+    of the order, with its status and priority as attributes."""
+    rows = _orders(spark, sf, batch).groupBy(
+        F.col("customer_id").alias("id"), F.col("datetime_order_placed").alias("datetime_updated")
+    ).agg(F.max("item_id").alias("first_name"), F.max("item_name").alias("last_name"), F.count(F.lit(1)).alias("_n"))
+    return with_surrogate_key(rows.select(
+        "id", "first_name", "last_name", F.col("_n").cast("string").alias("state_id"),
+        F.col("datetime_updated").alias("datetime_created"), "datetime_updated"))
+
+
+def _history(spark, sf, tag, rows, late_rows):
+    """The dimension after the given batches of versions."""
+    lake = Lake(spark, tag, DIM_ONLY)
+    table = lake.t("dim_customer")
+    for frame, partition in zip(rows, RUN_PARTITIONS):
+        observed, profile = observe_profile(frame)
+        source = materialize(observed, scratch_path(spark, "batches"))
+        changes = scd2_versions(source, spark.table(table), late_rows=late_rows, broadcast_ids=profile().fits(source, ["id"]))
+        upsert(spark, table, changes.withColumn("partition", F.lit(partition)), DIM_KEYS, sort_within=("current",))
+    return published(spark, table)
+
+
+def q_scd2_late_splice(spark, sf):
+    """Batch 2, then batch 1, whose older versions go where they belong."""
+    return _history(spark, sf, "late_splice", [_source(spark, sf, 2), _source(spark, sf, 1)], "splice")
+
+
+def q_scd2_late_drop(spark, sf):
+    """Batch 2, then batch 1, whose older versions are left out."""
+    return _history(spark, sf, "late_drop", [_source(spark, sf, 2), _source(spark, sf, 1)], "drop")
+
+
+def q_scd2_version_chain(spark, sf):
+    """All orders as customer versions in one batch, each closing the one before."""
+    return _history(spark, sf, "chain", [_version_rows(spark, sf, 2)], "drop")
+
+
+def q_scd2_chain_resumed(spark, sf):
+    """The recent half of the versions, then all of them: the older half is spliced in."""
+    recent = _version_rows(spark, sf, 2).where(F.col("datetime_updated") >= F.lit(BATCH_CUTS[1]).cast("timestamp_ntz"))
+    return _history(spark, sf, "chain2", [recent, _version_rows(spark, sf, 2)], "splice")
+
+
 def _counts(spark, lake, names=("customer", "orders", "dim_customer", "fct_orders", "sales_mart")) -> DataFrame:
     """(table_name, partition, num_rows) of the named tables."""
     frames = [
@@ -519,17 +588,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fct_orders": q_fct_orders,
     "fct_orders_late": q_fct_orders_late,
     "sales_mart": q_sales_mart,
+    "mart_totals": q_mart_totals,
+    "mart_totals_rerun": q_mart_totals_rerun,
     "latest_partition": q_latest_partition,
     "latest_partition_view": q_latest_partition_view,
     "rows_per_partition": q_rows_per_partition,
     "distinct_partitions": q_distinct_partitions,
     "check_not_null": q_check_not_null,
     "check_unique": q_check_unique,
+    "check_unique_across_runs": q_check_unique_across_runs,
+    "repeated_keys": q_repeated_keys,
     "check_results": q_check_results,
     "run_log": q_run_log,
     "log_tail": q_log_tail,
     "upsert_after_crash": q_upsert_after_crash,
     "upsert_conflict": q_upsert_conflict,
+    "read_version": q_read_version,
+    "scd2_late_splice": q_scd2_late_splice,
+    "scd2_late_drop": q_scd2_late_drop,
+    "scd2_version_chain": q_scd2_version_chain,
+    "scd2_chain_resumed": q_scd2_chain_resumed,
     "ddl_rerun": q_ddl_rerun,
     "ddl_drop_recreate": q_ddl_drop_recreate,
     "publish_datasets": q_publish_datasets,
@@ -641,6 +719,35 @@ def _with(ctes: Sequence[str], body: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
 
+_VERSION_COLUMNS = "id, customer_sur_id, first_name, last_name, state_id, datetime_created"
+
+
+def _version_rows_sql(orders: str) -> str:
+    return (
+        "SELECT *, md5(CAST(id AS VARCHAR) || CAST(datetime_updated AS VARCHAR)) AS customer_sur_id FROM ("
+        "SELECT customer_id AS id, max(item_id) AS first_name, max(item_name) AS last_name, "
+        "CAST(count(*) AS VARCHAR) AS state_id, datetime_order_placed AS datetime_created, "
+        f"datetime_order_placed AS datetime_updated FROM {orders} GROUP BY customer_id, datetime_order_placed)"
+    )
+
+
+def _history_sql(versions: str) -> str:
+    """The dimension over (``_VERSION_COLUMNS``, since): each version valid until the next."""
+    return (
+        f"SELECT {_VERSION_COLUMNS}, coalesce(lead(since) OVER w, since) AS datetime_updated, lead(since) OVER w IS NULL AS current, "
+        f"since AS valid_from, coalesce(lead(since) OVER w, TIMESTAMP '{OPEN_END}') AS valid_to "
+        f"FROM {versions} WINDOW w AS (PARTITION BY id ORDER BY since)"
+    )
+
+
+def _stamped_sql(before: str, after: str) -> str:
+    """Rows of ``after`` with the run that last wrote them: the first if ``before`` has them."""
+    return (
+        f"SELECT a.*, CASE WHEN b.id IS NULL THEN '{P2}' ELSE '{P1}' END AS partition FROM {after} a "
+        f"LEFT JOIN {before} b ON a.id = b.id AND a.customer_sur_id = b.customer_sur_id AND a.valid_to = b.valid_to"
+    )
+
+
 def _fct_sql(orders: str, dim: str) -> str:
     return (
         f"SELECT o.*, d.customer_sur_id FROM {orders} o "
@@ -730,6 +837,12 @@ def _oracle() -> dict[str, str]:
     o["fct_orders"] = _with(d12, f"SELECT f.*, '{P2}' AS partition FROM ({_fct_sql('ob2', 'd12')}) f")
     o["fct_orders_late"] = _with(d21, _fct_sql("ob2", "d21"))
     o["sales_mart"] = _with(d12 + [f"f AS ({_fct_sql('ob2', 'd12')})"], _mart_sql("f", "d12"))
+    o["mart_totals"] = _with(
+        src12 + _dim_ctes([1], "d1") + _dim_ctes([1, 2], "d12")
+        + [f"f AS ({_fct_sql('ob1', 'd1')} UNION ALL {_fct_sql('ob2', 'd12')})"], _mart_sql("f", "d12"))
+    o["mart_totals_rerun"] = _with(
+        src12 + _dim_ctes([1, 2, 2, 2], "d", (P1, P2, P2, P1))
+        + [f"f AS ({_fct_sql('ob2', 'd')} UNION ALL {_fct_sql('ob2', 'd')})"], _mart_sql("f", "d"))
     two = src12 + _dim_ctes([1], "d1") + _dim_ctes([1, 2], "d12") + [
         f"f1 AS ({_fct_sql('ob1', 'd1')})",
         f"f2 AS ({_fct_sql('ob2', 'd12')})",
@@ -770,6 +883,18 @@ def _oracle() -> dict[str, str]:
             _check_unique_sql("fct_orders", "f", "order_id"),
         ]),
     )
+    year = "SELECT * FROM ob2 WHERE year(datetime_order_placed) = 1996"
+    runs = [(1, P1, "ob1", "SELECT NULL AS order_id WHERE FALSE"), (2, P2, "ob2", "SELECT order_id FROM ob1"), (3, P1, f"({year})", "SELECT order_id FROM ob2")]
+    o["check_unique_across_runs"] = _with(src12, _union([
+        f"SELECT {n} AS run, '{p}' AS partition, count(*) AS element_count, "
+        "count(*) FILTER (WHERE c > 1 OR again) AS unexpected_count, count(*) FILTER (WHERE c > 1 OR again) = 0 AS success "
+        f"FROM (SELECT order_id, count(*) OVER (PARTITION BY order_id) AS c, order_id IN ({others}) AS again FROM {now}) r"
+        for n, p, now, others in runs
+    ]))
+    o["repeated_keys"] = _with(
+        src12, f"SELECT a.order_id AS key, count(DISTINCT a.o) AS n, '{P2}' AS partition, count(DISTINCT b.o) AS n_there "
+        f"FROM (SELECT order_id, row_number() OVER () AS o FROM ({year})) a JOIN (SELECT order_id, row_number() OVER () AS o FROM ob2) b "
+        "ON a.order_id = b.order_id GROUP BY a.order_id")
     o["check_results"] = _with(
         d12 + [f"f AS ({_fct_sql('ob2', 'd12')})", f"m AS ({_mart_sql('f', 'd12')})"],
         "SELECT 'check_results' AS run_id, * FROM (" + _union([
@@ -785,7 +910,22 @@ def _oracle() -> dict[str, str]:
     o["run_log"] = _with(one, "SELECT run_id, pipeline_id, run_params FROM log")
     o["log_tail"] = _with(one, "SELECT run_id, pipeline_id, run_params FROM log ORDER BY n DESC LIMIT 5")
     o["upsert_after_crash"] = _with(src12 + _dim_ctes([1, 2, 2, 2], "dx", (P1, P2, P2, P2)), "SELECT * FROM dx")
-    o["upsert_conflict"] = o["upsert_dim"]
+    o["upsert_conflict"] = o["read_version"] = o["upsert_dim"]
+    of = f"SELECT {_VERSION_COLUMNS}, datetime_updated AS since FROM"
+    o["scd2_late_splice"] = _with(
+        src12 + [f"v2 AS ({of} s2)", f"v12 AS ({of} s2 UNION {of} s1 WHERE NOT EXISTS (SELECT 1 FROM s2 "
+                 "WHERE s2.customer_sur_id = s1.customer_sur_id))",
+                 f"h1 AS ({_history_sql('v2')})", f"h2 AS ({_history_sql('v12')})"],
+        _stamped_sql("h1", "h2"),
+    )
+    o["scd2_late_drop"] = _with(src12 + [f"v2 AS ({of} s2)"], f"SELECT *, '{P1}' AS partition FROM ({_history_sql('v2')})")
+    chain = src12 + [f"r AS ({_version_rows_sql('ob2')})", f"v AS ({of} r)"]
+    o["scd2_version_chain"] = _with(chain, f"SELECT *, '{P1}' AS partition FROM ({_history_sql('v')})")
+    o["scd2_chain_resumed"] = _with(
+        chain + [f"late AS (SELECT * FROM v WHERE since >= TIMESTAMP '{BATCH_CUTS[1]}')",
+                 f"h1 AS ({_history_sql('late')})", f"h2 AS ({_history_sql('v')})"],
+        _stamped_sql("h1", "h2"),
+    )
     o["two_run_view"] = o["latest_partition_view"]
     o["two_run_counts"] = _with(
         two,

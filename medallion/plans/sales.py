@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from medallion.functions.columns import with_surrogate_key
 from medallion.model import DEFAULT_DATABASE, Dataset, Publish
 from medallion.operators.checks import SALES_SUITES
+from medallion.operators.history import scd2_versions
 from medallion.operators.lookup import lookup_current
 from medallion.operators.mart import sales_mart
 from medallion.operators.runlog import logged, logged_layer
@@ -34,9 +35,17 @@ class SalesMartETL(LayeredETL):
         database: str = DEFAULT_DATABASE,
         source: Source | None = None,
         metadata_database: str | None = None,
+        late_rows: str = "keep",
     ):
+        """``late_rows``: customers older than the version the dimension has are
+        kept as a second current row (as the original job does), or ``"drop"``ped,
+        or ``"splice"``d into the history; the latter two also take several
+        versions of a customer in one batch."""
         super().__init__(spark, storage_path, database, SALES_SUITES, metadata_database)
+        if late_rows not in ("keep", "drop", "splice"):
+            raise ValueError(f"unknown late_rows {late_rows!r}")
         self.source = source or generate_bronze()
+        self.late_rows = late_rows
 
     @logged_layer
     def bronze(self, ctx: RunContext) -> dict[str, Dataset]:
@@ -51,6 +60,8 @@ class SalesMartETL(LayeredETL):
         """This run's dimension rows: new versions and closed old ones."""
         dim = self.spark.table(self.table("dim_customer"))
         source = with_surrogate_key(customer.frame)
+        if self.late_rows != "keep":
+            return scd2_versions(source, dim, late_rows=self.late_rows, broadcast_ids=_fits(customer, ["id"]))
         return scd2_changes(source, dim, broadcast_ids=_fits(customer, ["id"]))
 
     @logged
