@@ -7,10 +7,8 @@ line). At the leaf a line of at least ``SPLIT`` tokens belongs to two
 templates: one that keeps the first half of its other tokens and generalises
 the second, and one the other way round; a shorter line keeps all tokens. A
 template that occurs in several documents is recurring: its lines are dropped
-from all of them but the first, the smallest doc_id. ``drop_recurring`` makes
-templates of lines from one token on, unless told a larger ``shortest``. The
-query keeps to its SQL, in which lines of fewer than ``SHORTEST`` tokens are no
-templates: there, short lines stay, however many documents share them.
+from all of them but the first, the smallest doc_id. Lines of one token are
+parsed like any other; lines without tokens make no template and stay.
 
 Lines travel as 64-bit template hashes, never as text. Template counts are
 combined before the shuffle, so a line that a third of all documents share
@@ -33,7 +31,6 @@ from medallion.operators.sizing import observe_profile, small_side
 
 LEADING = 3
 SPLIT = 12
-SHORTEST = 5
 
 # What separates tokens, and tokens that hold a digit.
 TOKEN = r"[^ \t\n\x0B\f\r]+"
@@ -92,4 +89,4 @@ def drop_recurring(docs: DataFrame, shortest: int = 1) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drop_recurring(table(spark, sf_dir, "documents"), SHORTEST)
+    return drop_recurring(table(spark, sf_dir, "documents"))

@@ -56,8 +56,9 @@ FROM embeddings v LEFT JOIN found f USING (vec_id) LEFT JOIN counted c USING (ve
 URL_FILTER = r"""
 WITH captures AS (
   SELECT page_id, 1700000000 + (page_id * 977) % (90 * 86400) AS t,
-         nullif(regexp_replace(regexp_extract(lower(url), '^https?://([^/?#:@]+)', 1), '\.+$', ''), '') AS host,
-         regexp_extract(url, '^[a-zA-Z]+://[^/?#]+/([^/?#]*)', 1) AS segment
+         nullif(regexp_replace(regexp_extract(lower(url), '^https?://(?:[^/?#]*@)?([^/?#:@]+)', 1), '\.+$', ''), '') AS host,
+         regexp_extract(url, '^[a-zA-Z]+://[^/?#]+/([^/?#]*)', 1) AS segment,
+         string_split(regexp_extract(url, '^[a-zA-Z]+://[^/?#]+/([^?#]*)', 1), '/') AS path
   FROM pages
 ), hosts AS (
   SELECT DISTINCT host, segment FROM captures WHERE host IS NOT NULL
@@ -72,11 +73,12 @@ WITH captures AS (
          (('0x' || substr(md5(pattern || list || 'for'), 1, 7))::BIGINT % 40 + 1) * 86400 AS stay
   FROM candidates WHERE ('0x' || substr(md5(pattern || list), 1, 7))::BIGINT % one_in = 0
 ), domains AS (
-  SELECT page_id, t, segment, unnest([array_to_string(l[k:], '.') FOR k IN range(1, greatest(2, len(l)))]) AS d
+  SELECT page_id, t, path, unnest([array_to_string(l[k:], '.') FOR k IN range(1, greatest(2, len(l)))]) AS d
   FROM (SELECT *, string_split(host, '.') AS l FROM captures WHERE host IS NOT NULL)
 ), asked AS (
   SELECT page_id, t, d AS pattern FROM domains
-  UNION ALL SELECT page_id, t, d || '/' || segment FROM domains WHERE segment <> ''
+  UNION ALL SELECT page_id, t, d || '/' || array_to_string(path[1:k], '/')
+  FROM (SELECT page_id, t, d, path, unnest(range(1, len(path) + 1)) AS k FROM domains) WHERE path[k] <> ''
 ), hits AS (
   SELECT a.page_id, c.list, c.kind, length(c.pattern) AS n
   FROM asked a JOIN chosen c USING (pattern)
@@ -100,11 +102,11 @@ WITH lines AS (
 ), masked AS (
   SELECT doc_id, line_no, regexp_extract_all(line, '[^ \t\n\x0B\f\r]+') AS raw,
          regexp_extract_all(regexp_replace(line, '[^ \t\n\x0B\f\r]*[0-9][^ \t\n\x0B\f\r]*', '<*>', 'g'), '[^ \t\n\x0B\f\r]+') AS m
-  FROM lines WHERE length(line) >= 9
+  FROM lines
 ), parsed AS (
   SELECT doc_id, line_no, len(m) AS n, (len(m) - 3) // 2 AS h,
          CASE WHEN 2 * len([x FOR x IN m IF x <> '<*>']) >= len(m) THEN m ELSE raw END AS t
-  FROM masked WHERE len(m) >= 5
+  FROM masked WHERE len(m) >= 1
 ), templates AS (
   SELECT doc_id, line_no, 0 AS kind, n, t AS k FROM parsed WHERE n < 12
   UNION ALL SELECT doc_id, line_no, 1, n, t[1:3 + h] FROM parsed WHERE n >= 12

@@ -386,11 +386,16 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are the first of their component, one each;
-    rows without doc_id stay."""
-    kept = jaccard_components(docs.where("doc_id IS NOT NULL")).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    """One row of ``docs`` of each component: the one of the smallest doc_id
+    (rows without come last). A row is its doc_id and text, so texts that share a
+    doc_id are told apart, rows without doc_id take part, and repeated rows are
+    one."""
+    row = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").isNull(), "text")
+    named = written(docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("doc_id")), "rows").distinct()
+    joined = jaccard_components(docs.select(row.alias("doc_id"), "text")).select(F.col("doc_id").alias("row"), "component_id").distinct()
+    first = F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
+    kept = joined.join(named, "row").groupBy("component_id").agg(first.alias("_kept_row"))
+    return docs.withColumn("_kept_row", row).join(kept.select("_kept_row"), "_kept_row", "left_semi").dropDuplicates(["_kept_row"]).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

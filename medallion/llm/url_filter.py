@@ -1,12 +1,13 @@
 """URL filters by a temporal list join.
 
-List entries are dated: from ``at`` on, a pattern (a host, or a host and a path
-prefix segment) is listed (``add``) or no longer listed (``drop``) by a list.
+List entries are dated: from ``at`` on, a pattern (a host, or a host and the
+first segments of a path) is listed (``add``) or no longer listed (``drop``) by a
+list. Times are compared in microseconds.
 The entries of a list and pattern become validity intervals [from, to): each
 reaches to the next entry of the same list and pattern. A capture (url,
 fetched) is looked up under its host, every parent domain, and each of those
-with its first path segment, and the as-of join keeps the intervals that hold
-``fetched``. A capture is blocked when a ``block`` list holds it at that time
+with its first path segments, as many as any entry has, and the as-of join keeps
+the intervals that hold ``fetched``. A capture is blocked when a ``block`` list holds it at that time
 and no ``allow`` list does by a pattern that is at least as long.
 
 Keys may be hot (a third of the captures on one host; many dated entries of
@@ -35,9 +36,9 @@ BUCKETS = 64
 
 
 def host_of(url: Column) -> Column:
-    """Lower-case host of an http(s) URL, without port and trailing dot; null
-    if there is none."""
-    host = F.regexp_extract(F.lower(url), r"^https?://([^/?#:@]+)", 1)
+    """Lower-case host of an http(s) URL, without user name, port and trailing
+    dot; null if there is none."""
+    host = F.regexp_extract(F.lower(url), r"^https?://(?:[^/?#]*@)?([^/?#:@]+)", 1)
     return F.nullif(F.regexp_replace(host, r"\.+$", ""), F.lit(""))
 
 
@@ -46,24 +47,34 @@ def segment_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[a-zA-Z]+://[^/?#]+/([^/?#]*)", 1)
 
 
-def patterns(url: Column) -> Column:
+def path_prefixes(url: Column, depth: int) -> Column:
+    """The first 1 .. ``depth`` path segments, as written; those that would end
+    in an empty segment ('/a/' after 'a') are left out."""
+    path = F.split(F.regexp_extract(url, r"^[a-zA-Z]+://[^/?#]+/([^?#]*)", 1), "/")
+    ends = F.sequence(F.lit(1), F.least(F.size(path), F.lit(depth)))
+    return F.transform(F.filter(ends, lambda k: F.get(path, k - 1) != ""), lambda k: F.array_join(F.slice(path, 1, k), "/"))
+
+
+def patterns(url: Column, depth: int = 1) -> Column:
     """What a capture is looked up under: host, parent domains of at least two
-    labels, and each with the first path segment."""
+    labels, and each with the first path segments, up to ``depth`` of them."""
     labels = F.split(host_of(url), r"\.")
     n = F.size(labels)
     domains = F.transform(
         F.sequence(F.lit(1), F.greatest(F.lit(1), n - 1)),
         lambda k: F.array_join(F.slice(labels, k, n), "."),
     )
-    segment = segment_of(url)
-    paths = F.transform(domains, lambda d: F.concat(d, F.lit("/"), segment))
-    found = F.when(segment == "", domains).otherwise(F.concat(domains, paths))
+    found = domains
+    if depth > 0:
+        prefixes = path_prefixes(url, depth)
+        found = F.concat(domains, F.flatten(F.transform(domains, lambda d: F.transform(prefixes, lambda p: F.concat(d, F.lit("/"), p)))))
     return F.when(host_of(url).isNotNull(), found)
 
 
 def _bucket(at: Column, lo: int, width: int) -> Column:
-    """Bucket of a time given in seconds: 0 before ``lo``."""
-    return F.greatest(F.lit(0), F.floor((at - F.lit(lo)) / F.lit(width))).cast("int")
+    """Bucket of a time given in microseconds: 0 before ``lo``, and one bucket
+    for all that lies far behind the last capture."""
+    return F.greatest(F.lit(0), F.least(F.lit(1 << 30), F.floor((at - F.lit(lo)) / F.lit(width)))).cast("int")
 
 
 def intervals(entries: DataFrame, lo: int, width: int, last: int) -> DataFrame:
@@ -73,7 +84,7 @@ def intervals(entries: DataFrame, lo: int, width: int, last: int) -> DataFrame:
     dated = (
         entries.where(" AND ".join(f"{c} IS NOT NULL" for c in (*key, "action", "at")))
         .where(F.col("action").isin("add", "drop"))
-        .groupBy(*key, F.col("at").cast("timestamp").cast("long").alias("at"))
+        .groupBy(*key, F.unix_micros(F.col("at").cast("timestamp")).alias("at"))
         .agg(F.max(F.struct((F.col("action") == "drop").alias("gone"))).alias("s"))
         .select(*key, "at", (~F.col("s.gone")).alias("on"))
         .withColumn("bucket", _bucket(F.col("at"), lo, width))
@@ -86,7 +97,7 @@ def intervals(entries: DataFrame, lo: int, width: int, last: int) -> DataFrame:
         reach.where("on").withColumn("until", F.least(F.coalesce("next", F.lit(last)), F.lit(last)))
         .where("until > bucket")
         .select(*key, F.explode(F.sequence(F.col("bucket") + 1, F.col("until"))).alias("bucket"))
-        .select(*key, "bucket", (F.lit(lo) + F.col("bucket") * F.lit(width)).cast("long").alias("at"), F.lit(True).alias("on"), F.lit(0).alias("order"))
+        .select(*key, "bucket", (F.lit(lo) + F.col("bucket").cast("long") * F.lit(width)).cast("long").alias("at"), F.lit(True).alias("on"), F.lit(0).alias("order"))
     )
     events = carried.unionByName(dated.select(*key, "bucket", "at", "on", F.lit(1).alias("order")))
     within = Window.partitionBy(*key, "bucket").orderBy("at", "order")
@@ -102,12 +113,13 @@ def filter_captures(captures: DataFrame, entries: DataFrame, buckets: int = BUCK
     """
     rows = captures.select("page_id", "url", F.col("fetched").cast("timestamp").alias("fetched"))
     rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "captures")
-    span = rows.agg(F.min(F.col("fetched").cast("long")), F.max(F.col("fetched").cast("long"))).first()
+    micros = F.unix_micros("fetched")
+    span = rows.agg(F.min(micros), F.max(micros)).first()
     lo, hi = (span[0], span[1]) if span[0] is not None else (0, 0)
     width = max(1, -(-(hi - lo + 1) // buckets))
-    seconds = F.col("fetched").cast("long")
+    depth = entries.agg(F.max(F.size(F.split("pattern", "/")) - 1)).first()[0] or 0
     asked = rows.where("fetched IS NOT NULL").select(
-        "row", seconds.alias("at"), _bucket(seconds, lo, width).alias("bucket"), F.explode(patterns(F.col("url"))).alias("pattern"))
+        "row", micros.alias("at"), _bucket(micros, lo, width).alias("bucket"), F.explode(patterns(F.col("url"), depth)).alias("pattern"))
     held = intervals(entries, lo, width, (hi - lo) // width)
     hits = (
         asked.join(held, ["pattern", "bucket"])

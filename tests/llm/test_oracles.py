@@ -50,7 +50,7 @@ def test_short_recurring_lines_are_dropped(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: (r["text"], r["n_dropped"]) for r in line_templates.drop_recurring(docs).collect()}
     assert got == {1: (rows[0][1], 0), 2: ("second\n\n13", 1), 3: ("Menu", 2), 4: ("", 1)}
-    assert all(r["n_dropped"] == 0 for r in line_templates.drop_recurring(docs, line_templates.SHORTEST).collect())
+    assert all(r["n_dropped"] == 0 for r in line_templates.drop_recurring(docs, 5).collect())
 
 
 def test_url_filter_over_awkward_rows(spark):
@@ -78,6 +78,30 @@ def test_url_filter_over_awkward_rows(spark):
     assert url_filter.filter_captures(captures.limit(0), entries).count() == 0
 
 
+def test_url_filter_reads_real_urls(spark):
+    """User names, deeper paths, times within one second, clashing columns, a
+    very long URL."""
+    from datetime import datetime as D
+
+    from medallion.llm import url_filter
+
+    at = D(2024, 1, 5, 12, 0, 0)
+    long_url = "http://ok.example/" + "x/" * 20_000
+    captures = spark.createDataFrame([
+        (1, "http://user@evil.example/", at, "x", 1), (2, "http://user:p%40ss@evil.example:80/a", at, "x", 1), (3, "http://a@b@evil.example/", at, "x", 1),
+        (4, "http://ok.example/a/b/c", at, "x", 1), (5, "http://ok.example/a/bc", at, "x", 1), (6, "http://ok.example/a/b", at, "x", 1),
+        (7, "http://ok.example/a/b/", at, "x", 1), (8, "http://ok.example/x?u=http://me@evil.example/", at, "x", 1), (9, long_url, at, "x", 1),
+        (10, "http://soon.example/", at, "x", 1), (11, "http://soon.example/", D(2024, 1, 5, 12, 0, 0, 500_000), "x", 1),
+    ], "page_id long, url string, fetched timestamp, pattern string, bucket int")
+    entries = spark.createDataFrame([
+        ("l", "block", "evil.example", "add", D(2024, 1, 1)), ("l", "block", "ok.example/a/b", "add", D(2024, 1, 1)),
+        ("l", "block", "soon.example", "drop", D(2024, 1, 5, 12, 0, 0, 100_000)), ("l", "block", "soon.example", "add", D(2024, 1, 5, 12, 0, 0, 400_000)),
+    ], "list string, kind string, pattern string, action string, at timestamp")
+    for buckets in (1, 64):
+        got = {r["page_id"] for r in url_filter.filter_captures(captures, entries, buckets).where("blocked").collect()}
+        assert got == {1, 2, 3, 4, 6, 7, 11}
+
+
 def test_embeddings_over_awkward_rows(spark, tmp_path, monkeypatch):
     import numpy as np
 
