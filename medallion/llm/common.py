@@ -48,6 +48,23 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError("connected components did not settle")
 
 
+def merged_components(known: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of the links that gave ``known`` (node, component) together
+    with more ``links`` (a, b): only what joins different known components is
+    contracted again."""
+    known = written(known, "known")
+    ends = links.select("a", "b")
+    for end in ("a", "b"):
+        side = known.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
+        ends = ends.join(side, F.col(end) == F.col("_n"), "left").withColumn(end, F.coalesce("_c", end)).drop("_n", "_c")
+    again = written(components(ends), "again")
+    again = again.select(F.col("node").alias("_n"), F.col("component").alias("_root"))
+    moved = known.join(again, F.col("component") == F.col("_n"), "left")
+    out = moved.select("node", F.coalesce("_root", "component").alias("component"))
+    new = again.join(known, F.col("_n") == F.col("node"), "left_anti")  # nodes that had no link before
+    return out.unionByName(new.select(F.col("_n").alias("node"), F.col("_root").alias("component")))
+
+
 def _state(links: DataFrame) -> tuple:
     """Count and order-free hash of a link table: two numbers."""
     return tuple(

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm.common import components, table, written
+from medallion.llm.common import components, merged_components, table, written
 
 WORDS = 5
 KEYS = 24
@@ -330,9 +330,9 @@ def _block_rows(nodes: DataFrame) -> DataFrame:
     )
 
 
-def link_forest(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(sketches, links): one sketch row per row of ``docs``, and a spanning
-    forest of the links between nodes (a, b)."""
+def link_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sketches, joined): one sketch row per row of ``docs``, and the component
+    (its smallest node) of every node that has a link."""
     handled = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("handle"),
@@ -360,7 +360,7 @@ def link_forest(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     own = first.join(sets, "node").withColumn("component", F.col("node"))
     links = written(_in_blocks(own).mapInArrow(_verify, verified), "links_first")
 
-    joined = components(links)
+    joined = written(components(links), "joined")
     known = marked.join(joined, "node", "left").select("block", "key", "side", "node", F.coalesce("component", "node").alias("component"))
     open_blocks = known.groupBy("block").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
     unsettled = known.join(open_blocks.select("block"), "block", "left_semi").join(
@@ -368,13 +368,12 @@ def link_forest(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     unsettled = written(_in_blocks(unsettled).mapInArrow(_mark, mark), "unsettled")
     rest = unsettled.select("block", "node").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     more = written(_in_blocks(rest.join(sets, "node")).mapInArrow(_verify, verified), "links_rest")
-    return sketches, links.union(more)
+    return sketches, merged_components(joined, more)
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``."""
-    sketches, links = link_forest(docs)
-    joined = components(links)
+    sketches, joined = link_components(docs)
     member = sketches.select("doc_id", "n_shingles", "node").join(joined, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "node").alias("component")
     )

@@ -131,3 +131,15 @@ def test_keep_one_loses_no_text(spark):
     got = sj.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(
         [(1, p), (2, q), (3, None), (4, ""), (None, rows[8][1])], key=repr)
+
+
+def test_components_of_links_in_two_parts(spark):
+    from medallion.llm.common import components, merged_components
+
+    rng = random.Random(6)
+    links = [(rng.randrange(120), rng.randrange(120)) for _ in range(90)] + [(5, 5)]
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    for cut in (0, 40, 91):
+        got = merged_components(components(frame(links[:cut])), frame(links[cut:]))
+        want = components(frame(links))
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
