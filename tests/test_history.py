@@ -104,7 +104,7 @@ def test_history_left_by_kept_late_rows_is_mended(spark, lake):
     assert rows_of(published(spark, table)) == plain([[(1, 4, "a"), (1, 10, "b"), (1, 12, "c")]], "splice")
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.lists(st.tuples(st.integers(1, 4), st.integers(0, 12), st.sampled_from("abc")), min_size=1, max_size=12), min_size=1, max_size=3),
        st.sampled_from(["splice", "drop"]))
 def test_random_batches(spark, batches, late_rows):
