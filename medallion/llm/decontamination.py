@@ -144,20 +144,30 @@ def walk(ids: np.ndarray, start: np.ndarray, length: int, repetition: int, going
     ``going_on(code, index, pointer)`` gives, after each sampled step, the
     places of the walks to go on with."""
     seed = _mix(np.uint64([length]), np.uint64(1000 + repetition))
+    turns = _mix(seed, ids)  # bit j of a word: whether step j goes on from it
     index, at, code = np.arange(len(start)), start, np.repeat(seed, len(start))
     taken = steps(length, repetition)
     for j in range(taken[-1] + 1):
-        words = ids[at]
         if j in taken:
-            code = _mix(code, words)
+            code = _mix(code, ids[at])
             keep = going_on(code, index, at)
-            index, at, code, words = index[keep], at[keep], code[keep], words[keep]
+            index, at, code = index[keep], at[keep], code[keep]
             if not len(index):
                 break
-        at = at + ((_mix(seed, words) >> np.uint64(j)) & np.uint64(1)).astype(at.dtype)
+        at = at + ((turns[at] >> np.uint64(j)) & np.uint64(1)).view(np.int64)
     return index, code
 
 
+def around(ids: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words that walks from ``start`` (ascending) can reach, without those
+    between, and the places of the starts among them."""
+    first = np.flatnonzero(np.diff(start, prepend=-1 - 2 * length) > 2 * length)
+    last = np.append(first[1:], len(start)) - 1
+    size = start[last] + 2 * length + 1 - start[first]
+    moved = start[first] - (np.cumsum(size) - size)
+    return ids[np.arange(size.sum()) + np.repeat(moved, size)], start - np.repeat(moved, last - first + 1)
+
+
 def windows_of(n: int) -> list[tuple[int, int]]:
     """(from, to) of the windows of an item of n words."""
     parts = -(-n // WINDOW)
@@ -230,18 +240,21 @@ def passages_in(texts: list[str | None], bitmap: Bitmap, reach: dict[int, int],
         low, high = np.maximum(everywhere - edits[-1], 0), np.minimum(everywhere + sizes[-1] + edits[-1], len(ids))
         start = np.flatnonzero(
             (pairs_before[high] - pairs_before[low] >= least_pairs) & (words_before[high] - words_before[low] >= least_words))
-        for repetition in range(repetitions(length) if len(start) else 0):
-            index, code = walk(ids, start, length, repetition, lambda code, index, at: bitmap.places(code))
+        if not len(start):
+            continue
+        near, places = around(ids, start, length)
+        for repetition in range(repetitions(length)):
+            index, code = walk(near, places, length, repetition, lambda code, index, at: bitmap.places(code))
             if len(index):
                 found.append((start[index], code, np.full(len(index), int(longest * (1 + MAX_EDITS)) + 2)))
     if not found:
         return
-    at, code, around = (np.concatenate(c) for c in zip(*found))
+    at, code, margin = (np.concatenate(c) for c in zip(*found))
     order = np.argsort(at, kind="stable")
-    at, code, around = at[order], code[order], around[order]
+    at, code, margin = at[order], code[order], margin[order]
     which = np.searchsorted(ends, at, side="right")
-    low = np.maximum(at - around, np.where(which > 0, ends[which - 1], 0))
-    high = np.minimum(at + around, ends[which] - 1)
+    low = np.maximum(at - margin, np.where(which > 0, ends[which - 1], 0))
+    high = np.minimum(at + margin, ends[which] - 1)
     lo = 0
     while lo < len(at):  # hits of one text whose surroundings overlap are one passage
         hi, a, b = lo + 1, low[lo], high[lo]
