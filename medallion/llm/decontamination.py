@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.llm.common import table, written
-from medallion.operators.sizing import observe_profile, small_side
+from medallion.operators.sizing import ONE_SIDE_LIMIT, observe_profile, small_side
 
 MAX_EDITS = 0.2
 SAMPLED = 4
@@ -401,7 +401,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     leaked = _leaks(docs, benchmark).select(F.col("doc_id").alias("_leaked_id"), F.col("text_key").alias("_leaked_key")).distinct()
     observed, profile = observe_profile(leaked)
     leaked = written(observed, "leaked")
-    side = small_side(leaked, profile().fits(leaked, leaked.columns))
+    side = small_side(leaked, profile().fits(leaked, leaked.columns, ONE_SIDE_LIMIT))
     same = docs["doc_id"].cast("long").eqNullSafe(side["_leaked_id"]) & (F.xxhash64(docs["text"]) == side["_leaked_key"])
     return docs.join(side, same, "left_anti")
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.llm.common import table, written
-from medallion.operators.sizing import observe_profile, small_side
+from medallion.operators.sizing import ONE_SIDE_LIMIT, observe_profile, small_side
 
 LEADING = 3
 SPLIT = 12
@@ -67,7 +67,7 @@ def dropped_lines(docs: DataFrame, shortest: int = 1) -> DataFrame:
     first = rows.groupBy("template").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     observed, profile = observe_profile(first.select(F.col("template").alias("recurring"), "first"))
     first = written(observed, "recurring")
-    first = small_side(first, profile().fits(first, first.columns))
+    first = small_side(first, profile().fits(first, first.columns, ONE_SIDE_LIMIT))
     return (
         rows.join(first, F.col("template") == F.col("recurring")).where("doc_id > first")
         .groupBy("doc_id", "version").agg(F.sort_array(F.collect_set("line_no")).alias("dropped"))

@@ -37,7 +37,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, DoubleType
 
 from medallion.llm.common import table, written
-from medallion.operators.sizing import observe_profile, small_side
+from medallion.operators.sizing import ONE_SIDE_LIMIT, observe_profile, small_side
 
 SAMPLE = 20_000
 FLOOR = 1e-6
@@ -134,7 +134,7 @@ def fit_sites(scored: DataFrame) -> Sites:
     path_prior = _strength(both, F.lit(mean), F.col("host_s") / F.col("host_n"))
     observed, profile = observe_profile(both)
     both = written(observed, "sites")
-    return Sites(both, mean, host_prior, path_prior, profile().fits(both, both.columns))
+    return Sites(both, mean, host_prior, path_prior, profile().fits(both, both.columns, ONE_SIDE_LIMIT))
 
 
 def score(rows: DataFrame, host: str, path: str, p: Column, sites: Sites, prefix: str = "_q_") -> DataFrame:

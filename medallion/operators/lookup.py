@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion.operators.scd2 import current_rows
-from medallion.operators.sizing import fits_broadcast
+from medallion.operators.sizing import fits_broadcast, shuffled_side
 
 SPREAD = 1024  # salts of facts without a key
 
@@ -42,7 +42,7 @@ def lookup_current(
     return (
         fact.withColumn("_lk_salt", spread.cast("int"))
         .join(
-            cur.withColumn("_lk_zero", F.lit(0)),
+            shuffled_side(cur.withColumn("_lk_zero", F.lit(0))),
             (F.col(fact_key) == F.col("_lk_key")) & (F.col("_lk_salt") == F.col("_lk_zero")), "left",
         )
         .drop("_lk_key", "_lk_salt", "_lk_zero")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from medallion.functions.columns import deliver_date
 from medallion.operators.scd2 import current_rows
-from medallion.operators.sizing import fits_broadcast
+from medallion.operators.sizing import fits_broadcast, shuffled_side
 
 
 def sales_mart(
@@ -37,5 +37,5 @@ def sales_mart(
         joined = facts.join(F.broadcast(cur), F.col(key) == F.col("_m_key"), "left")
         return joined.groupBy("deliver_date", group_attr).agg(F.count(F.lit(1)).alias("num_orders"))
     counted = facts.groupBy(key, "deliver_date").agg(F.count(F.lit(1)).alias("_n"))
-    joined = counted.join(cur, F.col(key) == F.col("_m_key"), "left")
+    joined = counted.join(shuffled_side(cur), F.col(key) == F.col("_m_key"), "left")
     return joined.groupBy("deliver_date", group_attr).agg(F.sum("_n").alias("num_orders"))

@@ -8,6 +8,7 @@ from medallion.operators.checks import check_frame, unique
 from medallion.operators.lookup import lookup_current
 from medallion.operators.mart import sales_mart
 from medallion.operators.scd2 import current_rows, scd2_changes, scd2_changes_three_joins
+from medallion.operators.sizing import SizeProfile, small_side
 
 N = 3000
 
@@ -98,3 +99,17 @@ def test_unique_check_hot_value(spark):
     )
     (row,) = check_frame(frame, [unique("v")], "d").collect()
     assert (row["element_count"], row["unexpected_count"]) == (N, N // 3)
+
+
+def test_large_sides_are_shuffled_not_sent_through_the_driver(spark):
+    rows = 400_000  # 14 MB hashed; the planner alone would broadcast both sides
+    assert not SizeProfile(rows, {}, ["id"]).fits(spark.range(1), ["id"])
+    assert SizeProfile(1000, {}, ["id"]).fits(spark.range(1), ["id"])
+    ids = spark.range(rows)
+    dim = ids.selectExpr("id", "id AS customer_sur_id", "'s' AS state_id", "true AS current")
+    fact = spark.range(10).selectExpr("id AS customer_id", "timestamp_ntz'2024-01-01' AS delivered_on")
+    fct = lookup_current(fact, dim)
+    joins = [fact.join(small_side(ids, None), F.col("customer_id") == F.col("id"), "left_semi"), fct, sales_mart(fct, dim)]
+    for frame in joins:
+        assert "BroadcastExchange" not in frame._jdf.queryExecution().executedPlan().toString()
+    assert [(r["state_id"], r["num_orders"]) for r in joins[-1].collect()] == [("s", 10)]
