@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion.llm.common import table, written
-from medallion.operators.sizing import observe_profile, small_side
+from medallion.operators.sizing import ONE_SIDE_LIMIT, observe_profile, small_side
 
 AXES = ("source", "lang", "topic")
 ALPHA = 0.7
@@ -84,26 +84,30 @@ def rake(cells: DataFrame, targets: dict[str, dict[str, float]] | None = None) -
     """``cells`` (axes, tokens) with ``weight``, whose shares by each axis are
     the targets (shares of all the weight)."""
     targets = targets or {}
+    columns = cells.columns
     cells = cells.where("tokens > 0")
     shares = {a: written(_shares(cells, a, targets.get(a)), f"shares_{a}") for a in AXES}
     total = cells.agg(F.sum("tokens")).first()[0]
     if not total:
         return cells.withColumn("weight", F.lit(0.0))
-    cells = written(cells.withColumn("weight", F.col("tokens") / F.lit(float(total))), "cells")
+    cells = cells.withColumn("weight", F.col("tokens") / F.lit(float(total)))
+    for a in AXES:
+        cells = cells.join(shares[a].withColumnRenamed("share", f"_share_{a}"), a)
+    cells = written(cells, "cells")
+    # Written after each axis, a step's plan is one sum and one join: unwritten, each
+    # axis would repeat the plans of those before it, which fills the driver's memory.
     for _ in range(ROUNDS):
         for a in AXES:
-            sums = cells.groupBy(F.col(a).alias("_v")).agg(F.sum("weight").alias("_s"))
-            ratio = sums.join(shares[a], sums["_v"] == shares[a][a]).select(
-                "_v", F.when(F.col("_s") > 0, F.col("share") / F.col("_s")).otherwise(0.0).alias("_r"))
+            sums = cells.groupBy(F.col(a).alias("_v")).agg(F.sum("weight").alias("_s"), F.max(f"_share_{a}").alias("_t"))
+            ratio = sums.select("_v", F.when(F.col("_s") > 0, F.col("_t") / F.col("_s")).otherwise(0.0).alias("_r"))
             cells = cells.join(ratio, cells[a] == ratio["_v"]).withColumn("weight", F.col("weight") * F.col("_r")).drop("_v", "_r")
-        cells = written(cells, "cells")
-        worst = 0.0
-        for a in AXES:
-            off = cells.groupBy(a).agg(F.sum("weight").alias("_s")).join(shares[a], a)
-            worst = max(worst, off.agg(F.max(F.abs(F.col("_s") - F.col("share")))).first()[0] or 0.0)
-        if worst < TOLERANCE:
+            cells = written(cells, "cells")
+        each = F.array(*[F.struct(F.lit(a).alias("axis"), F.col(a).alias("value"), F.col(f"_share_{a}").alias("share")) for a in AXES])
+        sums = cells.select("weight", F.explode(each).alias("_of")).select("weight", "_of.*").groupBy("axis", "value").agg(
+            F.sum("weight").alias("_s"), F.max("share").alias("_t"))
+        if (sums.agg(F.max(F.abs(F.col("_s") - F.col("_t")))).first()[0] or 0.0) < TOLERANCE:
             break
-    return cells
+    return cells.select(*columns, "weight")
 
 
 def _scale(cells: DataFrame, budget: float) -> float:
@@ -131,7 +135,7 @@ def fit(axes: DataFrame, targets=None, budget: float = BUDGET) -> Cells:
                              F.least(F.lit(1.0), F.col("factor") * F.lit(scale)).alias("_m_chance"))
     observed, profile = observe_profile(chances)
     chances = written(observed, "chances")
-    return Cells(chances, scale, profile().fits(chances, chances.columns))
+    return Cells(chances, scale, profile().fits(chances, chances.columns, ONE_SIDE_LIMIT))
 
 
 def _chance(rows: DataFrame, axes: dict[str, Column], cells: Cells) -> DataFrame:

@@ -84,6 +84,17 @@ def test_rake_matches_a_plain_computation(spark):
         assert abs(got.groupby(a).weight.sum() - w.groupby(cells[a]).sum()).max() < 2e-4
 
 
+def test_rake_plans_stay_small(spark, monkeypatch):
+    """Each raking step is planned alone: one sum and one join."""
+    joins, keep = [], mixing.written
+    monkeypatch.setattr(mixing, "written", lambda frame, name: (
+        joins.append(frame._jdf.queryExecution().analyzed().toString().count("Join ")), keep(frame, name))[1])
+    rows = [(s, la, t, 10 + i * j * k) for i, s in enumerate("abcd") for j, la in enumerate("xyz") for k, t in enumerate("pq")]
+    mixing.rake(spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")).collect()
+    assert joins[:3] == [0, 0, 0] and joins[3] == 3  # the shares, then the cells with them
+    assert len(joins) >= 7 and set(joins[4:]) == {1}
+
+
 def test_mix_of_all_documents(spark):
     docs = table(spark, SF, "documents")
     out = mixing.mix(docs).toPandas()
