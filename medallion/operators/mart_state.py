@@ -25,7 +25,7 @@ from medallion.functions.columns import deliver_date
 from medallion.operators.layer import publish_layer
 from medallion.operators.publish import read_version, replacement, stage_partition
 from medallion.operators.scd2 import current_rows
-from medallion.operators.sizing import small_side
+from medallion.operators.sizing import shuffled_side, small_side
 
 ALL_RUNS = "all"  # the one partition of the cells' table
 
@@ -60,9 +60,9 @@ def mart_differences(
     the other runs."""
     def placed(rows: DataFrame, dim: DataFrame, sign: int) -> DataFrame:
         cur = current_rows(dim).where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(F.max(attr).alias(attr))
-        return rows.join(cur, F.col(key) == F.col("_k"), "left").select("deliver_date", attr, (F.col("num_orders") * sign).alias("num_orders"))
+        return rows.join(shuffled_side(cur), F.col(key) == F.col("_k"), "left").select("deliver_date", attr, (F.col("num_orders") * sign).alias("num_orders"))
 
-    shifted = others.join(moved, key)
+    shifted = others.join(shuffled_side(moved), key)
     out = shifted.select("deliver_date", F.col("was").alias(attr), (-F.col("num_orders")).alias("num_orders"))
     into = shifted.select("deliver_date", F.col("now").alias(attr), "num_orders")
     parts = placed(counts, after, 1).unionByName(placed(own_before, before, -1)).unionByName(out).unionByName(into)
